@@ -8,15 +8,20 @@ data is skewed: block sizes follow from a hash of the unique id.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.schemas import MIN_SIMILARITY, SCORE_DIGITS
 
+# Executors get the task functions by value and need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 STRIPE_ROWS = 512
 SMALLEST_BLOCK = 250
 PACKED = "block int, payload binary"

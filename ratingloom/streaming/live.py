@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,9 @@ from ratingloom.schemas import CANDIDATES, QUEUE_LENGTH, RATING, RECENT_RATINGS,
 from ratingloom.sources.sinks import upsert_user_recs
 from ratingloom.streaming.logs import start
 
+# Executors get the task functions by value and need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 QUEUE_OUTPUT = "uid int, pos int, mid int, score double, ts long"
 QUEUE_STATE = "mid array<int>, score array<double>, ts array<long>"
 

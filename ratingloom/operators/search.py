@@ -25,11 +25,20 @@ def _documents(corpus: DataFrame, fields: Sequence[str]) -> DataFrame:
     return rows.where(F.col("len") > 0)
 
 
-def _postings(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(mid, field, len, term, tf) of the ``wanted`` terms; other terms are dropped before any shuffle
-    of postings."""
-    tokens = documents.select("mid", "field", "len", F.explode("tokens").alias("term"))
-    return tokens.join(wanted, "term", "left_semi").groupBy("mid", "field", "len", "term").agg(F.count("*").alias("tf"))
+def index_corpus(corpus: DataFrame, fields: Sequence[str], wanted: DataFrame | None = None) -> DataFrame:
+    """Postings (term, field, mid, len, tf). Store them once, sorted by term, to search repeatedly.
+
+    With ``wanted`` (term) all other terms are dropped before postings are shuffled.
+    """
+    tokens = _documents(corpus, fields).select("mid", "field", "len", F.explode("tokens").alias("term"))
+    if wanted is not None:
+        tokens = tokens.join(wanted, "term", "left_semi")
+    return tokens.groupBy("term", "field", "mid", "len").agg(F.count("*").alias("tf"))
+
+
+def field_sizes(corpus: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """(field, docs, avg_len): items that have the field and its mean number of tokens."""
+    return _documents(corpus, fields).groupBy("field").agg(F.count("*").alias("docs"), F.avg("len").alias("avg_len"))
 
 
 def _bm25(k1: float, b: float) -> Column:
@@ -38,16 +47,17 @@ def _bm25(k1: float, b: float) -> Column:
     return idf * F.col("tf") * (k1 + 1) / norm
 
 
-def _weighted_postings(corpus: DataFrame, fields: Sequence[str], wanted: DataFrame) -> DataFrame:
-    documents = _documents(corpus, fields)
-    sizes = documents.groupBy("field").agg(F.count("*").alias("docs"), F.avg("len").alias("avg_len"))
-    postings = _postings(documents, wanted)
-    df = postings.groupBy("field", "term").agg(F.count("*").alias("df"))
-    weighted = postings.join(df, ["field", "term"]).join(sizes, "field")
+def _term_df(postings: DataFrame) -> DataFrame:
+    return postings.groupBy("field", "term").agg(F.count("*").alias("df"))
+
+
+def _weighted(postings: DataFrame, sizes: DataFrame) -> DataFrame:
+    weighted = postings.join(_term_df(postings), ["field", "term"]).join(sizes, "field")
     return weighted.select("term", "mid", "field", _bm25(BM25_K1, BM25_B).alias("w"))
 
 
-def _query_terms(queries: DataFrame) -> DataFrame:
+def query_terms(queries: DataFrame) -> DataFrame:
+    """(qid, term): the distinct words of every query."""
     return queries.select("qid", F.explode(F.array_distinct(words("text"))).alias("term"))
 
 
@@ -63,11 +73,20 @@ def hits_to_recs(hits: DataFrame, n: int) -> DataFrame:
     return top_k(hits, "qid", by_score(), n).select("qid", "rank", "mid", "score")
 
 
+def search_index(
+    postings: DataFrame, sizes: DataFrame, queries: DataFrame, fields: Sequence[str] = ("name", "descri"), n: int = 10
+) -> DataFrame:
+    """``search`` over stored ``index_corpus`` and ``field_sizes`` tables."""
+    terms = query_terms(queries)
+    asked = postings.where(F.col("field").isin(*fields)).join(terms.select("term").distinct(), "term", "left_semi")
+    return hits_to_recs(_hits(terms, _weighted(asked, sizes), fields), n)
+
+
 def search(corpus: DataFrame, queries: DataFrame, fields: Sequence[str] = ("name", "descri"), n: int = 10) -> DataFrame:
     """BM25 over several fields for (qid, text) queries; the best field of an item is its score."""
-    terms = _query_terms(queries)
-    weighted = _weighted_postings(corpus, fields, terms.select("term").distinct())
-    return hits_to_recs(_hits(terms, weighted, fields), n)
+    terms = query_terms(queries)
+    postings = index_corpus(corpus, fields, terms.select("term").distinct())
+    return hits_to_recs(_hits(terms, _weighted(postings, field_sizes(corpus, fields)), fields), n)
 
 
 TEXT_FIELDS = ("name", "descri", "genres", "actors", "directors", "tags")
@@ -81,16 +100,13 @@ def more_like_this(
     present = [f for f in fields if f in corpus.columns]
     text = corpus.select("mid", F.concat_ws(" ", *present).alias("all"))
     seeds = text.join(mids.select("mid").distinct(), "mid", "left_semi")
-    seed_terms = seeds.select("mid", F.explode(words("all")).alias("term")).groupBy("mid", "term").agg(F.count("*").alias("tf"))
-    wanted = seed_terms.select("term").distinct()
-    found = text.select("mid", F.explode(F.array_distinct(words("all"))).alias("term")).join(wanted, "term", "left_semi")
-    df = found.groupBy("term").agg(F.count("*").alias("df"))
+    seed_terms = index_corpus(seeds, ("all",)).select("term", "field", F.col("mid").alias("qid"), F.col("tf").alias("seed_tf"))
+    postings = index_corpus(text, ("all",), seed_terms.select("term").distinct())
     total = text.agg(F.count("*").alias("docs")).scalar()
-    telling = F.col("tf") * F.log((total + 1) / (F.col("df") + 1))
-    ranked = seed_terms.join(df, "term").withColumn("telling", stable(telling))
-    terms = top_k(ranked, "mid", [F.desc("telling"), F.asc("term")], max_terms).select(F.col("mid").alias("qid"), "term")
-    weighted = _weighted_postings(text, ("all",), terms.select("term").distinct())
-    hits = _hits(terms, weighted, ("all",)).where(F.col("qid") != F.col("mid"))
+    telling = F.col("seed_tf") * F.log((total + 1) / (F.col("df") + 1))
+    ranked = seed_terms.join(_term_df(postings), ["field", "term"]).withColumn("telling", stable(telling))
+    terms = top_k(ranked, "qid", [F.desc("telling"), F.asc("term")], max_terms).select("qid", "term")
+    hits = _hits(terms, _weighted(postings, field_sizes(text, ("all",))), ("all",)).where(F.col("qid") != F.col("mid"))
     return hits_to_recs(hits, n)
 
 

@@ -108,7 +108,7 @@ def build_corpus(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def upsert_user_recs(spark: SparkSession, sf: str) -> DataFrame:
     target = scratch(spark, "user-recs")
-    first = lists.rank_lists(top_products(spark, sf), "uid", 20)
+    first = lists.rank_lists(_top_products(spark, sf), "uid", 20)
     events = t.live(spark, sf)
     second = realtime.recommendation_lists(events, _scored(spark, sf))
     sinks.upsert_user_recs(first, target, 0)
@@ -215,6 +215,10 @@ def _predicted(spark: SparkSession, sf: str) -> DataFrame:
     return factors.score_factors(t.user_factor(spark, sf), t.item_factor(spark, sf), t.rating(spark, sf))
 
 
+def _top_products(spark: SparkSession, sf: str) -> DataFrame:
+    return factors.top_products(t.user_factor(spark, sf), t.item_factor(spark, sf))
+
+
 @register
 def filter_positive(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(lists.filter_positive(_predicted(spark, sf)), "score").select("uid", "mid", "score")
@@ -447,7 +451,7 @@ def newest_items_by_date(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def head_of_list(spark: SparkSession, sf: str) -> DataFrame:
-    nested = lists.rank_lists(top_products(spark, sf), "uid", 20)
+    nested = lists.rank_lists(_top_products(spark, sf), "uid", 20)
     heads = lists.head_of_list(nested, 5, t.user_pref(spark, sf))
     rows = heads.select("uid", F.posexplode_outer("recs").alias("pos", "rec"))
     return rounded(rows.select("uid", "pos", F.col("rec.mid").alias("mid"), F.col("rec.score").alias("score")), "score")
@@ -668,8 +672,7 @@ def score_factors(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def top_products(spark: SparkSession, sf: str) -> DataFrame:
-    best = factors.top_products(t.user_factor(spark, sf), t.item_factor(spark, sf))
-    return rounded(best, "score")
+    return rounded(_top_products(spark, sf), "score")
 
 
 @register
@@ -701,6 +704,16 @@ def query_search(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(search.search(_corpus(spark, sf), names), "score")
 
 
+@register
+def search_index(spark: SparkSession, sf: str) -> DataFrame:
+    corpus, fields = _corpus(spark, sf), ("name", "descri")
+    index, sizes = scratch(spark, "postings"), scratch(spark, "field-sizes")
+    sinks.overwrite_table(search.index_corpus(corpus, fields).orderBy("term", "mid"), index)
+    sinks.overwrite_table(search.field_sizes(corpus, fields), sizes)
+    names = t.movie(spark, sf).groupBy(F.col("name").alias("text")).agg(F.min("mid").alias("qid"))
+    return rounded(search.search_index(spark.read.parquet(index), spark.read.parquet(sizes), names, fields), "score")
+
+
 @register
 def more_like_this(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(search.more_like_this(_corpus(spark, sf), stats.hot_items(_monthly(spark, sf))), "score")
@@ -726,7 +739,7 @@ def view_similar(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def view_wish(spark: SparkSession, sf: str) -> DataFrame:
-    shown = serving.view_wish(top_products(spark, sf), t.user_pref(spark, sf), _genre_top(spark, sf), t.movie(spark, sf), 10)
+    shown = serving.view_wish(_top_products(spark, sf), t.user_pref(spark, sf), _genre_top(spark, sf), t.movie(spark, sf), 10)
     return rounded(shown.select("uid", "rank", "mid", "score", "name"), "score")
 
 

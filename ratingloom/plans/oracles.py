@@ -298,6 +298,10 @@ ORACLES: dict[str, str] = {
         f"select qid, unnest(list_distinct({_words('name')})) term from (select name, min(mid) qid from movie group by name)",
         {"name": "name", "descri": "descri"}, 10, False, "movie",
     ),
+    "search_index": _bm25(
+        f"select qid, unnest(list_distinct({_words('name')})) term from (select name, min(mid) qid from movie group by name)",
+        {"name": "name", "descri": "descri"}, 10, False, "movie",
+    ),
     "more_like_this": _bm25(
         f"""select mid qid, term from (select s.mid, s.term, row_number() over (partition by s.mid
             order by round(s.n * ln(((select count(*) from corpus) + 1) / (df.df + 1)), 12) desc, s.term) r

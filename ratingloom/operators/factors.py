@@ -50,8 +50,10 @@ def train_als(
     seed: int = 7,
     blocks: int | None = None,
 ) -> ALSModel:
-    """Explicit-feedback factors. ``blocks`` sets the number of user and item blocks."""
-    shared_dir(rating.sparkSession)
+    """Explicit-feedback factors. ``blocks`` is the number of user and item blocks, by default as many
+    as the cluster runs tasks at once, ten at least. Every second iteration is checkpointed."""
+    spark = rating.sparkSession
+    shared_dir(spark)
     als = ALS(
         userCol="uid",
         itemCol="mid",
@@ -65,8 +67,7 @@ def train_als(
         intermediateStorageLevel="MEMORY_AND_DISK",
         finalStorageLevel="MEMORY_AND_DISK",
     )
-    if blocks is not None:
-        als = als.setNumBlocks(blocks)
+    als = als.setNumBlocks(blocks or max(10, spark.sparkContext.defaultParallelism))
     return als.fit(project_triples(rating))
 
 

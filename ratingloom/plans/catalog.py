@@ -827,6 +827,7 @@ def stream_recommend(spark: SparkSession, sf: str) -> DataFrame:
     sim_path, target = scratch(spark, "sim"), scratch(spark, "stream-recs")
     sinks.overwrite_table(_ranked_sim(spark, sf), sim_path)
     store = live_stream.RatingStore(spark, scratch(spark, "rating-store"))
+    store.load_history()
     checkpoint = scratch(spark, "stream-recs-checkpoint")
     query = live_stream.stream_recommend(
         _event_stream(spark, sf), store, sim_path, target, checkpoint, gate=LIVE_GATE, available_now=True

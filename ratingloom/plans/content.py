@@ -15,6 +15,7 @@ from ratingloom.functions.scalars import stable
 from ratingloom.operators.lists import by_score, filter_similar, top_k
 from ratingloom.operators.vectors import all_pairs_cosine
 from ratingloom.schemas import HASH_BUCKETS, MIN_SIMILARITY
+from ratingloom.session import shared_dir
 
 
 def project_content(movie: DataFrame) -> DataFrame:
@@ -128,8 +129,10 @@ def content_similarity(
 
     ``buckets=None`` counts exact words instead of hashed ones. The uncut lists are
     ``profile_similarity`` with ``profile_members``; ``similar_to`` opens them for chosen items.
+    The profiles are written to the checkpoint folder once, as several steps read them.
     """
-    profiles = content_profiles(movie)
+    shared_dir(movie.sparkSession)
+    profiles = content_profiles(movie).checkpoint()
     pairs = profile_similarity(profiles, min_sim, buckets)
     return similar_members(pairs, profile_members(movie, profiles), k)
 

@@ -63,7 +63,8 @@ def with_fallback(recs: DataFrame, user: DataFrame, genre_top: DataFrame, n: int
 
 def my_rated_items(rating: DataFrame, movie: DataFrame, order: Sequence[str] = ("ts",)) -> DataFrame:
     """The items every user rated, with the user's newest score of each."""
-    newest = F.max_by("score", F.struct(*order)).alias("score")
+    by = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    newest = F.max_by("score", by).alias("score")
     return rating.groupBy("uid", "mid").agg(newest).join(movie, "mid")
 
 

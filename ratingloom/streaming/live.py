@@ -8,7 +8,7 @@ from typing import Any
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -79,38 +79,46 @@ def current_queues(spark: SparkSession, target: str) -> DataFrame:
 class RatingStore:
     """The rating table of the live job, laid out so that a micro-batch reads only its users' share.
 
-    Rows are stored in one folder per hash bucket of the user id. History comes in once through
-    ``load_history``; every micro-batch adds one folder level of its own and may be replayed.
+    ``history`` holds one folder per hash bucket of the user id, sorted by user. Every micro-batch
+    adds one small folder below ``recent`` and may be replayed; ``compact_into`` folds those into the
+    history of a new store.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 256):
         self.spark, self.path, self.buckets = spark, path, buckets
 
-    def _bucketed(self, rating: DataFrame) -> DataFrame:
-        bucket = F.pmod(F.xxhash64("uid"), F.lit(self.buckets)).cast("int")
-        return rating.select(*[f.name for f in RATING.fields]).withColumn("bucket", bucket)
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64("uid"), F.lit(self.buckets)).cast("int").alias("bucket")
 
-    def _write(self, rating: DataFrame, batch_id: int) -> None:
-        rows = self._bucketed(rating)
-        rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/batch_id={batch_id}")
-
-    def load_history(self, rating: DataFrame) -> None:
-        """Spread each bucket over several files by item, then store it as batch -1."""
-        self._write(self._bucketed(rating).repartition("bucket", F.pmod("mid", F.lit(8))), -1)
+    def load_history(self, rating: DataFrame | None = None) -> None:
+        """Write the history, or an empty one. Ranges over (bucket, user, item, time) spread a busy
+        user over as many tasks as the user's rows need."""
+        if rating is None:
+            rating = self.spark.createDataFrame([], RATING)
+        order = ["bucket", "uid", "mid", "ts"]
+        rows = rating.select(*RATING.names, self._bucket()).repartitionByRange(*order).sortWithinPartitions(*order)
+        rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/history")
 
     def add(self, batch: DataFrame, batch_id: int) -> None:
-        self._write(batch, batch_id)
+        batch.select(*RATING.names).write.mode("overwrite").parquet(f"{self.path}/recent/batch_id={batch_id}")
+
+    def _history(self) -> DataFrame:
+        schema = T.StructType([*RATING.fields, T.StructField("bucket", T.IntegerType())])
+        return self.spark.read.schema(schema).parquet(f"{self.path}/history")
+
+    def _recent(self) -> DataFrame:
+        return self.spark.read.schema(RATING).parquet(f"{self.path}/recent").select(*RATING.names)
 
     def ratings_of(self, users: DataFrame) -> DataFrame:
         """All ratings of the given users. The at most ``buckets`` folder numbers are looked up first,
-        so the scan is pruned to them."""
-        asked = [row["bucket"] for row in self._bucketed_users(users).select("bucket").distinct().collect()]
-        schema = T.StructType([*RATING.fields, T.StructField("batch_id", T.LongType()), T.StructField("bucket", T.IntegerType())])
-        rows = self.spark.read.schema(schema).parquet(self.path).where(F.col("bucket").isin(asked))
-        return rows.drop("batch_id", "bucket").join(users.select("uid").distinct(), "uid", "left_semi")
+        so the scan of the history is pruned to them."""
+        asked = [row["bucket"] for row in users.select(self._bucket()).distinct().collect()]
+        history = self._history().where(F.col("bucket").isin(asked)).drop("bucket")
+        return history.unionByName(self._recent()).join(users.select("uid").distinct(), "uid", "left_semi")
 
-    def _bucketed_users(self, users: DataFrame) -> DataFrame:
-        return users.select("uid", F.pmod(F.xxhash64("uid"), F.lit(self.buckets)).cast("int").alias("bucket"))
+    def compact_into(self, other: RatingStore) -> None:
+        """Write everything as the history of ``other``, which has to be a new store."""
+        other.load_history(self._history().drop("bucket").unionByName(self._recent()))
 
 
 def stream_recommend(
@@ -135,8 +143,10 @@ def stream_recommend(
         batch = batch.persist()
         ratings.add(batch, batch_id)
         sim = spark.read.parquet(sim_path)
-        scored = realtime.batch_recommend(batch, ratings.ratings_of(batch), sim, k, recent, gate)
+        rated = ratings.ratings_of(batch).persist()
+        scored = realtime.batch_recommend(batch, rated, sim, k, recent, gate)
         upsert_user_recs(realtime.recommendation_lists(batch, scored), target, batch_id)
+        rated.unpersist()
         batch.unpersist()
 
     return start(events.writeStream.foreachBatch(rerank).option("checkpointLocation", checkpoint), available_now)

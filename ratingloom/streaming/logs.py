@@ -21,15 +21,16 @@ def parse_rating_event(values: DataFrame, on_error: str = "quarantine") -> DataF
     """(uid, mid, score, ts) from ``uid|mid|score|timestamp``; malformed events are dropped, or kept
     with their text in ``_corrupt`` for ``on_error='keep'``."""
     parts = F.split(F.col("value"), r"\|")
-    typed = {
-        "uid": trimmed(F.get(parts, F.lit(0))).try_cast("int"),
-        "mid": trimmed(F.get(parts, F.lit(1))).try_cast("int"),
-        "score": trimmed(F.get(parts, F.lit(2))).try_cast("double"),
-        "ts": norm_epoch(trimmed(F.get(parts, F.lit(3))).try_cast("long")),
-    }
-    bad = typed["uid"].isNull() | typed["mid"].isNull() | typed["score"].isNull() | typed["ts"].isNull()
-    corrupt = F.when(bad, F.col("value")).alias("_corrupt")
-    rows = values.select(*[column.alias(name) for name, column in typed.items()], corrupt)
+    fields = [trimmed(F.get(parts, F.lit(position))) for position in range(4)]
+    rows = values.select(
+        fields[0].try_cast("int").alias("uid"),
+        fields[1].try_cast("int").alias("mid"),
+        fields[2].try_cast("double").alias("score"),
+        norm_epoch(fields[3].try_cast("long")).alias("ts"),
+        F.col("value").alias("_corrupt"),
+    )
+    complete = F.col("uid").isNotNull() & F.col("mid").isNotNull() & F.col("score").isNotNull() & F.col("ts").isNotNull()
+    rows = rows.withColumn("_corrupt", F.when(~complete, F.col("_corrupt")))
     return rows if on_error == "keep" else rows.where(F.col("_corrupt").isNull()).drop("_corrupt")
 
 

@@ -85,10 +85,16 @@ def test_live_lists_equal_batch(spark, pieces):
 
 def test_replayed_batch_counts_once(spark):
     store = live.RatingStore(spark, scratch(spark, "store"), buckets=4)
+    store.load_history()
     batch = spark.createDataFrame([(1, 2, 3.0, 4), (5, 6, 3.0, 4)], RATING)
     for _ in range(2):
         store.add(batch, 0)
-    assert sorted(map(tuple, store.ratings_of(batch.where("uid = 1")).collect())) == [(1, 2, 3.0, 4)]
+    one = batch.where("uid = 1")
+    assert sorted(map(tuple, store.ratings_of(one).collect())) == [(1, 2, 3.0, 4)]
+    compacted = live.RatingStore(spark, scratch(spark, "store"), buckets=4)
+    store.compact_into(compacted)
+    compacted.add(one, 1)
+    assert sorted(map(tuple, compacted.ratings_of(batch).collect())) == [(1, 2, 3.0, 4), (1, 2, 3.0, 4), (5, 6, 3.0, 4)]
 
 
 def test_interval_trigger_starts_and_stops(spark):

@@ -127,10 +127,26 @@ def join_observed_predicted(obs: DataFrame, pred: DataFrame) -> DataFrame:
     )
 
 
+def _moments(scores: DataFrame) -> DataFrame:
+    """(uid, mid, n, mean, var): count, mean and variance of the scores of every pair."""
+    if "copies" in scores.columns:
+        return scores.select("uid", "mid", F.col("copies").alias("n"), F.col("score").alias("mean"), F.lit(0.0).alias("var"))
+    return scores.groupBy("uid", "mid").agg(
+        F.count("*").alias("n"), F.avg("score").alias("mean"), F.var_pop("score").alias("var")
+    )
+
+
 def rmse(obs: DataFrame, pred: DataFrame) -> DataFrame:
-    """One row: root of the mean squared error over ``join_observed_predicted``."""
-    error = F.pow(F.col("actual") - F.col("predicted"), F.lit(2.0)) * F.col("n")
-    return join_observed_predicted(obs, pred).agg(F.sqrt(F.try_divide(F.sum(error), F.sum("n"))).alias("rmse"))
+    """One row: root of the mean squared error over the pairs of ``join_observed_predicted``.
+
+    The squares over all copies of a pair follow from both sides' moments, so each side is shuffled
+    once and the join meets every pair once. ``pred`` with ``copies`` has each pair once already.
+    """
+    o = _moments(obs).select("uid", "mid", F.col("n").alias("_n"), F.col("mean").alias("_mean"), F.col("var").alias("_var"))
+    both = o.join(_moments(pred), ["uid", "mid"])
+    copies = F.col("n") * F.col("_n")
+    squares = copies * (F.col("var") + F.col("_var") + F.pow(F.col("mean") - F.col("_mean"), F.lit(2.0)))
+    return both.agg(F.sqrt(F.try_divide(F.sum(squares), F.sum(copies))).alias("rmse"))
 
 
 def tune_als(

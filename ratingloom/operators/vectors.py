@@ -23,7 +23,7 @@ from ratingloom.schemas import MIN_SIMILARITY, SCORE_DIGITS
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 STRIPE_ROWS = 512
-SMALLEST_BLOCK = 250
+SMALLEST_BLOCK, USUAL_BLOCK, LARGEST_BLOCK = 250, 2_000, 20_000
 PACKED = "block int, payload binary"
 
 
@@ -38,8 +38,12 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(block.to_pylist(), pa.int32()), payload], names=["block", "payload"])
 
 
-def _blocks(vectors: DataFrame, block_rows: int) -> tuple[DataFrame, int]:
+def _blocks(vectors: DataFrame, block_rows: int | None, sparse: bool) -> tuple[DataFrame, int]:
+    """The packed blocks and their number. Unless given, the block size grows with the table, which
+    keeps the copies of a block few; sparse blocks stay small, as they are widened in the task."""
     rows = vectors.count()
+    if block_rows is None:
+        block_rows = USUAL_BLOCK if sparse else min(LARGEST_BLOCK, max(USUAL_BLOCK, rows // 1000))
     tasks = vectors.sparkSession.sparkContext.defaultParallelism
     spread = min(math.ceil(rows / SMALLEST_BLOCK), math.ceil(math.sqrt(2 * tasks)))
     count = max(1, math.ceil(rows / block_rows), spread)
@@ -133,15 +137,17 @@ def _kernel(
     return multiply
 
 
-def _block_pairs(left: DataFrame, right: DataFrame | None, block_rows: int) -> tuple[DataFrame, int]:
+def _block_pairs(
+    left: DataFrame, right: DataFrame | None, block_rows: int | None, sparse: bool
+) -> tuple[DataFrame, int]:
     """(i, j, side, block, payload): the two payloads of every pair of blocks."""
-    left_blocks, n_left = _blocks(left, block_rows)
+    left_blocks, n_left = _blocks(left, block_rows, sparse)
     if right is None:
         at, last = F.col("block"), F.lit(n_left - 1)
         rows = left_blocks.select(F.explode(F.sequence(at, last)).alias("j"), at.alias("i"), F.lit(0).alias("side"), "block", "payload")
         others = left_blocks.select(at.alias("j"), F.explode(F.sequence(F.lit(0), at)).alias("i"), F.lit(1).alias("side"), "block", "payload")
         return rows.unionByName(others), n_left * (n_left + 1) // 2
-    right_blocks, n_right = _blocks(right, block_rows)
+    right_blocks, n_right = _blocks(right, block_rows, sparse)
     rows = left_blocks.select(
         F.col("block").alias("i"), F.explode(F.sequence(F.lit(0), F.lit(n_right - 1))).alias("j"), F.lit(0).alias("side"), "block", "payload"
     )
@@ -152,9 +158,9 @@ def _block_pairs(left: DataFrame, right: DataFrame | None, block_rows: int) -> t
 
 
 def _multiply(
-    left: DataFrame, right: DataFrame | None, floor: float, k: int | None, unit: bool, sparse: bool, block_rows: int, max_tasks: int
+    left: DataFrame, right: DataFrame | None, floor: float, k: int | None, unit: bool, sparse: bool, block_rows: int | None, max_tasks: int
 ) -> DataFrame:
-    pairs, n_pairs = _block_pairs(left, right, block_rows)
+    pairs, n_pairs = _block_pairs(left, right, block_rows, sparse)
     kernel = _kernel(floor, k, unit, sparse, mirrored=right is None)
     return (
         pairs.repartition(max(1, min(n_pairs, max_tasks)), "i", "j")
@@ -168,7 +174,7 @@ def all_pairs_cosine(
     min_sim: float = MIN_SIMILARITY,
     k: int | None = None,
     sparse: bool = False,
-    block_rows: int = 2000,
+    block_rows: int | None = None,
     max_tasks: int = 10_000,
 ) -> DataFrame:
     """Both directions (mid, sim_mid, score) of all pairs of different items with cosine above the cut.
@@ -184,7 +190,7 @@ def all_pairs_cosine(
 
 
 def best_products(
-    user_factor: DataFrame, item_factor: DataFrame, k: int, block_rows: int = 2000, max_tasks: int = 10_000
+    user_factor: DataFrame, item_factor: DataFrame, k: int, block_rows: int | None = None, max_tasks: int = 10_000
 ) -> DataFrame:
     """(uid, mid, score): a superset of every user's ``k`` greatest positive factor products.
 

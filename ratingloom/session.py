@@ -32,8 +32,11 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local master may fall back to a fresh temporary folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    active = spark.sparkContext.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None) or active
     if configured:
+        if not active:
+            spark.sparkContext.setCheckpointDir(configured)
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")

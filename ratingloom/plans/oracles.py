@@ -184,7 +184,7 @@ ORACLES: dict[str, str] = {
         "rating",
     ),
     "append_prefs": sql(
-        """select uid, false as first, unnest([prefGenres[1], c_mktsegment, 'red']) pref, unnest([0, 1, 2]) pos
+        """select cast(uid as bigint) uid, false as first, unnest([prefGenres[1], c_mktsegment, 'red']) pref, unnest([0, 1, 2]) pos
         from user_pref join customer on c_custkey = uid""",
         "user_pref",
     ),
@@ -367,3 +367,16 @@ ORACLES: dict[str, str] = {
     "stream_recommend": sql("select uid, rank, mid, round(score, 6) score from live_list", "live_list"),
     "batch_recommend": sql("select uid, mid, round(score, 6) score from scored", "scored"),
 }
+
+# Positions are ints in the results; DuckDB numbers rows with bigints.
+_POSITIONS = {
+    "rank": (
+        "upsert_user_recs", "match_pref_genre", "rank_lists", "genre_top", "user_top", "similar_items", "similar_items_top",
+        "top_candidates", "hybrid", "hybrid_sum", "with_fallback", "content_similarity", "top_products", "search", "search_index",
+        "more_like_this", "fuzzy_genre", "view_similar", "view_wish", "view_guess", "view_stream", "view_genre_top", "stream_recommend",
+    ),
+    "pos": ("candidate_x_recent", "sim_lookup", "recent_ratings", "head_of_list", "import_queue", "stream_recent_state"),
+}
+for _column, _names in _POSITIONS.items():
+    for _name in _names:
+        ORACLES[_name] = f"select * replace (cast({_column} as int) as {_column}) from (\n{ORACLES[_name]})"

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import os
 import sys
 import time
@@ -23,15 +22,12 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def canonical(value: object) -> str:
-    if isinstance(value, float):
-        return "nan" if math.isnan(value) else f"{value + 0.0:.6f}"
-    return str(value)
+DUCK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 def rows_of(columns: list[str], rows: list) -> list[tuple[str, ...]]:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
-    return sorted(tuple(canonical(row[i]) for i in order) for row in rows)
+    return sorted(tuple(repr(row[i]) for i in order) for row in rows)
 
 
 def compare(spark, con: duckdb.DuckDBPyConnection, sf_dir: str, name: str) -> str:
@@ -47,6 +43,10 @@ def compare(spark, con: duckdb.DuckDBPyConnection, sf_dir: str, name: str) -> st
         return f"columns {sorted(df.columns)} against {sorted(columns)}"
     other = rows_of(columns, cursor.fetchall())
     if mine == other:
+        types = {name: DUCK_TYPES[kind] for name, kind in df.dtypes}
+        differ = {d[0]: (types[d[0]], str(d[1])) for d in cursor.description if types[d[0]] != str(d[1])}
+        if differ:
+            return f"types {differ}"
         return "" if mine else "both empty"
     extra = sorted(set(mine) - set(other))[:3]
     missing = sorted(set(other) - set(mine))[:3]

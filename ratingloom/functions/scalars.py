@@ -39,9 +39,8 @@ def year_month(ts: Column | str, offset_seconds: int = 0) -> Column:
 
 def wall_seconds(ts: Column | str) -> Column:
     """Seconds since 1970 of a zone-less timestamp, read as UTC whatever the session zone."""
-    ts = _col(ts)
-    days = F.unix_date(ts.cast("date")).cast("long")
-    return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return (_col(ts).cast("timestamp_ntz") - start).cast("interval second").cast("long")
 
 
 def half_star_bin(score: Column | str) -> Column:

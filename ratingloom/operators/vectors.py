@@ -22,8 +22,9 @@ from ratingloom.schemas import MIN_SIMILARITY, SCORE_DIGITS
 # Executors get the task functions by value and need no installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-STRIPE_ROWS = 512
-SMALLEST_BLOCK, USUAL_BLOCK, LARGEST_BLOCK = 250, 2_000, 20_000
+# Cells of a product that are held at once, and rows of a block.
+STRIPE_CELLS = 4_000_000
+SMALLEST_BLOCK, USUAL_BLOCK, LARGEST_BLOCK = 250, 2_000, 64_000
 PACKED = "block int, payload binary"
 
 
@@ -43,7 +44,7 @@ def _blocks(vectors: DataFrame, block_rows: int | None, sparse: bool) -> tuple[D
     keeps the copies of a block few; sparse blocks stay small, as they are widened in the task."""
     rows = vectors.count()
     if block_rows is None:
-        block_rows = USUAL_BLOCK if sparse else min(LARGEST_BLOCK, max(USUAL_BLOCK, rows // 1000))
+        block_rows = USUAL_BLOCK if sparse else min(LARGEST_BLOCK, max(USUAL_BLOCK, rows // 200))
     tasks = vectors.sparkSession.sparkContext.defaultParallelism
     spread = min(math.ceil(rows / SMALLEST_BLOCK), math.ceil(math.sqrt(2 * tasks)))
     count = max(1, math.ceil(rows / block_rows), spread)
@@ -125,8 +126,9 @@ def _kernel(
         if mirrored and not same:
             passes.append((right, left, right_ids, left_ids))
         for a, b, a_ids, b_ids in passes:
-            for start in range(0, len(a_ids), STRIPE_ROWS):
-                product = a[start : start + STRIPE_ROWS] @ b.T
+            stripe = max(1, STRIPE_CELLS // max(1, len(b_ids)))
+            for start in range(0, len(a_ids), stripe):
+                product = a[start : start + stripe] @ b.T
                 ids, others, scores = _found(product, a_ids, b_ids, start, floor, k, same)
                 if len(ids):
                     yield pa.RecordBatch.from_arrays(
@@ -186,7 +188,8 @@ def all_pairs_cosine(
     """
     rows = vectors.select(F.col("mid").cast("long").alias("id"), "features")
     found = _multiply(rows, None, min_sim, k, True, sparse, block_rows, max_tasks)
-    return found.select(F.col("id").cast("int").alias("mid"), F.col("other").cast("int").alias("sim_mid"), "score")
+    kind = vectors.schema["mid"].dataType
+    return found.select(F.col("id").cast(kind).alias("mid"), F.col("other").cast(kind).alias("sim_mid"), "score")
 
 
 def best_products(
@@ -200,4 +203,5 @@ def best_products(
     users = user_factor.select(F.col("uid").cast("long").alias("id"), "features")
     items = item_factor.select(F.col("mid").cast("long").alias("id"), "features")
     found = _multiply(users, items, 0.0, k, False, False, block_rows, max_tasks)
-    return found.select(F.col("id").cast("int").alias("uid"), F.col("other").cast("int").alias("mid"), "score")
+    uid, mid = user_factor.schema["uid"].dataType, item_factor.schema["mid"].dataType
+    return found.select(F.col("id").cast(uid).alias("uid"), F.col("other").cast(mid).alias("mid"), "score")

@@ -13,7 +13,7 @@ from ratingloom.functions.queues import import_queue
 from ratingloom.operators import factors, lists, realtime, search, stats, vectors
 from ratingloom.plans import content, serving
 from ratingloom.plans import standins as t
-from ratingloom.session import scratch
+from ratingloom.session import scratch, shared_dir
 from ratingloom.sources import files, sinks, streams
 from ratingloom.streaming import live as live_stream
 from ratingloom.streaming import logs
@@ -110,12 +110,12 @@ def upsert_user_recs(spark: SparkSession, sf: str) -> DataFrame:
     target = scratch(spark, "user-recs")
     first = lists.rank_lists(_top_products(spark, sf), "uid", 20)
     events = t.live(spark, sf)
-    second = realtime.recommendation_lists(events, _scored(spark, sf))
+    second = realtime.recommendation_lists(events, _scored(spark, sf)).persist()
     sinks.upsert_user_recs(first, target, 0)
     for _ in range(2):
         sinks.upsert_user_recs(second, target, 1)
     compacted = scratch(spark, "user-recs-compacted")
-    sinks.compact_user_recs(spark, target, compacted, 1)
+    sinks.compact_state(spark, target, compacted, 1)
     return rounded(lists.list_rows(sinks.current_user_recs(spark, compacted), "uid"), "score")
 
 
@@ -716,7 +716,9 @@ def search_index(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def more_like_this(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(search.more_like_this(_corpus(spark, sf), stats.hot_items(_monthly(spark, sf))), "score")
+    shared_dir(spark)
+    hot = stats.hot_items(_monthly(spark, sf)).checkpoint()
+    return rounded(search.more_like_this(_corpus(spark, sf), hot), "score")
 
 
 @register
@@ -825,7 +827,7 @@ def stream_recent_state(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def stream_recommend(spark: SparkSession, sf: str) -> DataFrame:
     sim_path, target = scratch(spark, "sim"), scratch(spark, "stream-recs")
-    sinks.overwrite_table(_ranked_sim(spark, sf), sim_path)
+    sinks.store_similarity(_ranked_sim(spark, sf), sim_path)
     store = live_stream.RatingStore(spark, scratch(spark, "rating-store"))
     store.load_history()
     checkpoint = scratch(spark, "stream-recs-checkpoint")

@@ -74,22 +74,40 @@ def upsert_users(user: DataFrame, updates: DataFrame, on: tuple[str, ...] = ("us
     return _replace(user, updates, list(on))
 
 
-def upsert_user_recs(lists: DataFrame, target: str, batch_id: int) -> None:
-    """Store the lists of one batch, one row per uid, empty lists too.
+def store_batch(rows: DataFrame, target: str, batch_id: int) -> None:
+    """Store one row per uid as the newest state of those users.
 
     Every batch owns one folder, so a replayed batch overwrites itself and the work per batch grows
     with the batch, not with the table.
     """
-    lists.select("uid", "recs").write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+    rows.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
 
-def current_user_recs(spark: SparkSession, target: str) -> DataFrame:
-    """The newest stored list of every user."""
+def newest_state(spark: SparkSession, target: str) -> DataFrame:
+    """The newest stored row of every user."""
     rows = spark.read.parquet(target)
-    newest = F.max_by(F.col("recs"), F.col("batch_id").cast("long")).alias("recs")
-    return rows.groupBy("uid").agg(newest)
+    state = F.struct(*[c for c in rows.columns if c not in ("uid", "batch_id")])
+    newest = F.max_by(state, F.col("batch_id").cast("long")).alias("_state")
+    return rows.groupBy("uid").agg(newest).select("uid", "_state.*")
+
+
+def compact_state(spark: SparkSession, target: str, compacted: str, batch_id: int) -> None:
+    """Write the newest rows as the single batch ``batch_id`` of a new table."""
+    store_batch(newest_state(spark, target), compacted, batch_id)
+
+
+def upsert_user_recs(lists: DataFrame, target: str, batch_id: int) -> None:
+    """Replace the lists of the users in ``lists`` (uid, recs), empty lists too."""
+    store_batch(lists.select("uid", "recs"), target, batch_id)
+
+
+def current_user_recs(spark: SparkSession, target: str) -> DataFrame:
+    """(uid, recs): the newest stored list of every user."""
+    return newest_state(spark, target)
 
 
-def compact_user_recs(spark: SparkSession, target: str, compacted: str, batch_id: int) -> None:
-    """Write the newest lists as the single batch ``batch_id`` of a new table."""
-    upsert_user_recs(current_user_recs(spark, target), compacted, batch_id)
+def store_similarity(ranked: DataFrame, path: str) -> None:
+    """Store a ranked (mid, rank, sim_mid, score) table sorted by item and rank, so that readers of
+    some items skip the row groups of others."""
+    order = ["mid", "rank"]
+    ranked.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)

@@ -16,13 +16,14 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ratingloom.operators import realtime
 from ratingloom.schemas import CANDIDATES, QUEUE_LENGTH, RATING, RECENT_RATINGS, SCORING_GATE
-from ratingloom.sources.sinks import upsert_user_recs
+from ratingloom.sources.sinks import newest_state, store_batch, upsert_user_recs
 from ratingloom.streaming.logs import start
 
 # Executors get the task functions by value and need no installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-QUEUE_OUTPUT = "uid int, pos int, mid int, score double, ts long"
+QUEUE_ENTRIES = "array<struct<mid:int,score:double,ts:long>>"
+QUEUE_OUTPUT = f"uid int, queue {QUEUE_ENTRIES}"
 QUEUE_STATE = "mid array<int>, score array<double>, ts array<long>"
 
 
@@ -31,7 +32,7 @@ def _newest(rows: pd.DataFrame, k: int) -> pd.DataFrame:
 
 
 def stream_recent_state(events: DataFrame, keep: int = QUEUE_LENGTH) -> DataFrame:
-    """(uid, pos, mid, score, ts): the ``keep`` newest ratings of each user whose queue changed.
+    """(uid, queue): the ``keep`` newest ratings, newest first, of each user whose queue changed.
 
     Every Arrow batch is cut to the newest ``keep`` per user before the shuffle, so a busy user sends
     little to the one task that holds the queue, and the state is bounded.
@@ -47,8 +48,9 @@ def stream_recent_state(events: DataFrame, keep: int = QUEUE_LENGTH) -> DataFram
             queue = pd.DataFrame(dict(zip(["mid", "score", "ts"], state.get))).assign(uid=key[0])
         for batch in batches:
             queue = _newest(batch if queue is None else pd.concat([queue, batch]), keep)
-        state.update(([int(m) for m in queue["mid"]], [float(s) for s in queue["score"]], [int(t) for t in queue["ts"]]))
-        yield queue.assign(pos=range(1, len(queue) + 1))[["uid", "pos", "mid", "score", "ts"]]
+        entries = queue[["mid", "score", "ts"]]
+        state.update(tuple(entries[c].tolist() for c in entries))
+        yield pd.DataFrame({"uid": [key[0]], "queue": [entries.to_dict("records")]})
 
     columns = events.select("uid", "mid", "score", "ts")
     return (
@@ -59,21 +61,18 @@ def stream_recent_state(events: DataFrame, keep: int = QUEUE_LENGTH) -> DataFram
 
 
 def write_queues(queues: DataFrame, target: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    """Keep the changed queues of every micro-batch in its own folder; replays overwrite it."""
+    """Store the changed queues of every micro-batch; see ``store_batch``."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        store_batch(batch, target, batch_id)
 
     return start(queues.writeStream.outputMode("update").foreachBatch(store).option("checkpointLocation", checkpoint), available_now)
 
 
 def current_queues(spark: SparkSession, target: str) -> DataFrame:
     """(uid, pos, mid, score, ts) of every user's newest stored queue."""
-    rows = spark.read.parquet(target)
-    entry = F.struct("pos", "mid", "score", "ts")
-    queues = rows.groupBy("uid", "batch_id").agg(F.sort_array(F.collect_list(entry)).alias("queue"))
-    newest = queues.groupBy("uid").agg(F.max_by("queue", "batch_id").alias("queue"))
-    return newest.select("uid", F.inline("queue"))
+    rows = newest_state(spark, target).select("uid", F.posexplode("queue").alias("pos", "entry"))
+    return rows.select("uid", (F.col("pos") + 1).alias("pos"), "entry.*")
 
 
 class RatingStore:

@@ -70,7 +70,7 @@ def test_live_lists_equal_batch(spark, pieces):
     history = [(uid, mid, 4.0, 100 + mid) for uid in range(0, 12, 3) for mid in range(20)]
     data = events(120)
     sim_path, target = scratch(spark, "sim"), scratch(spark, "recs")
-    sinks.overwrite_table(similarity(spark), sim_path)
+    sinks.store_similarity(similarity(spark), sim_path)
     store = live.RatingStore(spark, scratch(spark, "store"), buckets=4)
     store.load_history(spark.createDataFrame(history, RATING))
     stream = rating_stream(spark, log_files(spark, data, pieces), pieces)

@@ -23,7 +23,8 @@ from ratingloom.schemas import MIN_SIMILARITY, SCORE_DIGITS
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Cells of a product that are held at once, and rows of a block.
-STRIPE_CELLS = 4_000_000
+STRIPE_CELLS = 1_000_000
+SLACK = 10.0 ** (1 - SCORE_DIGITS)
 SMALLEST_BLOCK, USUAL_BLOCK, LARGEST_BLOCK = 250, 2_000, 64_000
 PACKED = "block int, payload binary"
 
@@ -89,18 +90,23 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
 def _found(
     rows: np.ndarray, left_ids: np.ndarray, right_ids: np.ndarray, start: int, floor: float, k: int | None, same: bool
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids and scores of one stripe above ``floor``; with ``k`` only what can be in a row's best ``k``."""
-    scores = np.round(rows, SCORE_DIGITS)
-    keep = scores > floor
+    """Ids and scores of one stripe above ``floor``; with ``k`` only what can be in a row's best ``k``.
+
+    Only what comes near the cut is rounded, so a score that rounding lifts over it is not missed.
+    """
+    keep = rows > floor - SLACK
     if same:
-        local = np.arange(scores.shape[0])
+        local = np.arange(rows.shape[0])
         keep[local, local + start] = False
-    if k is not None and scores.shape[1] > k:
-        ranked = np.where(keep, scores, -np.inf)
-        worst = np.partition(ranked, -k, axis=1)[:, -k]
-        keep &= ranked >= worst[:, None]
+    if k is not None and rows.shape[1] > k:
+        crowded = np.flatnonzero(np.count_nonzero(keep, axis=1) > k)
+        ranked = np.where(keep[crowded], rows[crowded], -np.inf)
+        worst = np.partition(ranked, -k, axis=1)[:, -k] if len(crowded) else np.empty(0)
+        keep[crowded] &= ranked >= (worst - SLACK)[:, None]
     at, to = np.nonzero(keep)
-    return left_ids[start + at], right_ids[to], scores[at, to]
+    scores = np.round(rows[at, to], SCORE_DIGITS)
+    above = scores > floor
+    return left_ids[start + at[above]], right_ids[to[above]], scores[above]
 
 
 def _kernel(

@@ -38,13 +38,14 @@ USER = T.StructType(
     ]
 )
 
-# Category names, list lengths, cuts and weights that decide the results.
+# Category names, log format, topics, list lengths, cuts and weights.
 CATEGORIES = (
     "Action", "Adventure", "Animation", "Comedy", "Crime", "Documentary", "Drama", "Family",
     "Fantasy", "Foreign", "History", "Horror", "Music", "Mystery", "Romance", "Science", "Tv",
     "Thriller", "War", "Western",
 )
 LOG_PREFIX = "MOVIE_RATING_PREFIX:"
+LOG_TOPIC, RATING_TOPIC, FORWARD_KEY = "log", "recommender", "logProcessor"
 CATEGORY_LIST_LENGTH = 10
 USER_LIST_LENGTH = 20
 RECENT_RATINGS = 20

@@ -23,7 +23,10 @@ def parse_lines(lines: DataFrame, schema: T.StructType, sep: str, exact: bool) -
     bad = count != width if exact else count < width
     for position, field in enumerate(schema.fields):
         raw = trimmed(F.get(parts, F.lit(position)))
-        typed = raw if isinstance(field.dataType, T.StringType) else raw.try_cast(field.dataType)
+        if isinstance(field.dataType, T.StringType):
+            columns.append(raw.alias(field.name))
+            continue
+        typed = raw.try_cast(field.dataType)
         bad = bad | typed.isNull()
         columns.append(typed.alias(field.name))
     return lines.select(*columns, F.when(bad, F.col("value")).alias("_corrupt"))

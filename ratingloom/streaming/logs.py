@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ratingloom.functions.scalars import norm_epoch, trimmed
-from ratingloom.schemas import LOG_PREFIX, STREAM_INTERVAL
+from ratingloom.schemas import FORWARD_KEY, LOG_PREFIX, RATING_TOPIC, STREAM_INTERVAL
 
 
 def filter_rating_log(lines: DataFrame, prefix: str = LOG_PREFIX) -> DataFrame:
@@ -55,10 +55,10 @@ def sink_filtered_log(
     kafka: dict[str, str] | None = None,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Forward rating texts to text files, or to Kafka under the constant key ``logProcessor``."""
+    """Forward rating texts to text files, or to Kafka under one constant key."""
     if kafka is None:
         writer = stream.select("value").writeStream.format("text").option("path", out)
     else:
-        keyed = stream.select(F.lit("logProcessor").alias("key"), "value")
-        writer = keyed.writeStream.format("kafka").options(**{"topic": "recommender", **kafka})
+        keyed = stream.select(F.lit(FORWARD_KEY).alias("key"), "value")
+        writer = keyed.writeStream.format("kafka").options(**{"topic": RATING_TOPIC, **kafka})
     return start(writer.option("checkpointLocation", checkpoint), available_now)

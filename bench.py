@@ -9,12 +9,13 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ratingloom.plans.catalog import REGISTRY  # noqa: E402
-from ratingloom.session import build_session  # noqa: E402
+from ratingloom.session import build_session, ensure_shared_dir  # noqa: E402
 
 HEADLINE = (
     "genre_top", "rate_more", "rate_more_recently", "average_score", "rating_histogram", "tags_per_item",
@@ -31,6 +32,7 @@ def main() -> None:
     chosen = os.environ.get("BENCH_QUERIES")
     names = chosen.split(",") if chosen else HEADLINE
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus)
+    ensure_shared_dir(spark, tempfile.mkdtemp(prefix="ratingloom-bench-"))
     for name in ("nation", "lineitem"):
         spark.read.parquet(f"{sf_dir}/{name}.parquet").write.format("noop").mode("overwrite").save()
     seconds = {}

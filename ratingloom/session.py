@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,21 +29,33 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, **conf:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a fresh temporary folder.
+    There is no fallback: whoever starts the session names a folder (see ``ensure_shared_dir``).
     """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     active = spark.sparkContext.getCheckpointDir()
-    configured = spark.conf.get("spark.checkpoint.dir", None) or active
-    if configured:
-        if not active:
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if configured and not active:
+        spark.sparkContext.setCheckpointDir(configured)
+    if not (configured or active):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    fallback = tempfile.mkdtemp(prefix="ratingloom-")
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
+    return configured or active
+
+
+def ensure_shared_dir(spark: SparkSession, path: str | None = None) -> None:
+    """Name a shared folder where the session has none: ``path``, or a folder beside the tables of
+    the session's warehouse, which every executor reaches."""
+    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
+        return
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    spark.sparkContext.setCheckpointDir(path or f"{warehouse}/_ratingloom")
 
 
 def scratch(spark: SparkSession, purpose: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark)}/ratingloom/{purpose}-{uuid.uuid4().hex}"
+
+
+def forget(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch paths whose rows are no longer needed."""
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import time
 import traceback
 
@@ -12,7 +13,7 @@ import duckdb
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as contract  # noqa: E402
-from ratingloom.session import build_session  # noqa: E402
+from ratingloom.session import build_session, ensure_shared_dir  # noqa: E402
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
@@ -58,6 +59,7 @@ def main() -> int:
     names = sys.argv[2:] or list(contract.queries())
     sf_dir = f"/root/testdata/sf{sf}"
     spark, con = build_session(), connect(sf_dir)
+    ensure_shared_dir(spark, tempfile.mkdtemp(prefix="ratingloom-check-"))
     failed = 0
     for name in names:
         began = time.time()

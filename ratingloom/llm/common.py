@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import sys
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -126,3 +129,83 @@ def stored(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
     with tidy_shuffles(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
+
+
+def map_arrays(
+    df: DataFrame, make: Callable[[], Callable[[list[tuple]], Iterable[tuple]]], schema: str
+) -> DataFrame:
+    """As ``map_rows_together`` for a function that yields tuples of equally long numpy arrays."""
+    columns = df.columns
+    arrow = to_arrow_schema(T._parse_datatype_string(schema))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        apply = make()
+        for rows in rows_of(batches, *columns):
+            for made in apply(rows):
+                for start in range(0, len(made[0]), OUT_ROWS):
+                    parts = [pa.array(a[start : start + OUT_ROWS], f.type) for a, f in zip(made, arrow, strict=True)]
+                    yield pa.RecordBatch.from_arrays(parts, schema=arrow)
+
+    return df.mapInArrow(task, schema)
+
+
+class WordHashes(dict):
+    """64-bit hashes of words, each computed once per task while memory lasts."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= 1_000_000:
+            self.clear()
+        made = self[word] = xxhash.xxh3_64_intdigest(word)
+        return made
+
+
+class Runs:
+    """Hashes of all runs of consecutive words of many texts, from prefix sums of a polynomial.
+
+    Texts are laid end to end; ``first[i]`` is where text i begins, ``owner`` names a word's text.
+    """
+
+    BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+
+    def __init__(self, known: WordHashes, texts: list[list[bytes]]):
+        counts = np.array([len(t) for t in texts], np.int64)
+        self.total = int(counts.sum())
+        self.first = np.concatenate(([0], np.cumsum(counts)))
+        self.owner = np.repeat(np.arange(len(texts)), counts)
+        words = itertools.chain.from_iterable(texts)
+        self.hashes = np.fromiter(map(known.__getitem__, words), np.uint64, self.total)
+
+    def of(self, length: int, which: int = 0) -> np.ndarray:
+        """The hash of every run of ``length`` words, by its first word; runs over two texts included."""
+        if self.total < length:
+            return np.empty(0, np.uint64)
+        base = self.BASES[which]
+        up = _powers(base, self.total)
+        down = _powers(pow(base, -1, 1 << 64), self.total)
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(self.hashes * up, dtype=np.uint64)))
+        starts = self.total - length + 1
+        return mixed((sums[length:] - sums[:starts]) * down[:starts])
+
+    def whole(self, length: int) -> np.ndarray:
+        """Which runs of ``length`` words lie inside one text."""
+        if self.total < length:
+            return np.empty(0, bool)
+        return self.owner[: self.total - length + 1] == self.owner[length - 1 :]
+
+
+def _powers(base: int, count: int) -> np.ndarray:
+    out = np.full(count, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out, dtype=np.uint64)
+
+
+def mixed(values: np.ndarray) -> np.ndarray:
+    """Values spread over all 64 bits."""
+    out = values ^ (values >> np.uint64(32))
+    out = out * np.uint64(0xD6E8FEB86659FD93)
+    return out ^ (out >> np.uint64(32))
+
+
+def tagged(values: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Values made different for different owners."""
+    return mixed(values + mixed(owner.astype(np.uint64) + np.uint64(1)))

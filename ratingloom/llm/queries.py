@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ratingloom.llm import bpe, tokencounts
+from ratingloom.llm import bpe, substrings, tokencounts
 
 Query = Callable[[SparkSession, str], DataFrame]
 LLM_REGISTRY: dict[str, Query] = {}
@@ -26,6 +27,33 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+@register
+def op1_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.remove_repeats(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+LLM_ORACLES["op1_remove_repeats"] = r"""
+with words as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents
+), windows as (
+  select doc_id, i, array_to_string(list_slice(ws, i, i + 12), ' ') as said
+  from words, lateral (select unnest(range(1, len(ws) - 11)) as i)
+), owned as (
+  select doc_id, i, min(doc_id) over (partition by said) as owner from windows
+), removed as (
+  select doc_id, list(distinct i + k) as gone from owned, range(13) as t(k) where owner < doc_id group by doc_id
+), kept as (
+  select doc_id, ws, coalesce(gone, []::bigint[]) as gone,
+         list_filter(ws, lambda w, i: not list_contains(coalesce(gone, []::bigint[]), i)) as stay
+  from words left join removed using (doc_id)
+)
+select doc_id, len(ws) as n_words, len(gone) as n_removed,
+       sha256(array_to_string(stay, ' ')) as kept_sha256
+from kept
+"""
+
+
 @register
 def op5_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents", "doc_id", "text")

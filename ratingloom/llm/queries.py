@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import bpe, substrings, tokencounts
+from ratingloom.llm import bpe, html, langid, licenses, substrings, tokencounts
 
 Query = Callable[[SparkSession, str], DataFrame]
 LLM_REGISTRY: dict[str, Query] = {}
@@ -64,3 +64,25 @@ def op5_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents", "doc_id", "text")
     return bpe.encode_digests(documents, RANKS, public_tokenizers.PATTERN)
+
+
+@register
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents", "doc_id", "text")).drop("matches")
+
+
+HELD_OUT = "coalesce(crc32(cast(cast(doc_id as string) as binary)) % 4 = 2, false)"
+
+
+@register
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    learned = documents.where(f"doc_id is not null and not {HELD_OUT}").select("text", "lang")
+    found = langid.identify(documents.select("doc_id", "text"), langid.fit(learned))
+    shares = F.transform("languages", lambda x: F.concat_ws(":", x["lang"], F.round(x["share"], 4).cast("string")))
+    return found.select("doc_id", F.expr(HELD_OUT).alias("held_out"), "lang_pred", "score", F.array_join(shares, ",").alias("languages"))
+
+
+@register
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(_table(spark, sf_dir, "pages", "page_id", "url", "html")).drop("blocks")

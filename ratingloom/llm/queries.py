@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import bpe, html, langid, licenses, substrings, tokencounts
+from ratingloom.llm import bpe, html, langid, licenses, neardup, substrings, tokencounts
 
 Query = Callable[[SparkSession, str], DataFrame]
 LLM_REGISTRY: dict[str, Query] = {}
@@ -86,3 +86,8 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(_table(spark, sf_dir, "pages", "page_id", "url", "html")).drop("blocks")
+
+
+@register
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicate_classes(_table(spark, sf_dir, "documents", "doc_id", "text"))

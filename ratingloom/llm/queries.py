@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import bpe, html, langid, licenses, neardup, substrings, tokencounts
+from ratingloom.llm import bpe, decontam, html, langid, licenses, neardup, rules, substrings, tokencounts
 
 Query = Callable[[SparkSession, str], DataFrame]
 LLM_REGISTRY: dict[str, Query] = {}
@@ -91,3 +91,49 @@ def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicate_classes(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@register
+def op7_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    found = decontam.contamination(documents, _table(spark, sf_dir, "benchmark", "item_id", "text"))
+    digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+
+
+LLM_ORACLES["op7_contamination"] = r"""
+with said as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents
+), items as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from benchmark
+), phrases as (
+  select distinct item_id, least(len(ws), 13) as n, array_to_string(list_slice(ws, i, i + 12), ' ') as phrase
+  from items, lateral (select unnest(range(1, greatest(2, len(ws) - 11))) as i) where len(ws) > 0
+), sizes as (
+  select distinct n from phrases
+), places as (
+  select doc_id, i, n, array_to_string(list_slice(ws, i, i + n - 1), ' ') as phrase
+  from said, sizes, lateral (select unnest(range(1, len(ws) - n + 2)) as i)
+), matches as (
+  select distinct doc_id, i, n, item_id from places join phrases using (phrase, n)
+), hits as (
+  select doc_id, count(distinct i + k) as n_hit from matches, range(13) as t(k) where k < n group by doc_id
+), held as (
+  select doc_id, count(distinct item_id) as n_items,
+         array_to_string(list_sort(list(distinct cast(item_id as varchar))), ',') as items
+  from matches group by doc_id
+)
+select doc_id, len(ws) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(items, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(ws) as contaminated
+from said left join hits using (doc_id) left join held using (doc_id)
+"""
+
+
+@register
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.judge(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select("doc_id", *counts, "base_failed", "kept", "votes", F.round("quality", 6).alias("quality"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import bpe, decontam, html, langid, licenses, neardup, rules, substrings, tokencounts
+from ratingloom.llm import bpe, decontam, html, langid, licenses, neardup, quotes, rules, substrings, tokencounts
 
 Query = Callable[[SparkSession, str], DataFrame]
 LLM_REGISTRY: dict[str, Query] = {}
@@ -137,3 +137,49 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.judge(_table(spark, sf_dir, "documents", "doc_id", "text"))
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return judged.select("doc_id", *counts, "base_failed", "kept", "votes", F.round("quality", 6).alias("quality"))
+
+
+@register
+def op9_reply_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.reply_order(_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+LLM_ORACLES["op9_reply_order"] = r"""
+with recursive messages as (
+  select conv_id, turn, role, coalesce(text, '') as text, row_number() over () as row from conversations
+), lines as (
+  select conv_id, turn, row, unnest(string_split(text, chr(10))) as line from messages
+), found as (
+  select conv_id, turn, row, length(regexp_replace(regexp_extract(line, '^[ \t]*>[ \t>]*'), '[^>]', '', 'g')) as level,
+         lower(trim(regexp_replace(regexp_replace(line, '^[ \t]*>[ \t>]*', ''), '[\x20\x09-\x0D]+', ' ', 'g'))) as passage
+  from lines
+), quoted as (
+  select q.conv_id, q.turn, q.row, q.level,
+         (select max(s.turn) from found s where s.level = 0 and s.conv_id = q.conv_id and s.passage = q.passage and s.turn < q.turn) as source
+  from found q where q.level > 0 and q.passage <> '' and q.conv_id is not null and q.turn is not null
+), support as (
+  select conv_id, turn, row, source, min(level) as level, count(*) as n from quoted where source is not null group by all
+), answered as (
+  select conv_id, turn, row, source as parent from support
+  qualify row_number() over (partition by row order by level, n desc, source desc) = 1
+), up as (
+  select conv_id, turn, max(parent) as parent from answered group by all
+), chain as (
+  select conv_id, turn, parent as root, 1 as depth from up
+  union all
+  select c.conv_id, c.turn, u.parent, c.depth + 1 from chain c join up u on u.conv_id = c.conv_id and u.turn = c.root
+), threads as (
+  select conv_id, turn, min(root) as root, max(depth) as depth from chain group by all
+), counted as (
+  select row, count(*) as n_quotes, count(source) as n_linked from quoted group by row
+), own as (
+  select row, regexp_replace(array_to_string(list_filter(string_split(text, chr(10)), lambda line: not regexp_matches(line, '^[ \t]*>[ \t>]*')), chr(10)),
+                             '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') as said
+  from messages
+)
+select conv_id, turn, role, said as text, parent as parent_turn, coalesce(root, turn) as root_turn,
+       cast(coalesce(depth, 0) as bigint) as depth, coalesce(n_quotes, 0) as n_quotes, coalesce(n_linked, 0) as n_linked,
+       '<|' || coalesce(role, '') || '|>' || chr(10) || said || chr(10) || '<|end|>' as chat
+from messages join own using (row) left join counted using (row) left join answered using (conv_id, turn, row)
+left join threads using (conv_id, turn)
+"""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ratingloom.schemas import SCORE_DIGITS
 
 # Fixed value: the characters a JVM string trim removes.
-CONTROL_AND_SPACE = "".join(chr(code) for code in range(1, 33))
+CONTROL_AND_SPACE = "".join(chr(code) for code in range(33))
 MILLISECONDS_FROM = 100_000_000_000
 
 

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from ratingloom.functions.scalars import dot
-from ratingloom.operators.lists import list_rows, similar_items, user_top
+from ratingloom.operators.lists import similar_items, user_top
 from ratingloom.operators.vectors import all_pairs_cosine, best_products
 from ratingloom.schemas import (
     ALS_ITERATIONS,
@@ -100,11 +100,9 @@ def top_products(user_factor: DataFrame, item_factor: DataFrame, k: int = USER_L
 
 
 def recommend_users(model: ALSModel, k: int = USER_LIST_LENGTH) -> DataFrame:
-    """The ``k`` best positive predictions per user, in long form."""
-    lists = model.recommendForAllUsers(k).select(
-        "uid", F.transform("recommendations", lambda r: F.struct(r["mid"].alias("mid"), r["rating"].alias("score"))).alias("recs")
-    )
-    return list_rows(lists, "uid").where(F.col("score") > 0)
+    """(uid, rank, mid, score): the ``k`` best positive predictions per user. Blocks of users meet
+    blocks of items; there is no product of the two tables."""
+    return top_products(*factor_tables(model), k)
 
 
 def factor_similarity(model: ALSModel, min_sim: float = MIN_SIMILARITY, k: int | None = None) -> DataFrame:
@@ -166,11 +164,19 @@ def tune_als(
             model = train_als(train, rank, iterations, reg, seed)
             error = rmse(test, predict_pairs(model, test)).first()["rmse"]
             cells.append((rank, float(reg), error))
+            free_factors(train.sparkSession)
     train.unpersist()
     test.unpersist()
     return train.sparkSession.createDataFrame(cells, "rank int, lambda double, rmse double")
 
 
+def free_factors(spark: SparkSession) -> None:
+    """Drop the cached factors of all models fitted so far; a model still in use computes them anew."""
+    for rdd in list(spark.sparkContext._jsc.getPersistentRDDs().values()):
+        if rdd.name() in ("userFactors", "itemFactors"):
+            rdd.unpersist()
+
+
 def best_params(grid: DataFrame) -> DataFrame:
     """The grid row with the least error; cells without a number are passed over."""
     usable = grid.where(F.col("rmse").isNotNull() & ~F.isnan("rmse"))

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from ratingloom.functions.scalars import stable
 from ratingloom.schemas import MIN_SIMILARITY, USER_LIST_LENGTH
+from ratingloom.session import materialised
+
+# Rows of one key's score band above which the band is cut further.
+BAND_ROWS = 200_000
 
 
 def top_k(rows: DataFrame, key: str | list[str], order: list[Column], k: int, rank: str = "rank") -> DataFrame:
@@ -28,27 +32,38 @@ def banded_rank(
 ) -> DataFrame:
     """Exact position of every row in its key's list, best score first, without cutting the list.
 
-    Rows are ranked inside equal-width score bands and shifted by the size of the better bands, so
-    one long list is sorted by up to ``bands`` tasks.
+    The rows are written once. They are ranked inside score bands and shifted by the size of the
+    better bands. Bands are equal-width, and one that holds many rows of a key, equal scores too, is
+    cut at quantiles of its (score, id), so no list is sorted by one task.
     """
     share = (F.lit(high) - F.col(score_col)) / F.lit(high - low)
     band = F.least(F.lit(bands - 1), F.greatest(F.lit(0), F.floor(share * bands))).cast("int")
-    ordered = rows.withColumn(score_col, stable(score_col)).withColumn("_band", band)
-    better = Window.partitionBy(key).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
+    ordered = materialised(rows.withColumn(score_col, stable(score_col)).withColumn("_band", band), "pairs")
+    place = F.struct((-F.col(score_col)).alias("s"), F.col(id_col).alias("i"))
+    full = ordered.groupBy(key, "_band").agg(F.count("*").alias("_size")).where(F.col("_size") > BAND_ROWS)
+    # A sample by hash gives the cuts of the large bands; where they fall decides no result.
+    drawn = ordered.join(full, [key, "_band"]).where(F.pmod(F.xxhash64(key, id_col), F.floor(F.col("_size") / 512) + 1) == 0)
+    cuts = drawn.groupBy(key, "_band").agg(F.array_sort(F.collect_list(place)).alias("_sample"), F.max("_size").alias("_size"))
+    step = F.greatest(F.lit(1), F.floor(F.size("_sample") * BAND_ROWS / F.col("_size"))).cast("int")
+    cuts = cuts.withColumn("_cuts", F.filter("_sample", lambda s, i: i % step == 0)).select(key, "_band", "_cuts")
+    parted = ordered.join(cuts, [key, "_band"], "left").withColumn(
+        "_part", F.coalesce(F.size(F.filter("_cuts", lambda c: c <= place)), F.lit(0))
+    )
+    better = Window.partitionBy(key).orderBy("_band", "_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        ordered.groupBy(key, "_band")
+        parted.groupBy(key, "_band", "_part")
         .count()
-        .select(key, "_band", F.coalesce(F.sum("count").over(better), F.lit(0)).alias("_before"))
+        .select(key, "_band", "_part", F.coalesce(F.sum("count").over(better), F.lit(0)).alias("_before"))
     )
-    inside = Window.partitionBy(key, "_band").orderBy(F.col(score_col).desc(), F.col(id_col))
+    inside = Window.partitionBy(key, "_band", "_part").orderBy(F.col(score_col).desc(), F.col(id_col))
     return (
-        ordered.join(offsets, [key, "_band"])
+        parted.join(offsets, [key, "_band", "_part"])
         .withColumn("rank", (F.col("_before") + F.row_number().over(inside)).cast("int"))
-        .drop("_band", "_before")
+        .drop("_band", "_part", "_cuts", "_before")
     )
 
 
-def rank_lists(rows: DataFrame, key: str, k: int = USER_LIST_LENGTH, id_col: str = "mid") -> DataFrame:
+def rank_lists(rows: DataFrame, key: str, k: int, id_col: str = "mid") -> DataFrame:
     """One row per key with its ``k`` best as ``recs array<struct<mid,score>>``, best first.
 
     Lists that are not cut stay in long form (see ``similar_items``): a nested list is one value
@@ -78,7 +93,8 @@ def head_of_list(lists: DataFrame, n: int, keys: DataFrame | None = None, on: st
 
 
 def filter_positive(pred: DataFrame) -> DataFrame:
-    return pred.where(F.col("score") > 0)
+    """Scores above zero after rounding, the same rule as in the block products."""
+    return pred.where(stable("score") > 0)
 
 
 def filter_similar(pairs: DataFrame, min_sim: float = MIN_SIMILARITY) -> DataFrame:

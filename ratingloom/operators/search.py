@@ -11,6 +11,12 @@ from ratingloom.functions.scalars import stable, words
 from ratingloom.operators.lists import by_score, top_k
 from ratingloom.operators.stats import items_with_tags
 from ratingloom.schemas import BM25_B, BM25_K1, MORE_LIKE_THIS_TERMS
+from ratingloom.session import materialised
+
+# Query terms that are sent to every task; beyond, terms and postings are shuffled.
+BROADCAST_TERMS = 200_000
+# Words up to this length are met by removed characters, longer ones by pieces.
+SHORT_WORD = 20
 
 
 def build_corpus(movie: DataFrame, tag: DataFrame) -> DataFrame:
@@ -41,6 +47,17 @@ def field_sizes(corpus: DataFrame, fields: Sequence[str]) -> DataFrame:
     return _documents(corpus, fields).groupBy("field").agg(F.count("*").alias("docs"), F.avg("len").alias("avg_len"))
 
 
+def _postings_and_sizes(corpus: DataFrame, fields: Sequence[str], wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``index_corpus`` of the wanted terms and ``field_sizes``, from one pass over the corpus: every
+    field brings one row without a term, and all is written once."""
+    marked = F.concat(F.array(F.lit(None).cast("string")), F.col("tokens"))
+    tokens = _documents(corpus, fields).select("mid", "field", "len", F.explode(marked).alias("term"))
+    kept = tokens.join(wanted.withColumn("_wanted", F.lit(True)), "term", "left").where("term is null or _wanted")
+    stored = materialised(kept.groupBy("term", "field", "mid", "len").agg(F.count("*").alias("tf")), "asked-postings")
+    sizes = stored.where("term is null").groupBy("field").agg(F.count("*").alias("docs"), F.avg("len").alias("avg_len"))
+    return stored.where("term is not null"), sizes
+
+
 def _bm25(k1: float, b: float) -> Column:
     idf = F.log(1 + (F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = F.col("tf") + k1 * (1 - b + b * F.col("len") / F.col("avg_len"))
@@ -62,10 +79,16 @@ def query_terms(queries: DataFrame) -> DataFrame:
 
 
 def _hits(terms: DataFrame, weighted: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """(qid, mid, score): term weights summed per field, the best field counts."""
+    """(qid, mid, score): term weights summed per field, the best field counts.
+
+    Items are dealt out by their id first and few queries are sent to every task, so all terms of an
+    item meet in one task, and a term that most items have sends on no more than each query's best of
+    that task.
+    """
     sums = [F.sum(F.when(F.col("field") == f, F.col("w"))) for f in fields]
     best = F.greatest(*sums) if len(sums) > 1 else sums[0]
-    return terms.join(weighted, "term").groupBy("qid", "mid").agg(stable(best).alias("score"))
+    asked = F.broadcast(terms) if terms.count() <= BROADCAST_TERMS else terms
+    return weighted.repartition("mid").join(asked, "term").groupBy("qid", "mid").agg(stable(best).alias("score"))
 
 
 def hits_to_recs(hits: DataFrame, n: int) -> DataFrame:
@@ -85,10 +108,11 @@ def search_index(
 def search(corpus: DataFrame, queries: DataFrame, fields: Sequence[str] = ("name", "descri"), n: int = 10) -> DataFrame:
     """BM25 over several fields for (qid, text) queries; the best field of an item is its score."""
     terms = query_terms(queries)
-    postings = index_corpus(corpus, fields, terms.select("term").distinct())
-    return hits_to_recs(_hits(terms, _weighted(postings, field_sizes(corpus, fields)), fields), n)
+    postings, sizes = _postings_and_sizes(corpus, fields, terms.select("term").distinct())
+    return hits_to_recs(_hits(terms, _weighted(postings, sizes), fields), n)
 
 
+# The text fields of an item.
 TEXT_FIELDS = ("name", "descri", "genres", "actors", "directors", "tags")
 
 
@@ -100,13 +124,14 @@ def more_like_this(
     present = [f for f in fields if f in corpus.columns]
     text = corpus.select("mid", F.concat_ws(" ", *present).alias("all"))
     seeds = text.join(mids.select("mid").distinct(), "mid", "left_semi")
-    seed_terms = index_corpus(seeds, ("all",)).select("term", "field", F.col("mid").alias("qid"), F.col("tf").alias("seed_tf"))
-    postings = index_corpus(text, ("all",), seed_terms.select("term").distinct())
+    of_seeds = index_corpus(seeds, ("all",)).select("term", "field", F.col("mid").alias("qid"), F.col("tf").alias("seed_tf"))
+    seed_terms = materialised(of_seeds, "seed-terms")
+    postings, sizes = _postings_and_sizes(text, ("all",), seed_terms.select("term").distinct())
     total = text.agg(F.count("*").alias("docs")).scalar()
     telling = F.col("seed_tf") * F.log((total + 1) / (F.col("df") + 1))
     ranked = seed_terms.join(_term_df(postings), ["field", "term"]).withColumn("telling", stable(telling))
     terms = top_k(ranked, "qid", [F.desc("telling"), F.asc("term")], max_terms).select("qid", "term")
-    hits = _hits(terms, _weighted(postings, field_sizes(text, ("all",))), ("all",)).where(F.col("qid") != F.col("mid"))
+    hits = _hits(terms, _weighted(postings, sizes), ("all",)).where(F.col("qid") != F.col("mid"))
     return hits_to_recs(hits, n)
 
 
@@ -133,20 +158,52 @@ def _shortened(text: Column, edits: int) -> Column:
     return forms
 
 
+def _pieces(text: Column, length: Column, edits: int, slide: int) -> Column:
+    """``edits`` + 1 pieces of a word cut as one of ``length`` is, each up to ``slide`` places moved.
+
+    Of two words within ``edits`` edits one piece of the one stands in the other, moved by no more.
+    """
+    parts = edits + 1
+    forms = []
+    for part in range(parts):
+        begin, end = F.floor(length * part / parts).cast("int"), F.floor(length * (part + 1) / parts).cast("int")
+        for move in range(-slide, slide + 1):
+            piece = F.substr(text, begin + 1 + move, end - begin)
+            forms.append(F.when(begin + move >= 0, F.concat(F.lit(f"{part}|"), length.cast("string"), F.lit("|"), piece)))
+    return F.array_compact(F.array(*forms))
+
+
+def _query_forms(word: Column, edits: int) -> Column:
+    size = F.length(word)
+    return F.when(size <= SHORT_WORD, _shortened(F.when(size <= SHORT_WORD, word).otherwise(""), edits)).otherwise(_pieces(word, size, edits, 0))
+
+
+def _word_forms(word: Column, edits: int) -> Column:
+    """What a vocabulary word can be met by: as a short word, as a long one, or near the limit as both."""
+    size = F.length(word)
+    none = F.array().cast("array<string>")
+    short = size <= SHORT_WORD + edits
+    as_short = F.when(short, _shortened(F.when(short, word).otherwise(""), edits)).otherwise(none)
+    cuts = F.flatten(F.array(*[_pieces(word, size + d, edits, edits) for d in range(-edits, edits + 1)]))
+    return F.concat(as_short, F.when(size > SHORT_WORD - edits, cuts).otherwise(none))
+
+
 def fuzzy_genre(corpus: DataFrame, queries: DataFrame, n: int = 10, max_edits: str | int = "auto") -> DataFrame:
     """Items with a genre token within the allowed edits of the query word; (qid, rank, mid, score).
 
-    Two words within d edits share a form that at most d removals leave of each, so close words meet
-    in an equi-join on shortened forms and the edit distance is computed for those only. The score is
-    1 - distance / length of the shorter word, the best token counts.
+    Two words within d edits share a form that at most d removals leave of each, or, if long, one of
+    d + 1 pieces. So close words meet in an equi-join on forms, of which a word has a bounded number,
+    and the edit distance is computed for those only. Words of a length that no query is near are
+    left out first. The score is 1 - distance / length of the shorter word, the best token counts.
     """
     wanted = queries.select("qid", F.lower(F.trim("text")).alias("q")).where(F.col("q") != "")
     allowed = _edits(F.col("q")) if max_edits == "auto" else F.lit(int(max_edits))
     depth = 2 if max_edits == "auto" else int(max_edits)
     tokens = corpus.select("mid", F.explode(F.array_distinct(words("genres"))).alias("token"))
-    vocabulary = tokens.select("token").distinct()
-    left = wanted.withColumn("d", allowed.cast("int")).withColumn("form", F.explode(_shortened(F.col("q"), depth)))
-    right = vocabulary.withColumn("form", F.explode(_shortened(F.col("token"), depth)))
+    near_lengths = wanted.select(F.explode(F.sequence(F.length("q") - depth, F.length("q") + depth)).alias("_len")).distinct()
+    vocabulary = tokens.select("token").distinct().withColumn("_len", F.length("token")).join(near_lengths, "_len", "left_semi")
+    left = wanted.withColumn("d", allowed.cast("int")).withColumn("form", F.explode(_query_forms(F.col("q"), depth)))
+    right = vocabulary.select("token", F.explode(_word_forms(F.col("token"), depth)).alias("form"))
     distance = F.levenshtein("q", "token", depth)
     shorter = F.least(F.length("q"), F.length("token"))
     near = (

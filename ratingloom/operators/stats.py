@@ -91,11 +91,14 @@ def explode_genres(movie: DataFrame, col: str = "genres") -> DataFrame:
 def append_prefs(user: DataFrame, updates: DataFrame) -> DataFrame:
     """Add comma-separated categories to the users' lists and clear their ``first`` flag.
 
-    ``updates`` has one (username, genres) row per user; repeats inside a list are kept.
+    ``updates`` has (username, genres) rows; several of one user are added in the order of their
+    text. Repeats inside a list are kept, and a user without a list gets one.
     """
-    added = updates.select("username", split_prefs("genres").alias("_added"))
+    known = updates.where("genres is not null").groupBy("username").agg(F.array_sort(F.collect_list("genres")).alias("_all"))
+    added = known.select("username", F.flatten(F.transform("_all", split_prefs)).alias("_added"))
     changed = F.col("_added").isNotNull()
-    prefs = F.when(changed, F.concat("prefGenres", "_added")).otherwise(F.col("prefGenres"))
+    listed = F.coalesce("prefGenres", F.array().cast("array<string>"))
+    prefs = F.when(changed, F.concat(listed, "_added")).otherwise(F.col("prefGenres"))
     return (
         user.join(added, "username", "left")
         .withColumns({"prefGenres": prefs, "first": F.when(changed, F.lit(False)).otherwise(F.col("first"))})

@@ -1,8 +1,10 @@
 """Similarity joins and best products over vectors, in bounded blocks.
 
-Vectors are packed into blocks of a few thousand rows, every pair of blocks becomes one group, and
-a numpy product inside the group yields only the pairs above the cut. No group depends on how the
-data is skewed: block sizes follow from a hash of the unique id.
+Vectors are packed into blocks of bounded bytes. Without ``k`` every pair of blocks becomes one
+group, and a numpy product inside the group yields only the pairs above the cut. With ``k`` one task
+holds a block of rows, meets the other blocks one after the other and keeps each row's running
+``k`` best, so its output is rows times ``k``. No group depends on how the data is skewed: block
+sizes follow from a hash of the unique id.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,10 +25,12 @@ from ratingloom.schemas import MIN_SIMILARITY, SCORE_DIGITS
 # Executors get the task functions by value and need no installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Cells of a product that are held at once, and rows of a block.
+# Cells of a product, and products of single weights, that are held at once; bytes of a block.
 STRIPE_CELLS = 1_000_000
+STRIPE_TERMS = 4_000_000
+BLOCK_BYTES = 16_000_000
 SLACK = 10.0 ** (1 - SCORE_DIGITS)
-SMALLEST_BLOCK, USUAL_BLOCK, LARGEST_BLOCK = 250, 2_000, 64_000
+SMALLEST_BLOCK = 250
 PACKED = "block int, payload binary"
 
 
@@ -41,11 +46,10 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _blocks(vectors: DataFrame, block_rows: int | None, sparse: bool) -> tuple[DataFrame, int]:
-    """The packed blocks and their number. Unless given, the block size grows with the table, which
-    keeps the copies of a block few; sparse blocks stay small, as they are widened in the task."""
-    rows = vectors.count()
+    """The packed blocks and their number. Unless given, the block size follows from the bytes of a row."""
+    rows, width = vectors.agg(F.count("*"), F.max(F.size("features"))).first()
     if block_rows is None:
-        block_rows = USUAL_BLOCK if sparse else min(LARGEST_BLOCK, max(USUAL_BLOCK, rows // 200))
+        block_rows = max(1, BLOCK_BYTES // ((24 if sparse else 8) * max(1, width or 1)))
     tasks = vectors.sparkSession.sparkContext.defaultParallelism
     spread = min(math.ceil(rows / SMALLEST_BLOCK), math.ceil(math.sqrt(2 * tasks)))
     count = max(1, math.ceil(rows / block_rows), spread)
@@ -60,24 +64,69 @@ def _unpack(payload: bytes) -> tuple[np.ndarray, pa.Table]:
 
 def _dense(table: pa.Table) -> np.ndarray:
     values = table.column("features").combine_chunks()
+    widths = values.value_lengths()
+    if values.null_count or values.flatten().null_count or pc.min(widths) != pc.max(widths):
+        raise ValueError("vectors need equal lengths and no nulls")
     flat = np.asarray(values.flatten().to_numpy(zero_copy_only=False), dtype=np.float64)
     return flat.reshape(table.num_rows, -1)
 
 
-def _terms(left: pa.Table, right: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Two sparse blocks as dense matrices over the terms they hold."""
-    both = [t.column("features").combine_chunks() for t in (left, right)]
-    names = pa.concat_arrays([b.flatten().field("term") for b in both]).dictionary_encode()
-    codes, width = names.indices.to_numpy(), len(names.dictionary)
-    out, start = [], 0
-    for lists in both:
+class _Dense:
+    """Rows of numbers."""
+
+    def __init__(self, table: pa.Table, unit: bool):
+        matrix = _dense(table)
+        self.matrix = _unit(matrix) if unit else matrix
+        self.rows = len(matrix)
+
+    def products(self, other: _Dense) -> Iterator[tuple[int, np.ndarray]]:
+        """(first row, products with all rows of ``other``) in stripes of bounded size."""
+        stripe = max(1, STRIPE_CELLS // max(1, other.rows))
+        for start in range(0, self.rows, stripe):
+            yield start, self.matrix[start : start + stripe] @ other.matrix.T
+
+
+class _Sparse:
+    """Row-compressed terms and weights; never widened to all terms."""
+
+    def __init__(self, table: pa.Table, unit: bool):
+        lists = table.column("features").combine_chunks()
         flat = lists.flatten()
-        matrix = np.zeros((len(lists), width))
-        rows = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
-        matrix[rows, codes[start : start + len(flat)]] = flat.field("weight").to_numpy()
-        start += len(flat)
-        out.append(matrix)
-    return out[0], out[1]
+        self.rows = len(lists)
+        self.terms = np.array(flat.field("term").to_pylist(), dtype=object)
+        self.weights = flat.field("weight").to_numpy(zero_copy_only=False).astype(np.float64)
+        self.row = np.repeat(np.arange(self.rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+        if unit:
+            norms = np.sqrt(np.bincount(self.row, self.weights**2, self.rows))
+            with np.errstate(invalid="ignore", divide="ignore"):
+                self.weights = np.where(norms[self.row] > 0, self.weights / norms[self.row], 0.0)
+        self.names, self.codes = np.unique(self.terms.astype(str), return_inverse=True) if len(self.terms) else (self.terms, np.empty(0, int))
+        order = np.argsort(self.codes, kind="stable")
+        self.by_term = (self.row[order], self.weights[order])
+        self.begins = np.searchsorted(self.codes[order], np.arange(len(self.names) + 1))
+
+    def products(self, other: _Sparse) -> Iterator[tuple[int, np.ndarray]]:
+        at = np.searchsorted(other.names, self.names) if len(other.names) else np.zeros(len(self.names), int)
+        same = np.zeros(len(self.names), bool)
+        if len(other.names):
+            inside = np.minimum(at, len(other.names) - 1)
+            same, at = other.names[inside] == self.names, inside
+        begin = np.where(same[self.codes], other.begins[at[self.codes]], 0) if len(other.names) else np.zeros(len(self.codes), int)
+        count = np.where(same[self.codes], other.begins[at[self.codes] + 1] - begin, 0) if len(other.names) else begin
+        per_row = np.concatenate(([0], np.cumsum(np.bincount(self.row, count, self.rows)))).astype(np.int64)
+        entry = np.searchsorted(self.row, np.arange(self.rows + 1))
+        most = max(1, STRIPE_CELLS // max(1, other.rows))
+        start = 0
+        while start < self.rows:
+            stop = int(np.searchsorted(per_row, per_row[start] + STRIPE_TERMS, "right")) - 1
+            stop = min(self.rows, max(start + 1, min(stop, start + most)))
+            mine = slice(entry[start], entry[stop])
+            n = count[mine]
+            postings = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin[mine], n)
+            cells = np.repeat(self.row[mine] - start, n) * other.rows + other.by_term[0][postings]
+            values = np.repeat(self.weights[mine], n) * other.by_term[1][postings]
+            yield start, np.bincount(cells, values, (stop - start) * other.rows).reshape(stop - start, other.rows)
+            start = stop
 
 
 def _unit(matrix: np.ndarray) -> np.ndarray:
@@ -109,9 +158,18 @@ def _found(
     return left_ids[start + at[above]], right_ids[to[above]], scores[above]
 
 
-def _kernel(
-    floor: float, k: int | None, unit: bool, sparse: bool, mirrored: bool
-) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _block(payload: bytes, sparse: bool, unit: bool) -> tuple[np.ndarray, _Dense | _Sparse]:
+    ids, table = _unpack(payload)
+    return ids, (_Sparse if sparse else _Dense)(table, unit)
+
+
+def _out(ids: np.ndarray, others: np.ndarray, scores: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(others, pa.int64()), pa.array(scores)], names=["id", "other", "score"])
+
+
+def _pair_kernel(floor: float, unit: bool, sparse: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """All pairs above the cut of two blocks, both directions; a block meets itself as one side."""
+
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sides: dict[int, tuple[int, bytes]] = {}
         for batch in batches:
@@ -119,62 +177,73 @@ def _kernel(
                 sides[side] = (block, payload)
         if len(sides) < 2:
             return
-        left_ids, left_table = _unpack(sides[0][1])
-        right_ids, right_table = _unpack(sides[1][1])
-        if sparse:
-            left, right = _terms(left_table, right_table)
-        else:
-            left, right = _dense(left_table), _dense(right_table)
-        if unit:
-            left, right = _unit(left), _unit(right)
-        same = mirrored and sides[0][0] == sides[1][0]
-        passes = [(left, right, left_ids, right_ids)]
-        if mirrored and not same:
-            passes.append((right, left, right_ids, left_ids))
-        for a, b, a_ids, b_ids in passes:
-            stripe = max(1, STRIPE_CELLS // max(1, len(b_ids)))
-            for start in range(0, len(a_ids), stripe):
-                product = a[start : start + stripe] @ b.T
-                ids, others, scores = _found(product, a_ids, b_ids, start, floor, k, same)
+        same = sides[0][0] == sides[1][0]
+        a_ids, a = _block(sides[0][1], sparse, unit)
+        b_ids, b = (a_ids, a) if same else _block(sides[1][1], sparse, unit)
+        for left, right, left_ids, right_ids in [(a, b, a_ids, b_ids)] + ([] if same else [(b, a, b_ids, a_ids)]):
+            for start, rows in left.products(right):
+                ids, others, scores = _found(rows, left_ids, right_ids, start, floor, None, same)
                 if len(ids):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids, pa.int64()), pa.array(others, pa.int64()), pa.array(scores)],
-                        names=["id", "other", "score"],
-                    )
+                    yield _out(ids, others, scores)
 
     return multiply
 
 
-def _block_pairs(
-    left: DataFrame, right: DataFrame | None, block_rows: int | None, sparse: bool
-) -> tuple[DataFrame, int]:
-    """(i, j, side, block, payload): the two payloads of every pair of blocks."""
-    left_blocks, n_left = _blocks(left, block_rows, sparse)
-    if right is None:
-        at, last = F.col("block"), F.lit(n_left - 1)
-        rows = left_blocks.select(F.explode(F.sequence(at, last)).alias("j"), at.alias("i"), F.lit(0).alias("side"), "block", "payload")
-        others = left_blocks.select(at.alias("j"), F.explode(F.sequence(F.lit(0), at)).alias("i"), F.lit(1).alias("side"), "block", "payload")
-        return rows.unionByName(others), n_left * (n_left + 1) // 2
-    right_blocks, n_right = _blocks(right, block_rows, sparse)
-    rows = left_blocks.select(
-        F.col("block").alias("i"), F.explode(F.sequence(F.lit(0), F.lit(n_right - 1))).alias("j"), F.lit(0).alias("side"), "block", "payload"
-    )
-    others = right_blocks.select(
-        F.explode(F.sequence(F.lit(0), F.lit(n_left - 1))).alias("i"), F.col("block").alias("j"), F.lit(1).alias("side"), "block", "payload"
-    )
-    return rows.unionByName(others), n_left * n_right
-
-
-def _multiply(
-    left: DataFrame, right: DataFrame | None, floor: float, k: int | None, unit: bool, sparse: bool, block_rows: int | None, max_tasks: int
+def _best_kernel(floor: float, k: int, unit: bool, sparse: bool, mirrored: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The ``k`` best of every row of a block (side 0) over the blocks behind it (side 1)."""
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[int, np.ndarray, _Dense | _Sparse] | None = None
+        best: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+        for batch in batches:
+            for side, block, payload in zip(*[batch.column(c).to_pylist() for c in ("side", "block", "payload")]):
+                ids, vectors = _block(payload, sparse, unit)
+                if side == 0:
+                    if best is not None and len(best[0]):
+                        yield _out(*best)
+                    held, best = (block, ids, vectors), tuple(np.empty(0, t) for t in (np.int64, np.int64, np.float64))
+                    continue
+                for start, rows in held[2].products(vectors):
+                    best = _merged(best, _found(rows, held[1], ids, start, floor, k, mirrored and held[0] == block), k)
+        if best is not None and len(best[0]):
+            yield _out(*best)
+
+    return multiply
+
+
+def _merged(best: tuple[np.ndarray, ...], more: tuple[np.ndarray, ...], k: int) -> tuple[np.ndarray, ...]:
+    """The ``k`` best per id of both, by score and then the smaller other id."""
+    if not len(more[0]):
+        return best
+    ids, others, scores = (np.concatenate(c) for c in zip(best, more))
+    order = np.lexsort((others, -scores, ids))
+    ids, others, scores = ids[order], others[order], scores[order]
+    begins = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
+    nth = np.arange(len(ids)) - np.repeat(begins, np.diff(np.append(begins, len(ids))))
+    keep = nth < k
+    return ids[keep], others[keep], scores[keep]
+
+
+def _all_pairs(vectors: DataFrame, floor: float, sparse: bool, block_rows: int | None, max_tasks: int) -> DataFrame:
+    blocks, count = _blocks(vectors, block_rows, sparse)
+    at, last = F.col("block"), F.lit(count - 1)
+    rows = blocks.select(F.explode(F.sequence(at, last)).alias("j"), at.alias("i"), F.lit(0).alias("side"), "block", "payload")
+    others = blocks.select(at.alias("j"), F.explode(F.sequence(F.lit(0), at)).alias("i"), F.lit(1).alias("side"), "block", "payload")
+    pairs = rows.unionByName(others).repartition(max(1, min(count * (count + 1) // 2, max_tasks)), "i", "j")
+    return pairs.groupBy("i", "j").applyInArrow(_pair_kernel(floor, True, sparse), "id long, other long, score double")
+
+
+def _best(
+    left: DataFrame, right: DataFrame | None, floor: float, k: int, unit: bool, sparse: bool, block_rows: int | None, max_tasks: int
 ) -> DataFrame:
-    pairs, n_pairs = _block_pairs(left, right, block_rows, sparse)
-    kernel = _kernel(floor, k, unit, sparse, mirrored=right is None)
-    return (
-        pairs.repartition(max(1, min(n_pairs, max_tasks)), "i", "j")
-        .groupBy("i", "j")
-        .applyInArrow(kernel, "id long, other long, score double")
-    )
+    """Blocks of ``left`` lie still, one per task at a time; blocks of the other side come behind them."""
+    left_blocks, count = _blocks(left, block_rows, sparse)
+    right_blocks = left_blocks if right is None else _blocks(right, block_rows, sparse)[0]
+    rows = left_blocks.select(F.col("block").alias("i"), F.lit(0).alias("side"), "block", "payload")
+    every = F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    others = right_blocks.select(every.alias("i"), F.lit(1).alias("side"), "block", "payload")
+    behind = rows.unionByName(others).repartition(max(1, min(count, max_tasks)), "i").sortWithinPartitions("i", "side", "block")
+    return behind.mapInArrow(_best_kernel(floor, k, unit, sparse, right is None), "id long, other long, score double")
 
 
 def all_pairs_cosine(
@@ -189,11 +258,13 @@ def all_pairs_cosine(
 
     ``vectors`` has unique ``mid`` and ``features``: an array of numbers, or with ``sparse`` an array
     of (term, weight) structs with each term once. Vectors of length zero are similar to nothing.
-    With ``k`` a superset of every item's ``k`` best is returned, small enough to cut with
-    ``similar_items``.
+    With ``k`` only every item's ``k`` best are returned, equal scores by the smaller id.
     """
     rows = vectors.select(F.col("mid").cast("long").alias("id"), "features")
-    found = _multiply(rows, None, min_sim, k, True, sparse, block_rows, max_tasks)
+    if k is None:
+        found = _all_pairs(rows, min_sim, sparse, block_rows, max_tasks)
+    else:
+        found = _best(rows, None, min_sim, k, True, sparse, block_rows, max_tasks)
     kind = vectors.schema["mid"].dataType
     return found.select(F.col("id").cast(kind).alias("mid"), F.col("other").cast(kind).alias("sim_mid"), "score")
 
@@ -201,13 +272,14 @@ def all_pairs_cosine(
 def best_products(
     user_factor: DataFrame, item_factor: DataFrame, k: int, block_rows: int | None = None, max_tasks: int = 10_000
 ) -> DataFrame:
-    """(uid, mid, score): a superset of every user's ``k`` greatest positive factor products.
+    """(uid, mid, score): every user's ``k`` greatest positive factor products, equal ones by the
+    smaller item.
 
-    Each pair of blocks is cut to ``k`` per user inside its task, so the product matrix is never
-    written out.
+    A block of users meets the item blocks one after the other in one task and holds the running
+    best, so neither the product matrix nor a cut per pair of blocks is ever written out.
     """
     users = user_factor.select(F.col("uid").cast("long").alias("id"), "features")
     items = item_factor.select(F.col("mid").cast("long").alias("id"), "features")
-    found = _multiply(users, items, 0.0, k, False, False, block_rows, max_tasks)
+    found = _best(users, items, 0.0, k, False, False, block_rows, max_tasks)
     uid, mid = user_factor.schema["uid"].dataType, item_factor.schema["mid"].dataType
     return found.select(F.col("id").cast(uid).alias("uid"), F.col("other").cast(mid).alias("mid"), "score")

@@ -14,7 +14,7 @@ from ratingloom.operators import factors, lists, realtime, search, stats, vector
 from ratingloom.plans import content, serving
 from ratingloom.plans import standins as t
 from ratingloom.session import scratch, shared_dir
-from ratingloom.sources import files, sinks, streams
+from ratingloom.sources import files, rejects, sinks, streams
 from ratingloom.streaming import live as live_stream
 from ratingloom.streaming import logs
 
@@ -73,6 +73,21 @@ def scan_tags(spark: SparkSession, sf: str) -> DataFrame:
     return files.scan_tags(spark, _files(t.tag(spark, sf).select(line.alias("value")), "tags"))
 
 
+def _spoiled_tags(spark: SparkSession, sf: str) -> DataFrame:
+    """Tag lines of which some types are broken: no number, a field too many, nothing at all."""
+    line = F.concat_ws(",", "uid", "mid", "tag", "ts")
+    spoiled = F.when(F.col("tag") == "error", F.concat(F.lit("x"), line)).when(F.col("tag") == "view", F.concat(line, F.lit(",more")))
+    return t.tag(spark, sf).select(F.coalesce(spoiled, F.when(F.col("tag") == "signup", "").otherwise(line)).alias("value"))
+
+
+@register
+def rejected_lines(spark: SparkSession, sf: str) -> DataFrame:
+    path, rejects = _files(_spoiled_tags(spark, sf), "tags"), scratch(spark, "rejects")
+    good = files.scan_tags(spark, path, rejects=rejects).select(F.concat_ws(",", "uid", "mid", "tag", "ts").alias("value"))
+    bad = files.rejected_lines(spark, rejects)
+    return good.withColumn("kept", F.lit(True)).unionByName(bad.withColumn("kept", F.lit(False)))
+
+
 @register
 def load_table(spark: SparkSession, sf: str) -> DataFrame:
     narrow = T.StructType(
@@ -114,9 +129,8 @@ def upsert_user_recs(spark: SparkSession, sf: str) -> DataFrame:
     sinks.upsert_user_recs(first, target, 0)
     for _ in range(2):
         sinks.upsert_user_recs(second, target, 1)
-    compacted = scratch(spark, "user-recs-compacted")
-    sinks.compact_state(spark, target, compacted, 1)
-    return rounded(lists.list_rows(sinks.current_user_recs(spark, compacted), "uid"), "score")
+    sinks.compact_state(spark, target)
+    return rounded(lists.list_rows(sinks.current_user_recs(spark, target), "uid"), "score")
 
 
 @register
@@ -149,14 +163,23 @@ def sink_filtered_log(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.text(out)
 
 
+def _rewritten(table: DataFrame, change: Callable[[DataFrame], DataFrame], purpose: str) -> DataFrame:
+    """Store a table, read it, store its changed rows over it, and read what is stored then."""
+    spark, path = table.sparkSession, scratch(table.sparkSession, purpose)
+    sinks.rewrite_table(table, path)
+    sinks.rewrite_table(change(sinks.current_table(spark, path)), path)
+    return sinks.current_table(spark, path)
+
+
 @register
 def delete_rating(spark: SparkSession, sf: str) -> DataFrame:
-    return sinks.delete_rating(t.rating(spark, sf), t.live(spark, sf)).select("uid", "mid", "score", "ts")
+    rating = t.rating(spark, sf).select("uid", "mid", "score", "ts")
+    return _rewritten(rating, lambda stored: sinks.delete_rating(stored, t.live(spark, sf)), "ratings")
 
 
 @register
 def delete_items(spark: SparkSession, sf: str) -> DataFrame:
-    return sinks.delete_items(t.movie(spark, sf), t.tag(spark, sf)).select("mid", "name")
+    return _rewritten(t.movie(spark, sf).select("mid", "name"), lambda stored: sinks.delete_items(stored, t.tag(spark, sf)), "items")
 
 
 def _indebted(spark: SparkSession, sf: str) -> DataFrame:
@@ -165,27 +188,34 @@ def _indebted(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def delete_users(spark: SparkSession, sf: str) -> DataFrame:
-    return sinks.delete_users(t.user(spark, sf), _indebted(spark, sf)).select("uid", "username")
+    left = _rewritten(t.user(spark, sf), lambda stored: sinks.delete_users(stored, _indebted(spark, sf)), "users")
+    return left.select("uid", "username")
 
 
 @register
 def register_users(spark: SparkSession, sf: str) -> DataFrame:
-    user = t.user(spark, sf)
-    names = t.read(spark, sf, "supplier").select(F.col("s_name").alias("username")).unionByName(user.select("username"))
-    return sinks.register_users(user, names).select("uid", "username", "first")
+    names = t.read(spark, sf, "supplier").select(F.col("s_name").alias("username"))
+
+    def change(stored: DataFrame) -> DataFrame:
+        return sinks.register_users(stored, names.unionByName(stored.select("username")))
+
+    return _rewritten(t.user(spark, sf), change, "users").select("uid", "username", "first")
 
 
 @register
 def upsert_ratings(spark: SparkSession, sf: str) -> DataFrame:
-    updates = t.live(spark, sf).groupBy("uid", "mid").agg(F.max("score").alias("score"), F.max("ts").alias("ts"))
-    return sinks.upsert_ratings(t.rating(spark, sf).select("uid", "mid", "score", "ts"), updates)
+    rating = t.rating(spark, sf).select("uid", "mid", "score", "ts")
+    updates = t.live(spark, sf).select("uid", "mid", "score", "ts")
+    return _rewritten(rating, lambda stored: sinks.upsert_ratings(stored, updates, order=F.struct("ts", "score")), "ratings")
 
 
 @register
 def upsert_users(spark: SparkSession, sf: str) -> DataFrame:
-    user = t.user(spark, sf)
-    changed = lists.find_by_key(user, _indebted(spark, sf), "username").withColumn("first", F.lit(False))
-    return sinks.upsert_users(user, changed).select("uid", "username", "first")
+    def change(stored: DataFrame) -> DataFrame:
+        changed = lists.find_by_key(stored, _indebted(spark, sf), "username").withColumn("first", F.lit(False))
+        return sinks.upsert_users(stored, changed)
+
+    return _rewritten(t.user(spark, sf), change, "users").select("uid", "username", "first")
 
 
 # --- projections and lookups -----------------------------------------------------------------
@@ -208,7 +238,7 @@ def filter_rating_log(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def parse_rating_event(spark: SparkSession, sf: str) -> DataFrame:
-    return logs.parse_rating_event(logs.filter_rating_log(t.log_line(spark, sf)))
+    return rejects.good(logs.parse_rating_event(logs.filter_rating_log(t.log_line(spark, sf))))
 
 
 def _predicted(spark: SparkSession, sf: str) -> DataFrame:
@@ -281,23 +311,35 @@ def join_observed_predicted(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _ranked_sim(spark: SparkSession, sf: str) -> DataFrame:
-    return lists.similar_items(vectors.all_pairs_cosine(t.item_vec(spark, sf), LIVE_CUT), None, LIVE_CUT)
+    """The ranked similarity table, stored once for all that a query reads of it."""
+    path = scratch(spark, "ranked-sim")
+    ranked = lists.similar_items(vectors.all_pairs_cosine(t.item_vec(spark, sf), LIVE_CUT), None, LIVE_CUT)
+    sinks.overwrite_table(ranked.select("mid", "rank", "sim_mid", "score"), path)
+    return spark.read.parquet(path)
 
 
-def _candidates(spark: SparkSession, sf: str) -> DataFrame:
+def _candidates(spark: SparkSession, sf: str, sim: DataFrame) -> DataFrame:
     events = t.live(spark, sf)
-    return realtime.top_candidates(realtime.latest_event(events), _ranked_sim(spark, sf), events)
+    return realtime.top_candidates(realtime.latest_event(events), sim, events)
+
+
+def _candidate_pairs(spark: SparkSession, sf: str, sim: DataFrame) -> DataFrame:
+    return realtime.candidate_x_recent(_candidates(spark, sf, sim), realtime.recent_ratings(t.live(spark, sf)))
+
+
+def _looked_up(spark: SparkSession, sf: str) -> DataFrame:
+    sim = _ranked_sim(spark, sf)
+    return realtime.sim_lookup(_candidate_pairs(spark, sf, sim), sim)
 
 
 @register
 def candidate_x_recent(spark: SparkSession, sf: str) -> DataFrame:
-    recents = realtime.recent_ratings(t.live(spark, sf))
-    return realtime.candidate_x_recent(_candidates(spark, sf), recents)
+    return _candidate_pairs(spark, sf, _ranked_sim(spark, sf))
 
 
 @register
 def sim_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(realtime.sim_lookup(candidate_x_recent(spark, sf), _ranked_sim(spark, sf)), "sim")
+    return rounded(_looked_up(spark, sf), "sim")
 
 
 @register
@@ -343,7 +385,7 @@ def tags_per_item(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def rank_lists(spark: SparkSession, sf: str) -> DataFrame:
-    nested = lists.rank_lists(_predicted(spark, sf), "uid", 5)
+    nested = lists.rank_lists(_predicted(spark, sf), "uid", 20)
     return rounded(lists.list_rows(nested, "uid"), "score")
 
 
@@ -364,8 +406,7 @@ def _scored(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def score_candidates(spark: SparkSession, sf: str) -> DataFrame:
-    looked_up = realtime.sim_lookup(candidate_x_recent(spark, sf), _ranked_sim(spark, sf))
-    return rounded(realtime.score_candidates(looked_up, LIVE_GATE), "score")
+    return rounded(realtime.score_candidates(_looked_up(spark, sf), LIVE_GATE), "score")
 
 
 @register
@@ -395,7 +436,7 @@ def genre_top(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def user_top(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(lists.user_top(_predicted(spark, sf), 3).select("uid", "rank", "mid", "score"), "score")
+    return rounded(lists.user_top(_predicted(spark, sf), 20).select("uid", "rank", "mid", "score"), "score")
 
 
 @register
@@ -412,7 +453,7 @@ def similar_items_top(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def top_candidates(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(_candidates(spark, sf), "score")
+    return rounded(_candidates(spark, sf, _ranked_sim(spark, sf)), "score")
 
 
 @register
@@ -485,7 +526,7 @@ def _content_list(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _hybrid(spark: SparkSession, sf: str, fuse: str) -> DataFrame:
-    cf = lists.user_top(_predicted(spark, sf), 3).select("uid", "rank", "mid", "score")
+    cf = lists.user_top(_predicted(spark, sf), 20).select("uid", "rank", "mid", "score")
     return rounded(serving.hybrid(cf, _content_list(spark, sf), _live_list(spark, sf), 8, fuse=fuse), "score")
 
 
@@ -565,7 +606,16 @@ def query_import_queue(spark: SparkSession, sf: str) -> DataFrame:
     entry = F.struct("pos", F.concat(F.lit(" "), "mid", F.lit(":"), "score", F.lit(" ")).alias("text"))
     dump = recents.groupBy("uid").agg(F.sort_array(F.collect_list(entry)).alias("queue"))
     keyed = dump.select(F.concat(F.lit("uid:"), "uid").alias("key"), F.transform("queue", lambda e: e["text"]).alias("entries"))
-    return import_queue(keyed)
+    return rejects.good(import_queue(keyed))
+
+
+@register
+def rejected_entries(spark: SparkSession, sf: str) -> DataFrame:
+    entry = F.when(F.col("score") < 2, F.concat("mid", F.lit(" "), "score")).otherwise(F.concat("mid", F.lit(":"), "score"))
+    live = t.live(spark, sf).groupBy("uid").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+    split = rejects.store_split(import_queue(live.select(F.concat(F.lit("uid:"), "uid").alias("key"), "entries")), scratch(spark, "queue"))
+    good = split.rows.select(F.concat_ws(":", "mid", "score").alias("value"), F.lit(True).alias("kept"))
+    return good.unionByName(split.rejected.withColumn("kept", F.lit(False)))
 
 
 @register
@@ -747,7 +797,7 @@ def view_wish(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def view_guess(spark: SparkSession, sf: str) -> DataFrame:
-    cf = lists.user_top(_predicted(spark, sf), 3)
+    cf = lists.user_top(_predicted(spark, sf), 20)
     shown = serving.view_guess(
         cf, _content_list(spark, sf), _live_list(spark, sf), t.user_pref(spark, sf), _genre_top(spark, sf), t.movie(spark, sf), 8
     )
@@ -803,7 +853,23 @@ def stream_filter_log(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def stream_parse(spark: SparkSession, sf: str) -> DataFrame:
-    return _drain(logs.stream_parse(logs.stream_filter_log(_log_stream(spark, sf))), "parsed")
+    return rejects.good(_stored_events(spark, _log_stream(spark, sf)))
+
+
+def _stored_events(spark: SparkSession, lines: DataFrame) -> DataFrame:
+    out, checkpoint = scratch(spark, "parsed"), scratch(spark, "parsed-checkpoint")
+    logs.sink_events(logs.stream_parse(logs.stream_filter_log(lines)), out, checkpoint, available_now=True).awaitTermination()
+    return logs.stored_events(spark, out)
+
+
+@register
+def stream_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    tag = t.tag(spark, sf)
+    payload = F.when(F.col("tag") == "error", "").when(F.col("tag") == "signup", F.concat_ws("|", "uid", "tag", "mid", "ts"))
+    line = F.concat(F.lit("INFO x - MOVIE_RATING_PREFIX:"), F.coalesce(payload, F.concat_ws("|", "uid", "mid", F.lit("2.5"), "ts")))
+    stored = _stored_events(spark, streams.source_log_lines(spark, _files(tag.select(line.alias("value")), "log")))
+    good = rejects.good(stored).select(F.concat_ws("|", "uid", "mid", "score", "ts").alias("value"), F.lit(True).alias("kept"))
+    return good.unionByName(rejects.rejected(stored).withColumn("kept", F.lit(False)))
 
 
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -819,7 +885,7 @@ def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def stream_recent_state(spark: SparkSession, sf: str) -> DataFrame:
     target, checkpoint = scratch(spark, "queues"), scratch(spark, "queues-checkpoint")
-    queues = live_stream.stream_recent_state(_event_stream(spark, sf))
+    queues = live_stream.stream_recent_state(rejects.good(_event_stream(spark, sf)))
     live_stream.write_queues(queues, target, checkpoint, available_now=True).awaitTermination()
     return live_stream.current_queues(spark, target)
 
@@ -827,7 +893,7 @@ def stream_recent_state(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def stream_recommend(spark: SparkSession, sf: str) -> DataFrame:
     sim_path, target = scratch(spark, "sim"), scratch(spark, "stream-recs")
-    sinks.store_similarity(_ranked_sim(spark, sf), sim_path)
+    sinks.store_similarity(_ranked_sim(spark, sf), sim_path, 64)
     store = live_stream.RatingStore(spark, scratch(spark, "rating-store"))
     store.load_history()
     checkpoint = scratch(spark, "stream-recs-checkpoint")

@@ -15,7 +15,7 @@ from ratingloom.functions.scalars import stable
 from ratingloom.operators.lists import by_score, filter_similar, top_k
 from ratingloom.operators.vectors import all_pairs_cosine
 from ratingloom.schemas import HASH_BUCKETS, MIN_SIMILARITY
-from ratingloom.session import shared_dir
+from ratingloom.session import materialised
 
 
 def project_content(movie: DataFrame) -> DataFrame:
@@ -85,15 +85,15 @@ def _profile_vectors(profiles: DataFrame, buckets: int | None) -> DataFrame:
 
 
 def profile_similarity(
-    profiles: DataFrame, min_sim: float = MIN_SIMILARITY, buckets: int | None = HASH_BUCKETS
+    profiles: DataFrame, min_sim: float = MIN_SIMILARITY, buckets: int | None = HASH_BUCKETS, k: int | None = None
 ) -> DataFrame:
-    """(gid, sim_gid, score): similar profiles, both directions, whole lists.
+    """(gid, sim_gid, score): similar profiles, both directions, whole lists or the ``k`` best.
 
     A profile with weight on some word is similar to itself with score 1, which stands for the pairs
     among its members.
     """
-    vectors = _profile_vectors(profiles, buckets)
-    pairs = all_pairs_cosine(vectors, min_sim, sparse=True)
+    vectors = materialised(_profile_vectors(profiles, buckets), "profile-vectors")
+    pairs = all_pairs_cosine(vectors, min_sim, k, sparse=True)
     pairs = pairs.select(F.col("mid").alias("gid"), F.col("sim_mid").alias("sim_gid"), "score")
     weighted = F.exists("features", lambda f: f["weight"] != 0)
     alone = vectors.where(weighted).select(F.col("mid").alias("gid"), F.col("mid").alias("sim_gid"), F.lit(1.0).alias("score"))
@@ -123,17 +123,18 @@ def similar_members(pairs: DataFrame, members: DataFrame, k: int) -> DataFrame:
 
 
 def content_similarity(
-    movie: DataFrame, min_sim: float = MIN_SIMILARITY, k: int = 20, buckets: int | None = HASH_BUCKETS
+    movie: DataFrame, k: int, min_sim: float = MIN_SIMILARITY, buckets: int | None = HASH_BUCKETS
 ) -> DataFrame:
-    """(mid, rank, sim_mid, score): items with similar genre words, the ``k`` best per item.
+    """The ``k`` best per item; the whole result is ``profile_similarity`` with ``profile_members``.
 
+    (mid, rank, sim_mid, score): items with similar genre words. Every profile has a member, so the
+    k + 1 best profiles, its own among them, and their ties hold the k best items.
     ``buckets=None`` counts exact words instead of hashed ones. The uncut lists are
     ``profile_similarity`` with ``profile_members``; ``similar_to`` opens them for chosen items.
     The profiles are written to the checkpoint folder once, as several steps read them.
     """
-    shared_dir(movie.sparkSession)
-    profiles = content_profiles(movie).checkpoint()
-    pairs = profile_similarity(profiles, min_sim, buckets)
+    profiles = materialised(content_profiles(movie), "profiles")
+    pairs = profile_similarity(profiles, min_sim, buckets, k + 1)
     return similar_members(pairs, profile_members(movie, profiles), k)
 
 

@@ -56,7 +56,7 @@ _RANKED_CONTENT = """select * from (select *, row_number() over (partition by mi
 _HYBRID_PARTS = f"""
     content_top as ({_RANKED_CONTENT}),
     cf as (select * from (select uid, mid, score, row_number() over (partition by uid order by round(score, 12) desc, mid) as rank
-        from pred where score > 0) where rank <= 3),
+        from pred where round(score, 12) > 0) where rank <= 20),
     cb as (select l.uid, c.rank, c.sim_mid mid, c.score from latest l join content_top c on c.mid = l.mid),
     lined as (select uid, 0 source, rank r, mid, score * 0.3 score from cf where rank <= 8
         union all select uid, 1, rank, mid, score * 0.3 from cb where rank <= 8
@@ -89,6 +89,21 @@ ORACLES: dict[str, str] = {
     "scan_items": sql("select mid, name, descri, issue, genres, '' directors from movie", "movie"),
     "scan_ratings": sql("select uid, mid, score, ts from rating", "rating"),
     "scan_tags": sql("select uid, mid, tag, ts from tag", "tag"),
+    "rejected_lines": sql(
+        """select case tag when 'error' then 'x' || line when 'view' then line || ',more' when 'signup' then '' else line end as value,
+        tag not in ('error', 'view', 'signup') as kept from (select tag, uid || ',' || mid || ',' || tag || ',' || ts as line from tag)""",
+        "tag",
+    ),
+    "rejected_entries": sql(
+        """select case when score < 2 then 'uid:' || uid || ' ' || mid || ' ' || score else mid || ':' || score end as value,
+        score >= 2 as kept from live""",
+        "live",
+    ),
+    "stream_rejects": sql(
+        """select case tag when 'error' then '' when 'signup' then uid || '|' || tag || '|' || mid || '|' || ts
+        else uid || '|' || mid || '|2.5|' || ts end as value, tag not in ('error', 'signup') as kept from tag""",
+        "tag",
+    ),
     "load_table": "select o_orderkey, cast(o_custkey as int) o_custkey, o_totalprice from orders",
     "source_log_lines": sql("select value from log_line", "log_line"),
     "source_rating_events": sql("select uid || '|' || mid || '|' || score || '|' || ts as value from live", "live"),
@@ -115,7 +130,8 @@ ORACLES: dict[str, str] = {
         select distinct {_hash("s_name")} uid, s_name, true from supplier where s_name not in (select c_name from customer)""",
     "upsert_ratings": sql(
         """select uid, mid, score, ts from rating r where not exists (select 1 from live l where l.uid = r.uid and l.mid = r.mid)
-        union all select uid, mid, max(score), max(ts) from live group by uid, mid""",
+        union all select uid, mid, score, ts from (select uid, mid, score, ts, row_number() over
+        (partition by uid, mid order by ts desc, score desc) n from live) where n = 1""",
         "rating", "live",
     ),
     "upsert_users": "select c_custkey uid, c_name username, c_acctbal >= 0 as first from customer",
@@ -123,7 +139,7 @@ ORACLES: dict[str, str] = {
     "project_triples": sql("select uid, mid, score from rating", "rating"),
     "filter_rating_log": sql(_FILTERED, "log_line"),
     "parse_rating_event": sql(_PARSED, "log_line"),
-    "filter_positive": _rated_pairs("select uid, mid, round(score, 6) score from pred where score > 0"),
+    "filter_positive": _rated_pairs("select uid, mid, round(score, 6) score from pred where round(score, 12) > 0"),
     "filter_similar": sql("select mid, sim_mid, round(score, 6) score from pair_sim where score > 0.3", "pair_sim"),
     "find_by_key": sql("select uid, mid, score, ts from rating where uid in (select uid from live)", "rating", "live"),
     "find_items_in": sql("select mid, name, genres from movie where mid in (select mid from tag)", "movie", "tag"),
@@ -168,7 +184,7 @@ ORACLES: dict[str, str] = {
     "tags_per_item": sql("select mid, string_agg(distinct tag, '|' order by tag) tags from tag group by mid", "tag"),
     "rank_lists": _rated_pairs(
         """select uid, rank, mid, round(score, 6) score from (select *, row_number() over
-        (partition by uid order by round(score, 12) desc, mid) as rank from pred) where rank <= 5"""
+        (partition by uid order by round(score, 12) desc, mid) as rank from pred) where rank <= 20"""
     ),
     "distinct_ids": sql("select distinct uid from rating", "rating"),
     "rmse": sql(
@@ -191,7 +207,7 @@ ORACLES: dict[str, str] = {
     "genre_top": sql("select genres, rank, mid, round(avg, 6) as avg from genre_list", "genre_list"),
     "user_top": _rated_pairs(
         """select uid, rank, mid, round(score, 6) score from (select *, row_number() over
-        (partition by uid order by round(score, 12) desc, mid) as rank from pred where score > 0) where rank <= 3"""
+        (partition by uid order by round(score, 12) desc, mid) as rank from pred where round(score, 12) > 0) where rank <= 20"""
     ),
     "similar_items": sql(
         """select mid, sim_mid, round(score, 6) score, row_number() over (partition by mid order by score desc, sim_mid) as rank

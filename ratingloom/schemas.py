@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The fields of an item line, in file order.
 ITEM_COLUMNS = (
     "mid", "name", "descri", "timelong", "issue", "shoot", "language", "genres", "actors", "directors",
 )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -54,6 +54,13 @@ def scratch(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/ratingloom/{purpose}-{uuid.uuid4().hex}"
 
 
+def materialised(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written once below the shared folder, for plans that read it more than once."""
+    path = scratch(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def forget(spark: SparkSession, *paths: str) -> None:
     """Delete scratch paths whose rows are no longer needed."""
     for path in paths:

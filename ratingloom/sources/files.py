@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from ratingloom import schemas
 from ratingloom.functions.scalars import norm_epoch, trimmed
+from ratingloom.session import scratch
+from ratingloom.sources.rejects import MARK, or_fail, rejected, store_split
 
 
 def parse_lines(lines: DataFrame, schema: T.StructType, sep: str, exact: bool) -> DataFrame:
@@ -32,41 +34,46 @@ def parse_lines(lines: DataFrame, schema: T.StructType, sep: str, exact: bool) -
     return lines.select(*columns, F.when(bad, F.col("value")).alias("_corrupt"))
 
 
-def _scan(spark: SparkSession, path: str, schema: T.StructType, sep: str, exact: bool, on_error: str) -> DataFrame:
-    parsed = parse_lines(spark.read.text(path).where(F.col("value") != ""), schema, sep, exact)
+def _scan(
+    spark: SparkSession, path: str, schema: T.StructType, sep: str, exact: bool, on_error: str, rejects: str | None
+) -> DataFrame:
+    parsed = parse_lines(spark.read.text(path), schema, sep, exact)
     if on_error == "fail":
-        checked = F.when(F.col("_corrupt").isNull(), F.lit(True)).otherwise(
-            F.raise_error(F.concat(F.lit("malformed line: "), F.col("_corrupt")))
-        )
-        return parsed.where(checked).drop("_corrupt")
+        return or_fail(parsed)
     if on_error == "keep":
         return parsed
     if on_error == "quarantine":
-        return parsed.where(F.col("_corrupt").isNull()).drop("_corrupt")
+        return store_split(parsed, rejects or scratch(spark, "scan")).rows
     raise ValueError(f"on_error must be quarantine, keep or fail, not {on_error!r}")
 
 
-def scan_items(spark: SparkSession, path: str, sep: str = "^", on_error: str = "quarantine") -> DataFrame:
-    """Ten-field item lines. A blank last field is kept; ``on_error='keep'`` adds ``_corrupt``."""
-    return _scan(spark, path, schemas.MOVIE, sep, False, on_error)
+def scan_items(spark: SparkSession, path: str, sep: str = "^", on_error: str = "quarantine", rejects: str | None = None) -> DataFrame:
+    """Ten-field item lines; a blank last field is kept.
+
+    All scans treat lines they cannot read, blank ones too, alike: ``quarantine`` stores and counts
+    them below ``rejects`` (see ``rejected_lines``) and returns the stored good rows, ``keep`` marks
+    them in ``_corrupt``, ``fail`` stops the job.
+    """
+    return _scan(spark, path, schemas.MOVIE, sep, False, on_error, rejects)
 
 
 def scan_ratings(
-    spark: SparkSession, path: str, sep: str = ",", score_scale: float = 1.0, on_error: str = "quarantine"
+    spark: SparkSession, path: str, sep: str = ",", score_scale: float = 1.0, on_error: str = "quarantine", rejects: str | None = None
 ) -> DataFrame:
     """``uid,mid,score,timestamp`` lines; ``score_scale=0.5`` brings a 1..10 scale to half stars."""
-    rows = _scan(spark, path, schemas.RATING, sep, False, on_error)
+    rows = _scan(spark, path, schemas.RATING, sep, False, on_error, rejects)
     return rows.withColumns({"score": F.col("score") * F.lit(score_scale), "ts": norm_epoch("ts")})
 
 
-def scan_tags(spark: SparkSession, path: str, sep: str = ",", on_error: str = "quarantine") -> DataFrame:
-    rows = _scan(spark, path, schemas.TAG, sep, True, on_error)
+def scan_tags(spark: SparkSession, path: str, sep: str = ",", on_error: str = "quarantine", rejects: str | None = None) -> DataFrame:
+    rows = _scan(spark, path, schemas.TAG, sep, True, on_error, rejects)
     return rows.withColumn("ts", norm_epoch("ts"))
 
 
-def rejected_lines(rows: DataFrame) -> DataFrame:
-    """The raw text of the lines that a scan with ``on_error='keep'`` could not read."""
-    return rows.where(F.col("_corrupt").isNotNull()).select(F.col("_corrupt").alias("value"))
+def rejected_lines(spark: SparkSession, rejects: str) -> DataFrame:
+    """(value): the lines that a scan set apart below ``rejects``."""
+    stored = spark.read.schema(f"{MARK} string, rejected int").parquet(rejects)
+    return rejected(stored.where("rejected = 1"))
 
 
 def load_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

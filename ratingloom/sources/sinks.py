@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ratingloom.functions.scalars import norm_epoch, user_id_of
 from ratingloom.schemas import LOG_PREFIX
+from ratingloom.sources import versions
 
 
 def overwrite_table(table: DataFrame, path: str) -> None:
@@ -61,17 +62,34 @@ def register_users(user: DataFrame, new: DataFrame, now: Column | None = None) -
     return user.select(*fresh.columns).unionByName(fresh)
 
 
-def _replace(table: DataFrame, updates: DataFrame, on: list[str]) -> DataFrame:
-    """Rows of ``table`` whose key occurs in ``updates`` give way to the update rows."""
-    return _without(table, updates, on).unionByName(updates.select(*table.columns))
+def _replace(table: DataFrame, updates: DataFrame, on: list[str], order: Column | str | None) -> DataFrame:
+    """Rows of ``table`` whose key occurs in ``updates`` give way to the newest update of that key."""
+    rest = F.struct(*[c for c in table.columns if c not in on])
+    newest = updates.groupBy(*on).agg(F.max_by(rest, rest if order is None else order).alias("_row"))
+    chosen = newest.select(*on, "_row.*").select(*table.columns)
+    return _without(table, updates, on).unionByName(chosen)
 
 
-def upsert_ratings(rating: DataFrame, updates: DataFrame, on: tuple[str, ...] = ("uid", "mid")) -> DataFrame:
-    return _replace(rating, updates, list(on))
+def upsert_ratings(
+    rating: DataFrame, updates: DataFrame, on: tuple[str, ...] = ("uid", "mid"), order: Column | str | None = "ts"
+) -> DataFrame:
+    """``rating`` with one row per updated key: the update that is greatest by ``order``."""
+    return _replace(rating, updates, list(on), order)
 
 
-def upsert_users(user: DataFrame, updates: DataFrame, on: tuple[str, ...] = ("username",)) -> DataFrame:
-    return _replace(user, updates, list(on))
+def upsert_users(
+    user: DataFrame, updates: DataFrame, on: tuple[str, ...] = ("username",), order: Column | str | None = "ts"
+) -> DataFrame:
+    return _replace(user, updates, list(on), order)
+
+
+def rewrite_table(table: DataFrame, path: str) -> None:
+    """Store ``table`` as the next version of the table at ``path``, from which it may be derived."""
+    versions.publish(table, path)
+
+
+def current_table(spark: SparkSession, path: str) -> DataFrame:
+    return versions.read_current(spark, path)
 
 
 def store_batch(rows: DataFrame, target: str, batch_id: int) -> None:
@@ -84,16 +102,29 @@ def store_batch(rows: DataFrame, target: str, batch_id: int) -> None:
 
 
 def newest_state(spark: SparkSession, target: str) -> DataFrame:
-    """The newest stored row of every user."""
-    rows = spark.read.parquet(target)
-    state = F.struct(*[c for c in rows.columns if c not in ("uid", "batch_id")])
-    newest = F.max_by(state, F.col("batch_id").cast("long")).alias("_state")
+    """The newest stored row of every user: the compacted version and the batches after it."""
+    version = versions.current_version(spark, target)
+    folders = versions.batch_folders(spark, target, version.through if version else -1)
+    parts = [spark.read.parquet(*folders).withColumn("_batch", _batch_of())] if folders else []
+    if version:
+        parts.append(spark.read.parquet(version.folder).withColumn("_batch", F.lit(-1).cast("long")))
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    state = F.struct(*[c for c in rows.columns if c not in ("uid", "_batch")])
+    newest = F.max_by(state, "_batch").alias("_state")
     return rows.groupBy("uid").agg(newest).select("uid", "_state.*")
 
 
-def compact_state(spark: SparkSession, target: str, compacted: str, batch_id: int) -> None:
-    """Write the newest rows as the single batch ``batch_id`` of a new table."""
-    store_batch(newest_state(spark, target), compacted, batch_id)
+def _batch_of() -> Column:
+    return F.regexp_extract(F.input_file_name(), r"batch_id=(\d+)", 1).cast("long")
+
+
+def compact_state(spark: SparkSession, target: str) -> None:
+    """Fold all batches into a new version of ``target``. Readers and a running stream go on with it:
+    later batches are read beside it, replayed ones that it holds are passed over."""
+    version = versions.current_version(spark, target)
+    folders = versions.batch_folders(spark, target, version.through if version else -1)
+    if folders:
+        versions.publish(newest_state(spark, target), target, through=int(folders[-1].rsplit("=", 1)[1]))
 
 
 def upsert_user_recs(lists: DataFrame, target: str, batch_id: int) -> None:
@@ -106,8 +137,27 @@ def current_user_recs(spark: SparkSession, target: str) -> DataFrame:
     return newest_state(spark, target)
 
 
-def store_similarity(ranked: DataFrame, path: str) -> None:
-    """Store a ranked (mid, rank, sim_mid, score) table sorted by item and rank, so that readers of
-    some items skip the row groups of others."""
-    order = ["mid", "rank"]
-    ranked.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+def bucket_of(key: str, buckets: int) -> Column:
+    """The folder number of a key in tables stored by key."""
+    return F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(buckets)).cast("int")
+
+
+def asked_buckets(keys: DataFrame, key: str, buckets: int) -> list[int]:
+    """The folder numbers of the given keys: at most ``buckets`` numbers, whatever the keys."""
+    return [row["b"] for row in keys.select(bucket_of(key, buckets).alias("b")).distinct().collect()]
+
+
+def store_similarity(ranked: DataFrame, path: str, buckets: int = 64) -> None:
+    """Store a ranked (mid, rank, sim_mid, score) table by hash bucket of the item, sorted by item and
+    rank inside, so that readers of some items open their folders and skip the row groups of others.
+    Choose the buckets by the table's size: about one file of usual size each."""
+    kept = ranked.select("mid", "rank", "sim_mid", "score", bucket_of("mid", buckets).alias("bucket"))
+    # A salt by segment of the list spreads an item that is similar to very many.
+    spread = kept.repartition("bucket", F.floor(F.col("rank") / 100_000)).sortWithinPartitions("bucket", "mid", "rank")
+    spread.write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+def similar_of(spark: SparkSession, path: str, mids: DataFrame, buckets: int = 64) -> DataFrame:
+    """The stored lists of the given items and of no others' folders."""
+    stored = spark.read.schema("mid int, rank int, sim_mid int, score double, bucket int").parquet(path)
+    return stored.where(F.col("bucket").isin(asked_buckets(mids, "mid", buckets))).drop("bucket")

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import heapq
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import reduce
 from typing import Any
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -16,7 +20,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ratingloom.operators import realtime
 from ratingloom.schemas import CANDIDATES, QUEUE_LENGTH, RATING, RECENT_RATINGS, SCORING_GATE
-from ratingloom.sources.sinks import newest_state, store_batch, upsert_user_recs
+from ratingloom.sources import versions
+from ratingloom.sources.rejects import MARK, good, rejected
+from ratingloom.sources.sinks import asked_buckets, bucket_of, newest_state, similar_of, store_batch, upsert_user_recs
 from ratingloom.streaming.logs import start
 
 # Executors get the task functions by value and need no installed copy of this package.
@@ -27,34 +33,40 @@ QUEUE_OUTPUT = f"uid int, queue {QUEUE_ENTRIES}"
 QUEUE_STATE = "mid array<int>, score array<double>, ts array<long>"
 
 
-def _newest(rows: pd.DataFrame, k: int) -> pd.DataFrame:
-    return rows.sort_values(["ts", "mid", "score"], ascending=False, kind="stable").groupby("uid", sort=False).head(k)
+def _newest(rows: Iterable[tuple], k: int) -> list[tuple]:
+    """The newest ``k`` of (ts, mid, score) rows, newest first."""
+    return heapq.nlargest(k, rows)
 
 
 def stream_recent_state(events: DataFrame, keep: int = QUEUE_LENGTH) -> DataFrame:
     """(uid, queue): the ``keep`` newest ratings, newest first, of each user whose queue changed.
 
     Every Arrow batch is cut to the newest ``keep`` per user before the shuffle, so a busy user sends
-    little to the one task that holds the queue, and the state is bounded.
+    little to the one task that holds the queue, and the state is bounded. Queues are merged as plain
+    tuples; ``events`` are good events, their rejects go through ``sink_events``.
     """
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield _newest(batch, keep)
+            table = pa.table(batch).sort_by([("uid", "ascending"), ("ts", "descending"), ("mid", "descending"), ("score", "descending")])
+            uid = table.column("uid").to_numpy()
+            begins = np.flatnonzero(np.concatenate(([True], uid[1:] != uid[:-1]))) if len(uid) else np.empty(0, int)
+            sizes = np.diff(np.append(begins, len(uid)))
+            nth = np.arange(len(uid)) - np.repeat(begins, sizes)
+            yield from table.filter(pa.array(nth < keep)).to_batches()
 
     def push(key: tuple[Any, ...], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        queue = None
-        if state.exists:
-            queue = pd.DataFrame(dict(zip(["mid", "score", "ts"], state.get))).assign(uid=key[0])
+        mid, score, ts = state.get if state.exists else ((), (), ())
+        queue = list(zip(ts, mid, score))
         for batch in batches:
-            queue = _newest(batch if queue is None else pd.concat([queue, batch]), keep)
-        entries = queue[["mid", "score", "ts"]]
-        state.update(tuple(entries[c].tolist() for c in entries))
-        yield pd.DataFrame({"uid": [key[0]], "queue": [entries.to_dict("records")]})
+            queue = _newest([*queue, *zip(batch["ts"].tolist(), batch["mid"].tolist(), batch["score"].tolist())], keep)
+        ts, mid, score = (list(column) for column in zip(*queue))
+        state.update((mid, score, ts))
+        yield pd.DataFrame({"uid": [key[0]], "queue": [[{"mid": m, "score": s, "ts": t} for t, m, s in queue]]})
 
     columns = events.select("uid", "mid", "score", "ts")
     return (
-        columns.mapInPandas(cut, columns.schema)
+        columns.mapInArrow(cut, columns.schema)
         .groupBy("uid")
         .applyInPandasWithState(push, QUEUE_OUTPUT, QUEUE_STATE, "update", GroupStateTimeout.NoTimeout)
     )
@@ -78,46 +90,54 @@ def current_queues(spark: SparkSession, target: str) -> DataFrame:
 class RatingStore:
     """The rating table of the live job, laid out so that a micro-batch reads only its users' share.
 
-    ``history`` holds one folder per hash bucket of the user id, sorted by user. Every micro-batch
-    adds one small folder below ``recent`` and may be replayed; ``compact_into`` folds those into the
-    history of a new store.
+    A version holds one folder per hash bucket of the user id, sorted by user. Every micro-batch adds
+    one folder with the same buckets and may be replayed; ``compact`` folds those into a new version,
+    which a running stream uses from its next micro-batch on. Choose ``buckets`` by the table's size.
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 256):
         self.spark, self.path, self.buckets = spark, path, buckets
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64("uid"), F.lit(self.buckets)).cast("int").alias("bucket")
+    def _laid_out(self, rating: DataFrame) -> DataFrame:
+        return rating.select(*RATING.names, bucket_of("uid", self.buckets).alias("bucket"))
 
-    def load_history(self, rating: DataFrame | None = None) -> None:
-        """Write the history, or an empty one. Ranges over (bucket, user, item, time) spread a busy
+    def load_history(self, rating: DataFrame | None = None, through: int = -1) -> None:
+        """Publish the history, or an empty one. Ranges over (bucket, user, item, time) spread a busy
         user over as many tasks as the user's rows need."""
         if rating is None:
             rating = self.spark.createDataFrame([], RATING)
         order = ["bucket", "uid", "mid", "ts"]
-        rows = rating.select(*RATING.names, self._bucket()).repartitionByRange(*order).sortWithinPartitions(*order)
-        rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/history")
+        rows = self._laid_out(rating).repartitionByRange(*order).sortWithinPartitions(*order)
+        versions.publish(rows, self.path, ("bucket",), through)
 
     def add(self, batch: DataFrame, batch_id: int) -> None:
-        batch.select(*RATING.names).write.mode("overwrite").parquet(f"{self.path}/recent/batch_id={batch_id}")
+        """Store the batch, unless a version holds it already (a replay after a compaction)."""
+        version = versions.current_version(self.spark, self.path)
+        if version is None or batch_id > version.through:
+            self._laid_out(batch).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/batch_id={batch_id}")
 
-    def _history(self) -> DataFrame:
+    def _stored(self) -> tuple[list[DataFrame], int]:
+        """The current version and the batches after it, and the last batch number."""
         schema = T.StructType([*RATING.fields, T.StructField("bucket", T.IntegerType())])
-        return self.spark.read.schema(schema).parquet(f"{self.path}/history")
-
-    def _recent(self) -> DataFrame:
-        return self.spark.read.schema(RATING).parquet(f"{self.path}/recent").select(*RATING.names)
+        version = versions.current_version(self.spark, self.path)
+        after = version.through if version else -1
+        folders = versions.batch_folders(self.spark, self.path, after)
+        read = self.spark.read.schema(schema)
+        parts = [read.parquet(version.folder)] if version else []
+        parts += [read.option("basePath", self.path).parquet(*folders)] if folders else []
+        return [p.select(*schema.names) for p in parts], int(folders[-1].rsplit("=", 1)[1]) if folders else after
 
     def ratings_of(self, users: DataFrame) -> DataFrame:
         """All ratings of the given users. The at most ``buckets`` folder numbers are looked up first,
-        so the scan of the history is pruned to them."""
-        asked = [row["bucket"] for row in users.select(self._bucket()).distinct().collect()]
-        history = self._history().where(F.col("bucket").isin(asked)).drop("bucket")
-        return history.unionByName(self._recent()).join(users.select("uid").distinct(), "uid", "left_semi")
+        so the scans of history and batches are pruned to them."""
+        asked = asked_buckets(users, "uid", self.buckets)
+        parts = [p.where(F.col("bucket").isin(asked)).drop("bucket") for p in self._stored()[0]]
+        return reduce(DataFrame.unionByName, parts).join(users.select("uid").distinct(), "uid", "left_semi")
 
-    def compact_into(self, other: RatingStore) -> None:
-        """Write everything as the history of ``other``, which has to be a new store."""
-        other.load_history(self._history().drop("bucket").unionByName(self._recent()))
+    def compact(self) -> None:
+        """Publish everything stored as the next version."""
+        parts, through = self._stored()
+        self.load_history(reduce(DataFrame.unionByName, parts).drop("bucket"), through)
 
 
 def stream_recommend(
@@ -129,23 +149,31 @@ def stream_recommend(
     k: int = CANDIDATES,
     recent: int = RECENT_RATINGS,
     gate: float = SCORING_GATE,
+    sim_buckets: int = 64,
     available_now: bool = False,
 ) -> StreamingQuery:
     """Re-rank for every user with a new rating and store one list per user.
 
     The micro-batch enters the rating table before recents and exclusions are read, so the current
-    rating counts. ``sim_path`` holds the ranked similarity table and is read anew per batch.
+    rating counts. ``sim_path`` holds the similarity table as ``store_similarity`` lays it out; a
+    batch reads the folders of its event items and of its candidates. Malformed events (``_corrupt``)
+    are stored below the rating table's ``rejected`` folder.
     """
 
     def rerank(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
-        ratings.add(batch, batch_id)
-        sim = spark.read.parquet(sim_path)
-        rated = ratings.ratings_of(batch).persist()
-        scored = realtime.batch_recommend(batch, rated, sim, k, recent, gate)
-        upsert_user_recs(realtime.recommendation_lists(batch, scored), target, batch_id)
-        rated.unpersist()
-        batch.unpersist()
+        if MARK in batch.columns:
+            rejected(batch).write.mode("overwrite").text(f"{ratings.path}/rejected/batch_id={batch_id}")
+        fresh = good(batch) if MARK in batch.columns else batch
+        ratings.add(fresh, batch_id)
+        rated = ratings.ratings_of(fresh).persist()
+        latest = realtime.latest_event(fresh).persist()
+        cand = realtime.top_candidates(latest, similar_of(spark, sim_path, latest, sim_buckets), rated, k).persist()
+        pairs = realtime.candidate_x_recent(cand, realtime.recent_ratings(rated, recent))
+        scored = realtime.score_candidates(realtime.sim_lookup(pairs, similar_of(spark, sim_path, cand, sim_buckets)), gate)
+        upsert_user_recs(realtime.recommendation_lists(fresh, scored), target, batch_id)
+        for part in (cand, latest, rated, batch):
+            part.unpersist()
 
     return start(events.writeStream.foreachBatch(rerank).option("checkpointLocation", checkpoint), available_now)

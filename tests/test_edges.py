@@ -12,7 +12,7 @@ from ratingloom.functions import scalars
 from ratingloom.functions.queues import import_queue
 from ratingloom.operators import factors, lists, realtime, search, stats, vectors
 from ratingloom.plans import content, serving
-from ratingloom.sources import files, sinks
+from ratingloom.sources import files, rejects, sinks, versions
 from ratingloom.streaming import logs
 
 
@@ -35,7 +35,17 @@ def test_item_line_with_blank_last_field_is_kept(spark, tmp_path):
     kept = files.scan_items(spark, path)
     assert rows(kept, "mid", "name", "directors") == [(1, "A", "")]
     every = files.scan_items(spark, path, on_error="keep")
-    assert rows(files.rejected_lines(every), "value") == [("2^short",), ("x^B^^^^^^^^",)]
+    assert rows(rejects.rejected(every), "value") == [("2^short",), ("x^B^^^^^^^^",)]
+
+
+def test_rejected_lines_are_stored_and_counted(spark, tmp_path):
+    path, out = text_file(tmp_path, "1,2,a,3", "", "x,2,a,3", "1,2,a,b,3"), str(tmp_path / "rejects")
+    assert files.scan_tags(spark, path, rejects=out).count() == 1
+    assert rows(files.rejected_lines(spark, out), "value") == [("",), ("1,2,a,b,3",), ("x,2,a,3",)]
+    split = rejects.store_split(files.scan_tags(spark, path, on_error="keep"), str(tmp_path / "again"))
+    assert (split.n_rows, split.n_rejected, split.rows.count(), split.rejected.count()) == (1, 3, 1, 3)
+    empty = files.scan_tags(spark, text_file(tmp_path, end=""), rejects=str(tmp_path / "none"))
+    assert empty.count() == 0 and files.rejected_lines(spark, str(tmp_path / "none")).count() == 0
 
 
 def test_item_line_ignores_surplus_fields(spark, tmp_path):
@@ -70,14 +80,14 @@ def test_log_filter(spark):
         ],
         "value string",
     )
-    assert rows(logs.filter_rating_log(lines), "value") == [("1|2|3.5|100",), ("1|2|4.0|101",)]
+    assert rows(logs.filter_rating_log(lines), "value") == [("",), ("",), ("1|2|3.5|100",), ("1|2|4.0|101",)]
 
 
 def test_malformed_events_are_set_apart(spark):
     events = spark.createDataFrame([("1|2|3.5|100",), ("1|2|x|100",), ("1|2|3",), ("",)], "value string")
-    assert rows(logs.parse_rating_event(events), "uid", "mid", "score", "ts") == [(1, 2, 3.5, 100)]
-    kept = logs.parse_rating_event(events, on_error="keep")
-    assert rows(kept.where("_corrupt is not null"), "_corrupt") == [("",), ("1|2|3",), ("1|2|x|100",)]
+    parsed = logs.parse_rating_event(events)
+    assert rows(rejects.good(parsed), "uid", "mid", "score", "ts") == [(1, 2, 3.5, 100)]
+    assert rows(rejects.rejected(parsed), "value") == [("",), ("1|2|3",), ("1|2|x|100",)]
 
 
 def test_milliseconds_give_the_same_month(spark):
@@ -167,7 +177,9 @@ def test_empty_list_replaces_the_old_one_and_replay_changes_nothing(spark, tmp_p
 
 def test_import_queue(spark):
     dump = spark.createDataFrame([("uid:7", [" 31 : 2.5 ", "32:4.0", "broken"]), ("other", ["1:1"])], "key string, entries array<string>")
-    assert rows(import_queue(dump), "uid", "pos", "mid", "score") == [(7, 1, 31, 2.5), (7, 2, 32, 4.0)]
+    found = import_queue(dump)
+    assert rows(rejects.good(found), "uid", "pos", "mid", "score") == [(7, 1, 31, 2.5), (7, 2, 32, 4.0)]
+    assert rows(rejects.rejected(found), "value") == [("other 1:1",), ("uid:7 broken",)]
 
 
 def test_blank_text_still_gives_one_token(spark):
@@ -270,3 +282,105 @@ def test_fuzzy_equals_brute_force(spark):
     limit = lambda w: 0 if len(w) <= 2 else 1 if len(w) <= 5 else 2
     expected = {(i, j) for i, q in enumerate(words) for j, w in enumerate(words) if q and w and distance(q, w) <= limit(q)}
     assert {(r["qid"], r["mid"]) for r in search.fuzzy_genre(corpus, asked, n=100).collect()} == expected
+
+
+def test_fuzzy_meets_long_words(spark):
+    base = "abcdefghijklmnopqrstuvwxyz"
+    words = [base[:n] for n in (18, 19, 20, 21, 22, 23, 24)] + [base, base[1:], base[2:], base[3:], "x" + base, base[:12] + "X" + base[12:], base[:5] + base[7:], base * 3, "y" * 1000]
+    corpus = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "mid int, genres string")
+    asked = spark.createDataFrame([(i, w) for i, w in enumerate(words[:-1])], "qid int, text string")
+
+    def near(a, b):
+        line = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, line = line, [i]
+            for j, y in enumerate(b, 1):
+                line.append(min(last[j] + 1, line[-1] + 1, last[j - 1] + (x != y)))
+        return line[-1] <= 2
+
+    expected = {(i, j) for i, q in enumerate(words[:-1]) for j, w in enumerate(words) if abs(len(q) - len(w)) < 3 and near(q.lower(), w.lower())}
+    assert {(r["qid"], r["mid"]) for r in search.fuzzy_genre(corpus, asked, n=100).collect()} == expected
+
+
+def test_ragged_vectors_are_refused(spark):
+    vecs = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.0, 3.0, 4.0])], "mid int, features array<double>")
+    with pytest.raises(PySparkException):
+        vectors.all_pairs_cosine(vecs).collect()
+
+
+def test_upsert_keeps_the_newest_update_of_a_key(spark):
+    rating = spark.createDataFrame([(1, 1, 1.0, 5), (1, 2, 2.0, 5)], "uid int, mid int, score double, ts long")
+    updates = spark.createDataFrame([(1, 1, 3.0, 6), (1, 1, 4.0, 7), (2, 2, 5.0, 1)], rating.schema)
+    assert rows(sinks.upsert_ratings(rating, updates), "uid", "mid", "score") == [(1, 1, 4.0), (1, 2, 2.0), (2, 2, 5.0)]
+
+
+def test_prefs_of_a_user_without_a_list_and_of_two_updates(spark):
+    user = spark.createDataFrame([("ann", True, None), ("bob", True, ["War"])], "username string, first boolean, prefGenres array<string>")
+    updates = spark.createDataFrame([("ann", "Drama"), ("bob", "Music"), ("bob", "Comedy,Tv"), ("bob", None)], "username string, genres string")
+    assert rows(stats.append_prefs(user, updates), "username", "first", "prefGenres") == [
+        ("ann", False, ["Drama"]), ("bob", False, ["War", "Comedy", "Tv", "Music"]),
+    ]
+
+
+def test_rewritten_table_reads_what_it_replaces(spark, tmp_path):
+    path = str(tmp_path / "table")
+    for n in range(3):
+        old = sinks.current_table(spark, path) if n else spark.createDataFrame([], "id long")
+        sinks.rewrite_table(old.unionByName(spark.range(n, n + 1)), path)
+    assert rows(sinks.current_table(spark, path), "id") == [(0,), (1,), (2,)]
+    versions.drop_older(spark, path)
+    assert rows(sinks.current_table(spark, path), "id") == [(0,), (1,), (2,)]
+    with pytest.raises(FileNotFoundError):
+        sinks.current_table(spark, str(tmp_path / "nothing"))
+
+
+def test_two_writers_of_one_version(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
+    sinks.rewrite_table(spark.range(1), path)
+    seen = versions.current_version(spark, path)
+    sinks.rewrite_table(spark.range(2), path)
+    monkeypatch.setattr(versions, "current_version", lambda *a: seen)
+    with pytest.raises(RuntimeError):
+        sinks.rewrite_table(spark.range(3), path)
+    monkeypatch.undo()
+    assert sinks.current_table(spark, path).count() == 2
+
+
+def test_compacted_lists_go_on(spark, tmp_path):
+    schema, target = "uid int, recs array<struct<mid:int,score:double>>", str(tmp_path / "recs")
+    for batch in range(3):
+        sinks.upsert_user_recs(spark.createDataFrame([(batch % 2, [(batch, 1.0)])], schema), target, batch)
+        if batch == 1:
+            sinks.compact_state(spark, target)
+    assert rows(sinks.current_user_recs(spark, target), "uid", "recs") == [(0, [(2, 1.0)]), (1, [(1, 1.0)])]
+    sinks.compact_state(spark, target)
+    versions.drop_older(spark, target)
+    assert rows(sinks.current_user_recs(spark, target), "uid", "recs") == [(0, [(2, 1.0)]), (1, [(1, 1.0)])]
+
+
+def test_ranks_of_many_equal_scores(spark, monkeypatch):
+    monkeypatch.setattr(lists, "BAND_ROWS", 50)
+    data = [(1, i * 7 % 1000, 1.0 if i % 3 else i / 1000) for i in range(1000)] + [(2, 5, 0.7)]
+    pairs = spark.createDataFrame(data, "mid int, sim_mid int, score double")
+    found = lists.banded_rank(pairs, "mid", "sim_mid", "score", 0.0, 1.0).where("mid = 1").orderBy("rank").collect()
+    expected = sorted((r for r in data if r[0] == 1), key=lambda r: (-r[2], r[1]))
+    assert [(r["rank"], r["sim_mid"]) for r in found] == [(i + 1, r[1]) for i, r in enumerate(expected)]
+
+
+def test_sparse_blocks_stay_sparse(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    entries = [[{"term": f"{i}.{j}", "weight": 1.0} for j in range(40)] for i in range(2000)]
+    table = pa.table({"features": pa.array(entries, pa.list_(pa.struct([("term", pa.string()), ("weight", pa.float64())])))})
+    block = vectors._Sparse(table, True)
+    for start, products in block.products(block):
+        assert products.nbytes <= 8 * vectors.STRIPE_CELLS
+        assert np.allclose(products, np.eye(2000)[start : start + len(products)])
+
+
+def test_factors_are_freed_after_tuning(spark):
+    rating = spark.createDataFrame([(u, m, float((u + m) % 5 + 1)) for u in range(12) for m in range(12)], "uid int, mid int, score double")
+    train, test = factors.split_ratings(rating, ("uid", "mid"))
+    assert factors.tune_als(train, test, (2, 3), (0.1,), 2).count() == 2
+    assert not [r for r in spark.sparkContext._jsc.getPersistentRDDs().values() if r.name() in ("userFactors", "itemFactors")]

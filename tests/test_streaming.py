@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ratingloom.operators import lists, realtime
 from ratingloom.schemas import RATING
 from ratingloom.session import scratch
-from ratingloom.sources import sinks, streams
+from ratingloom.sources import rejects, sinks, streams, versions
 from ratingloom.streaming import live, logs
 
 
@@ -36,6 +36,15 @@ def rating_stream(spark, path, pieces):
     return logs.stream_parse(logs.stream_filter_log(lines))
 
 
+def test_malformed_events_are_stored_beside_good_ones(spark):
+    path, out = log_files(spark, events(30), 3), scratch(spark, "events")
+    for _ in range(2):
+        logs.sink_events(rating_stream(spark, path, 3), out, scratch(spark, "checkpoint"), available_now=True).awaitTermination()
+    stored = logs.stored_events(spark, out)
+    assert rejects.good(stored).count() == 30
+    assert [r[0] for r in rejects.rejected(stored).collect()] == ["1|x|2|3"] * 3
+
+
 @pytest.mark.parametrize("pieces", [1, 5])
 def test_log_stream_equals_batch(spark, pieces):
     path = log_files(spark, events(), pieces)
@@ -45,14 +54,14 @@ def test_log_stream_equals_batch(spark, pieces):
     streamed = spark.read.text(out)
     batch = logs.filter_rating_log(spark.read.text(path))
     assert sorted(r[0] for r in streamed.collect()) == sorted(r[0] for r in batch.collect())
-    assert logs.parse_rating_event(streamed).count() == len(events())
+    assert rejects.good(logs.parse_rating_event(streamed)).count() == len(events())
 
 
 @pytest.mark.parametrize("pieces", [1, 5])
 def test_queues_equal_recent_ratings(spark, pieces):
     data = events()
     target = scratch(spark, "queues")
-    queues = live.stream_recent_state(rating_stream(spark, log_files(spark, data, pieces), pieces), keep=40)
+    queues = live.stream_recent_state(rejects.good(rating_stream(spark, log_files(spark, data, pieces), pieces)), keep=40)
     live.write_queues(queues, target, scratch(spark, "checkpoint"), available_now=True).awaitTermination()
     found = live.current_queues(spark, target).select("uid", "pos", "mid", "score")
     expected = realtime.recent_ratings(spark.createDataFrame(data, RATING), 40)
@@ -70,7 +79,7 @@ def test_live_lists_equal_batch(spark, pieces):
     history = [(uid, mid, 4.0, 100 + mid) for uid in range(0, 12, 3) for mid in range(20)]
     data = events(120)
     sim_path, target = scratch(spark, "sim"), scratch(spark, "recs")
-    sinks.store_similarity(similarity(spark), sim_path)
+    sinks.store_similarity(similarity(spark), sim_path, 64)
     store = live.RatingStore(spark, scratch(spark, "store"), buckets=4)
     store.load_history(spark.createDataFrame(history, RATING))
     stream = rating_stream(spark, log_files(spark, data, pieces), pieces)
@@ -91,10 +100,48 @@ def test_replayed_batch_counts_once(spark):
         store.add(batch, 0)
     one = batch.where("uid = 1")
     assert sorted(map(tuple, store.ratings_of(one).collect())) == [(1, 2, 3.0, 4)]
-    compacted = live.RatingStore(spark, scratch(spark, "store"), buckets=4)
-    store.compact_into(compacted)
-    compacted.add(one, 1)
-    assert sorted(map(tuple, compacted.ratings_of(batch).collect())) == [(1, 2, 3.0, 4), (1, 2, 3.0, 4), (5, 6, 3.0, 4)]
+    store.compact()
+    store.add(batch, 0)
+    store.add(one, 1)
+    expected = [(1, 2, 3.0, 4), (1, 2, 3.0, 4), (5, 6, 3.0, 4)]
+    assert sorted(map(tuple, store.ratings_of(batch).collect())) == expected
+    store.compact()
+    versions.drop_older(spark, store.path)
+    assert sorted(map(tuple, store.ratings_of(batch).collect())) == expected
+
+
+def test_running_stream_goes_on_after_a_compaction(spark):
+    data, sim_path, target, path = events(80), scratch(spark, "sim"), scratch(spark, "recs"), scratch(spark, "log")
+    sinks.store_similarity(similarity(spark), sim_path, 64)
+    store = live.RatingStore(spark, scratch(spark, "store"), buckets=4)
+    store.load_history()
+    feed = lambda part: sinks.format_rating_log(spark.createDataFrame(part, RATING)).coalesce(1).write.mode("append").text(path)
+    feed(data[:40])
+    query = live.stream_recommend(rating_stream(spark, path, 2), store, sim_path, target, scratch(spark, "checkpoint"), gate=0.3)
+    query.processAllAvailable()
+    store.compact()
+    sinks.compact_state(spark, target)
+    feed(data[40:])
+    query.processAllAvailable()
+    query.stop()
+    assert versions.current_version(spark, store.path).number == 1
+    everything = spark.createDataFrame(data, RATING)
+    last = spark.createDataFrame(data[40:], RATING)
+    expected = realtime.recommendation_lists(last, realtime.batch_recommend(last, everything, similarity(spark), gate=0.3))
+    key = lambda r: (r["uid"], [(x["mid"], round(x["score"], 9)) for x in r["recs"]])
+    found = sinks.current_user_recs(spark, target).join(last.select("uid").distinct(), "uid", "left_semi")
+    assert sorted(map(key, found.collect())) == sorted(map(key, expected.collect()))
+
+
+def test_scans_of_a_batch_are_pruned(spark):
+    store, sim_path = live.RatingStore(spark, scratch(spark, "store"), buckets=16), scratch(spark, "sim")
+    store.load_history(spark.createDataFrame(events(), RATING))
+    store.add(spark.createDataFrame(events(60), RATING), 0)
+    sinks.store_similarity(similarity(spark), sim_path, 16)
+    one = spark.createDataFrame([(3, 4, 1.0, 5)], RATING)
+    for frame, scans in ((store.ratings_of(one), 2), (sinks.similar_of(spark, sim_path, one, 16), 1)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("PartitionFilters: [isnotnull(bucket") + plan.count("PartitionFilters: [(bucket") + plan.count("PartitionFilters: [bucket") >= scans, plan
 
 
 def test_interval_trigger_starts_and_stops(spark):

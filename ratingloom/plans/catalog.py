@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ratingloom import schemas
 from ratingloom.functions import scalars
 from ratingloom.functions.queues import import_queue
 from ratingloom.operators import factors, lists, realtime, search, stats, vectors
 from ratingloom.plans import content, serving
 from ratingloom.plans import standins as t
-from ratingloom.session import scratch, shared_dir
+from ratingloom.session import materialised, scratch, shared_dir
 from ratingloom.sources import files, rejects, sinks, streams
 from ratingloom.streaming import live as live_stream
 from ratingloom.streaming import logs
@@ -698,21 +701,45 @@ def similar_to(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _model(spark: SparkSession, sf: str):
-    return factors.train_als(t.rating(spark, sf), rank=10, iterations=5)
+    """The model at the settings that ``train_als`` has by default."""
+    return factors.train_als(t.rating(spark, sf))
+
+
+def _solved(rating: DataFrame, users: DataFrame, items: DataFrame, reg: float) -> DataFrame:
+    """(uid, solved): whether a user's factors solve the user's normal equations, lambda times the
+    number of ratings included. The rest of the equations is small beside their right side."""
+    joined = rating.join(users.select("uid", F.col("features").alias("u")), "uid").join(items.select("mid", F.col("features").alias("i")), "mid")
+    scaled = lambda weight: array_to_vector(F.transform("i", lambda x: x * weight))
+    sums = joined.groupBy("uid").agg(
+        Summarizer.sum(scaled(scalars.dot("u", "i") - F.col("score"))).alias("off"),
+        Summarizer.sum(scaled(F.col("score"))).alias("right"),
+        F.count("*").alias("n"),
+        F.first("u").alias("u"),
+    )
+    rest = F.zip_with(vector_to_array("off"), F.transform("u", lambda x: x * F.col("n") * reg), lambda a, b: a + b)
+    norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x))
+    return sums.select("uid", (norm(rest) <= 1e-3 * norm(vector_to_array("right"))).alias("solved"))
 
 
 @register
 def train_als(spark: SparkSession, sf: str) -> DataFrame:
-    users, items = factors.factor_tables(_model(spark, sf))
-    rows = users.select(F.lit("user").alias("side"), F.col("uid").alias("id"), F.posexplode("features").alias("slot", "value"))
-    return rows.unionByName(
-        items.select(F.lit("item").alias("side"), F.col("mid").alias("id"), F.posexplode("features").alias("slot", "value"))
+    rating = t.rating(spark, sf)
+    users, items = (materialised(f, "factors") for f in factors.factor_tables(_model(spark, sf)))
+    factors.free_factors(spark)
+    solved = _solved(rating, users, items, schemas.ALS_LAMBDA)
+    sides = users.join(solved, "uid", "left").select(F.lit("user").alias("side"), F.col("uid").alias("id"), F.size("features").alias("slots"), "solved")
+    # Items are solved before the last users, so only their presence and size are facts.
+    return sides.unionByName(
+        items.select(F.lit("item").alias("side"), F.col("mid").alias("id"), F.size("features").alias("slots"), F.lit(None).cast("boolean").alias("solved"))
     )
 
 
 @register
 def predict_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return factors.predict_pairs(_model(spark, sf), t.rating(spark, sf))
+    model, rating = _model(spark, sf), t.rating(spark, sf)
+    expected = model.transform(rating.select("uid", "mid").distinct()).select("uid", "mid", "prediction")
+    both = factors.predict_pairs(model, rating).join(expected, ["uid", "mid"], "left")
+    return both.select("uid", "mid", "copies", F.coalesce(F.abs(F.col("score") - F.col("prediction")) < 1e-3, F.lit(False)).alias("agrees"))
 
 
 @register
@@ -727,18 +754,31 @@ def top_products(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def recommend_users(spark: SparkSession, sf: str) -> DataFrame:
-    return factors.recommend_users(_model(spark, sf))
+    recs = factors.recommend_users(_model(spark, sf))
+    before = F.lag("score").over(Window.partitionBy("uid").orderBy("rank"))
+    return recs.select("uid", "rank", F.coalesce(F.col("score") <= before, F.lit(True)).alias("falling"), (F.col("score") > 0).alias("positive"))
 
 
 @register
 def factor_similarity(spark: SparkSession, sf: str) -> DataFrame:
-    return factors.factor_similarity(_model(spark, sf), k=20)
+    lists_ = factors.factor_similarity(_model(spark, sf), k=20)
+    facts = lists_.groupBy("mid").agg(
+        ((F.max("rank") == F.count("*")) & (F.max("rank") <= 20) & (F.count_distinct("rank") == F.count("*"))).alias("ranked"),
+        (F.min("score") > schemas.MIN_SIMILARITY).alias("above"),
+        F.bool_and(F.col("mid") != F.col("sim_mid")).alias("others"),
+    )
+    # An item with no similar one has an empty list, for which all of this holds.
+    flags = [F.coalesce(c, F.lit(True)).alias(c) for c in ("ranked", "above", "others")]
+    return t.rating(spark, sf).select("mid").distinct().join(facts, "mid", "left").select("mid", *flags)
 
 
 @register
 def tune_als(spark: SparkSession, sf: str) -> DataFrame:
     train, test = factors.split_ratings(t.rating(spark, sf), ("uid", "mid", "ts", "ok", "ln"))
-    return factors.tune_als(train, test, ranks=(4, 8), lambdas=(0.1, 1.0), iterations=3)
+    grid = factors.tune_als(train, test)
+    # An answer of zero for every pair is what any fitted cell has to beat.
+    nothing = test.agg(F.sqrt(F.avg(F.pow("score", F.lit(2.0)))).alias("e")).scalar()
+    return grid.select("rank", "lambda", (F.col("rmse") < nothing).alias("fitted"))
 
 
 # --- search ----------------------------------------------------------------------------------

@@ -85,7 +85,69 @@ _FILTERED = """select trim(string_split(value, 'MOVIE_RATING_PREFIX:')[2]) as va
 
 _EDIT_LIMIT = "case when length(q) <= 2 then 0 when length(q) <= 5 then 1 else 2 end"
 
+# Murmur3 (32 bits, seed 42) of the bytes of a word, as the hashing of terms into buckets has it:
+# blocks of four bytes, little end first, then the bytes that are left.
+_MIX = "(({0}::hugeint * 3432918353 % 4294967296 * 32768 % 4294967296 + {0}::hugeint * 3432918353 % 4294967296 // 131072) * 461845907 % 4294967296)::bigint"
+_HASHED = f"""hashed as (
+    with recursive word as (select distinct unnest(words) term from bag),
+    bytes as (select term, list_transform(range(0, octet_length(encode(term))), lambda i: ('0x' || substr(hex(encode(term)), 2 * i + 1, 2))::bigint) b
+        from word),
+    step as (
+        select term, b, 0 as done, 42::bigint as h from bytes
+        union all
+        select term, b, done + 4, (((xor(h, k)::hugeint * 8192 % 4294967296 + xor(h, k) // 524288) * 5 + 3864292196) % 4294967296)::bigint
+        from (select *, {_MIX.format("(b[done + 1] + b[done + 2] * 256 + b[done + 3] * 65536 + b[done + 4] * 16777216)")} as k
+            from step where done + 4 <= len(b))
+    ),
+    tail as (select term, b, case when left_ = 0 then h else xor(h, {_MIX.format("t")}) end as h from (
+        select *, len(b) - done as left_,
+            coalesce(b[done + 1], 0) + coalesce(b[done + 2], 0) * 256 + coalesce(b[done + 3], 0) * 65536 as t
+        from step where done + 4 > len(b))),
+    f1 as (select term, xor(h, len(b)::bigint) as h from tail),
+    f2 as (select term, (xor(h, h // 65536)::hugeint * 2246822507 % 4294967296)::bigint as h from f1),
+    f3 as (select term, (xor(h, h // 8192)::hugeint * 3266489909 % 4294967296)::bigint as h from f2),
+    f4 as (select term, xor(h, h // 65536) as h from f3)
+    select term, ((case when h >= 2147483648 then h - 4294967296 else h end % 50) + 50) % 50 as bucket from f4)"""
+
+
+def _hashed(body: str) -> str:
+    """``body`` over the hashed counts and weights of the items' words."""
+    return (
+        sql("", "bag").rstrip()
+        + f""",
+    {_HASHED},
+    hash_tf as (select mid, bucket, count(*)::double tf from (select mid, unnest(words) term from bag) join hashed using (term) group by all),
+    hash_w as (select mid, bucket, tf * ln(((select count(*) from bag) + 1) / (df + 1)) weight
+        from hash_tf join (select bucket, count(*) df from hash_tf group by bucket) using (bucket)),
+    hash_norm as (select mid, sqrt(sum(weight * weight)) n from hash_w group by mid),
+    hash_pair as (select a.mid, b.mid sim_mid, round(sum(a.weight * b.weight) / (any_value(na.n) * any_value(nb.n)), 12) score
+        from hash_w a join hash_w b on a.bucket = b.bucket and a.mid <> b.mid
+        join hash_norm na on na.mid = a.mid join hash_norm nb on nb.mid = b.mid where na.n > 0 and nb.n > 0 group by a.mid, b.mid)
+    {body}"""
+    )
+
+
 ORACLES: dict[str, str] = {
+    "term_counts_hashed": _hashed("select mid, cast(bucket as int) bucket, tf from hash_tf"),
+    "tfidf_hashed": _hashed("select mid, cast(bucket as int) bucket, round(weight, 6) weight from hash_w where weight > 0"),
+    "content_similarity_hashed": _hashed(
+        """select mid, cast(rank as int) rank, sim_mid, round(score, 6) score from (select *, row_number() over
+        (partition by mid order by score desc, sim_mid) as rank from hash_pair where score > 0.6) where rank <= 20"""
+    ),
+    "train_als": sql(
+        """select distinct 'user' side, uid id, 200 slots, true solved from rating
+        union all select distinct 'item', mid, 200, cast(null as boolean) from rating""",
+        "rating",
+    ),
+    "predict_pairs": sql("select uid, mid, count(*) copies, true agrees from rating group by uid, mid", "rating"),
+    "recommend_users": sql(
+        """select uid, cast(rank as int) rank, true falling, true positive from (select distinct uid from rating),
+        (select unnest(range(1, 21)) as rank)""",
+        "rating",
+    ),
+    "factor_similarity": sql("select distinct mid, true ranked, true above, true others from rating", "rating"),
+    "tune_als": """select cast(rank as int) rank, lambda, true fitted from (select unnest([50, 100, 200, 300]) as rank),
+        (select unnest([0.01::double, 0.1::double, 1.0::double]) as lambda)""",
     "scan_items": sql("select mid, name, descri, issue, genres, '' directors from movie", "movie"),
     "scan_ratings": sql("select uid, mid, score, ts from rating", "rating"),
     "scan_tags": sql("select uid, mid, tag, ts from tag", "tag"),

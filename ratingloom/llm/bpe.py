@@ -21,7 +21,7 @@ import regex
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
-from ratingloom.llm.common import map_rows_together, sha256
+from ratingloom.llm.common import map_carried, sha256
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -246,17 +246,20 @@ def pieces_by_id(ranks: Ranks) -> list[bytes]:
     return out
 
 
-def encode_texts(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(id_col, ids array<int>): the token ids of every whole text."""
-    return _encoded(df, ranks_path, pattern, text_col, id_col, "ids array<int>", _keep_ids, _as_ids)
+def encode_texts(
+    df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", id_col: str = "doc_id", carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """(id_col, ids array<int>, decoded, carried columns): the token ids of every whole text, and the
+    text that they decode to."""
+    return _encoded(df, ranks_path, pattern, text_col, id_col, "ids array<int>, decoded string", _keep_ids, _as_ids, carry)
 
 
-def _keep_ids(pieces: list[bytes], ids: list[int]) -> list[int]:
-    return ids
+def _keep_ids(pieces: list[bytes], ids: list[int]) -> tuple[list[int], bytes]:
+    return ids, decode(ids, pieces)
 
 
-def _as_ids(known: list[list[int]]) -> tuple:
-    return ([i for ids in known for i in ids],)
+def _as_ids(known: list[tuple[list[int], bytes]]) -> tuple:
+    return [i for ids, _ in known for i in ids], b"".join([data for _, data in known]).decode("utf-8", "replace")
 
 
 def encode_digests(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -277,19 +280,6 @@ def _as_digest(known: list[tuple[int, str, bytes]]) -> tuple:
     return sum(counts), sha256(",".join(ids).encode()), sha256(b"".join(data))
 
 
-def round_trip(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(id_col, n_tokens, decoded): the text that the ids decode to."""
-    return _encoded(df, ranks_path, pattern, text_col, id_col, "n_tokens bigint, decoded string", _keep_bytes, _as_text)
-
-
-def _keep_bytes(pieces: list[bytes], ids: list[int]) -> tuple[int, bytes]:
-    return len(ids), decode(ids, pieces)
-
-
-def _as_text(known: list[tuple[int, bytes]]) -> tuple:
-    return sum(n for n, _ in known), b"".join([data for _, data in known]).decode("utf-8", "replace")
-
-
 def _encoded(
     df: DataFrame,
     ranks_path: str,
@@ -299,11 +289,10 @@ def _encoded(
     schema: str,
     keep: Callable[[list[bytes], list[int]], object],
     finish: Callable[[list], tuple],
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    rows = df.select(id_col, text_col)
-    table = shared_table(rows, ranks_path)
-    kind = rows.schema[id_col].dataType.simpleString()
-    return map_rows_together(rows, functools.partial(_encoder, table, pattern, keep, finish), f"{id_col} {kind}, {schema}")
+    table = shared_table(df, ranks_path)
+    return map_carried(df, id_col, text_col, carry, functools.partial(_encoder, table, pattern, keep, finish), schema)
 
 
 def shared_table(df: DataFrame, ranks_path: str):
@@ -311,15 +300,14 @@ def shared_table(df: DataFrame, ranks_path: str):
     return df.sparkSession.sparkContext.broadcast(RankTable(read_ranks(ranks_path)))
 
 
-def _encoder(table, pattern: str, keep: Callable, finish: Callable) -> Callable[[list[tuple]], Iterator[tuple]]:
+def _encoder(table, pattern: str, keep: Callable, finish: Callable) -> Callable[[list[str | None]], Iterator[tuple]]:
     pieces = pieces_by_id(table.value.ranks)
     known = Pieces(pattern, table.value, functools.partial(keep, pieces))
 
-    def apply(rows: list[tuple]) -> Iterator[tuple]:
-        cuts = [cut_text(text) for _, text in rows]
+    def apply(texts: list[str | None]) -> Iterator[tuple]:
+        cuts = [cut_text(text) for text in texts]
         known.learn(set().union(*cuts))
-        for (key, _), cut in zip(rows, cuts, strict=True):
-            yield key, *finish([known[piece] for piece in cut])
+        yield from (finish([known[piece] for piece in cut]) for cut in cuts)
 
     return apply
 

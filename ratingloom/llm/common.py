@@ -13,6 +13,7 @@ import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -100,6 +101,34 @@ def map_rows_together(
     return df.mapInArrow(task, schema)
 
 
+def map_carried(
+    df: DataFrame,
+    id_col: str,
+    text_col: str,
+    carry: tuple[str, ...],
+    make: Callable[[], Callable[[list[str | None]], Iterable[tuple]]],
+    schema: str,
+) -> DataFrame:
+    """Apply a function from texts to one tuple each; rows keep ``id_col`` and the ``carry`` columns,
+    whatever their names, beside the columns of ``schema``."""
+    columns = (id_col, *[c for c in carry if c != id_col])
+    rows = df.select(F.struct(*[F.col(c) for c in columns]).alias("carried"), F.col(text_col).alias("text"))
+
+    def make_many() -> Callable[[list[tuple]], Iterable[tuple]]:
+        apply = make()
+
+        def together(part: list[tuple]) -> Iterator[tuple]:
+            for (carried, _), made in zip(part, apply([text for _, text in part]), strict=True):
+                yield carried, *made
+
+        return together
+
+    kind = rows.schema["carried"].dataType.simpleString()
+    made = T._parse_datatype_string(schema).names
+    out = map_rows_together(rows, make_many, f"carried {kind}, {schema}")
+    return out.select(F.col(f"carried.{id_col}"), *made, *[F.col(f"carried.{c}") for c in columns[1:]])
+
+
 def batch_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = zip(*rows, strict=True)
     return pa.RecordBatch.from_arrays(

@@ -136,33 +136,56 @@ class PhraseIndex:
         return proximity_matches(self.begins, slop)
 
 
-def contamination(
+def document_hits(
     df: DataFrame, items: DataFrame, length: int = LENGTH, rarest: int = RAREST, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id"
 ) -> DataFrame:
-    """(id_col, n_words, n_hit, n_items, items, contaminated): one row per input row. ``n_hit`` words
-    lie in a phrase of the benchmark, ``items`` are the ids whose phrases occur, sorted as text;
-    ``contaminated`` says that at least a twentieth of the words are hit."""
+    """(doc, said, n_hit, items) of the documents in which phrases occur."""
     index = PhraseIndex(df, items, length, rarest, id_col, text_col, item_col)
     matches, _ = stored(index.exact(), "matches")
     places = matches.withColumn("n", F.size(F.split("phrase", " ")))
     covered = F.flatten(F.collect_set(F.sequence(F.col("begin"), F.col("begin") + F.col("n") - 1)))
     hits = places.groupBy("doc", "said").agg(F.size(F.array_distinct(covered)).cast("long").alias("n_hit"))
-    named = matches.select("doc", "said", "phrase").distinct().join(index.phrases, "phrase").select("doc", "said", F.col("item_id").cast("string").alias("item")).distinct()
-    held = named.groupBy("doc", "said").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    named = matches.select("doc", "said", "phrase").distinct().join(index.phrases, "phrase")
+    held = named.select("doc", "said", F.col("item_id").cast("string").alias("item")).distinct()
+    return hits.join(held.groupBy("doc", "said").agg(F.array_sort(F.collect_list("item")).alias("items")), ["doc", "said"])
+
+
+def word_count(text_col: str) -> Column:
+    return F.coalesce(F.regexp_count(F.col(text_col), F.lit(ANY_CASE_WORD)), F.lit(0)).cast("long")
+
+
+def is_contaminated(n_hit: Column, n_words: Column) -> Column:
+    """At least a twentieth of the words are hit."""
+    return (n_hit > 0) & (n_hit * 20 >= n_words)
+
+
+def contamination(
+    df: DataFrame, items: DataFrame, length: int = LENGTH, rarest: int = RAREST, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id"
+) -> DataFrame:
+    """(id_col, n_words, n_hit, n_items, items, contaminated): one row per input row. ``n_hit`` words
+    lie in a phrase of the benchmark, ``items`` are the ids whose phrases occur, sorted as text."""
+    hits = document_hits(df, items, length, rarest, id_col, text_col, item_col)
     rows = df.select(
-        F.col(id_col),
-        F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("doc"),
-        F.xxhash64(text_col).alias("said"),
-        F.coalesce(F.regexp_count(F.col(text_col), F.lit(ANY_CASE_WORD)), F.lit(0)).cast("long").alias("n_words"),
+        F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("doc"), F.xxhash64(text_col).alias("said"), word_count(text_col).alias("n_words")
     )
-    joined = rows.join(hits.join(held, ["doc", "said"]), ["doc", "said"], "left")
-    n_hit = F.coalesce("n_hit", F.lit(0))
-    none = F.array().cast("array<string>")
+    joined = rows.join(hits, ["doc", "said"], "left")
+    n_hit, held = F.coalesce("n_hit", F.lit(0)).cast("long"), F.coalesce("items", F.array().cast("array<string>"))
     return joined.select(
-        F.col(id_col),
+        F.col("id").alias(id_col),
         "n_words",
-        n_hit.cast("long").alias("n_hit"),
-        F.size(F.coalesce("items", none)).cast("long").alias("n_items"),
-        F.coalesce("items", none).alias("items"),
-        ((n_hit > 0) & (n_hit * 20 >= F.col("n_words"))).alias("contaminated"),
+        n_hit.alias("n_hit"),
+        F.size(held).cast("long").alias("n_items"),
+        held.alias("items"),
+        is_contaminated(n_hit, F.col("n_words")).alias("contaminated"),
     )
+
+
+def without_contaminated(
+    df: DataFrame, items: DataFrame, length: int = LENGTH, rarest: int = RAREST, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id"
+) -> DataFrame:
+    """The rows of ``df``, with all their columns, that are not contaminated."""
+    hits = document_hits(df, items, length, rarest, id_col, text_col, item_col).select("doc", "said", "n_hit")
+    rows = df.select(F.struct("*").alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("doc"), F.xxhash64(text_col).alias("said"))
+    marked = rows.join(hits, ["doc", "said"], "left")
+    clean = F.when(F.col("n_hit").isNull(), F.lit(True)).otherwise(~is_contaminated(F.col("n_hit"), word_count(f"row.{text_col}")))
+    return marked.where(clean).select("row.*")

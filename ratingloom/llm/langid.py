@@ -27,7 +27,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratingloom.llm.common import map_rows_together, rows_of
+from ratingloom.llm.common import map_carried, rows_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -152,22 +152,20 @@ def infer(texts: list[str | None], model: Model) -> list[list[tuple[str, float]]
     return none
 
 
-def identify(df: DataFrame, model: Model, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(id_col, lang_pred, score, languages): the main language of every text with its proportion, and
-    all chosen languages with theirs."""
-    rows = df.select(id_col, text_col)
-    kind = rows.schema[id_col].dataType.simpleString()
-    shared = rows.sparkSession.sparkContext.broadcast(model)
-    schema = f"{id_col} {kind}, lang_pred string, score double, languages array<struct<lang: string, share: double>>"
-    return map_rows_together(rows, functools.partial(_identifier, shared), schema)
+def identify(df: DataFrame, model: Model, text_col: str = "text", id_col: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id_col, lang_pred, score, languages, carried columns): the main language of every text with its
+    proportion, and all chosen languages with theirs."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    schema = "lang_pred string, score double, languages array<struct<lang: string, share: double>>"
+    return map_carried(df, id_col, text_col, carry, functools.partial(_identifier, shared), schema)
 
 
-def _identifier(shared) -> Callable[[list[tuple]], Iterator[tuple]]:
+def _identifier(shared) -> Callable[[list[str | None]], Iterator[tuple]]:
     model = shared.value
 
-    def apply(rows: list[tuple]) -> Iterator[tuple]:
-        for (key, _), found in zip(rows, infer([text for _, text in rows], model), strict=True):
+    def apply(texts: list[str | None]) -> Iterator[tuple]:
+        for found in infer(texts, model):
             name, score = found[0] if found else (UNKNOWN, 0.0)
-            yield key, name, score, [{"lang": lang, "share": share} for lang, share in found]
+            yield name, score, [{"lang": lang, "share": share} for lang, share in found]
 
     return apply

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -183,3 +184,8 @@ select conv_id, turn, role, said as text, parent as parent_turn, coalesce(root,
 from messages join own using (row) left join counted using (row) left join answered using (conv_id, turn, row)
 left join threads using (conv_id, turn)
 """
+
+
+LLM_REGISTRY["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

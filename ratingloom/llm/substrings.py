@@ -1,8 +1,9 @@
 """Substring dedup by seed and extend: repeated passages stay in the document of smallest id.
 
+0. **Copies.** A text that a smaller id has as a whole goes whole; only first texts go on.
 1. **Seeds.** Every window of ``length`` words keeps the smallest hash of its ``seed_words``-word runs
-   (winnowing), so equal windows keep equal seeds. Only the smallest and largest document per seed
-   are aggregated, after partial aggregation in the map tasks.
+   (winnowing), so equal windows keep equal seeds. Per seed only the smallest and largest digest of
+   the texts with it are aggregated, in the map tasks first; a seed of two different texts is shared.
 2. **Extend.** A document's seeds that another document has too are extended both ways to the windows
    that chose them; a window is known by 128 bits of hash. The smallest document per window decides.
 3. **Keep.** Covered windows that touch form the maximal repeats of a document, at least ``length``
@@ -27,10 +28,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.llm.common import Runs, WordHashes, map_arrays, map_rows_together, space_words, stored, tagged
+from ratingloom.session import forget
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -109,9 +111,10 @@ def _cut_rows(length: int, layout: str) -> Callable[[list[tuple]], Iterator[tupl
     known = WordHashes()
 
     def apply(rows: list[tuple]) -> Iterator[tuple]:
-        texts = [space_words(text) for _, text, _ in rows]
-        touched = [i for i, (_, _, found) in enumerate(rows) if found]
-        removed: dict[int, np.ndarray] = {}
+        texts = [space_words(text) for _, text, _, _ in rows]
+        copies = [i for i, (_, _, _, whole) in enumerate(rows) if whole and len(texts[i]) >= length]
+        removed = {i: np.ones(len(texts[i]), bool) for i in copies}
+        touched = [i for i, (_, _, found, _) in enumerate(rows) if found and i not in removed]
         if touched:
             runs = Runs(known, [texts[i] for i in touched])
             hit = runs.whole(length)
@@ -121,8 +124,8 @@ def _cut_rows(length: int, layout: str) -> Callable[[list[tuple]], Iterator[tupl
             np.add.at(edges, np.flatnonzero(hit), 1)
             np.add.at(edges, np.flatnonzero(hit) + length, -1)
             covered = np.cumsum(edges[:-1]) > 0
-            removed = {i: covered[runs.first[k] : runs.first[k + 1]] for k, i in enumerate(touched)}
-        for i, (key, text, _) in enumerate(rows):
+            removed |= {i: covered[runs.first[k] : runs.first[k + 1]] for k, i in enumerate(touched)}
+        for i, (key, text, _, _) in enumerate(rows):
             words, gone = texts[i], removed.get(i)
             if gone is None or not gone.any():
                 kept = b" ".join(words).decode("utf-8", "replace") if layout == "words" else text
@@ -147,6 +150,17 @@ def _kept(words: list[bytes], text: str, keep: np.ndarray, layout: str) -> bytes
     return b"".join(lead + stay)
 
 
+def whole_copies(texts: DataFrame) -> DataFrame:
+    """(doc_id, copies): digests of a document's texts that a document of smaller id has as well."""
+    said = texts.select("doc_id", F.md5("text").alias("digest")).distinct()
+    first = said.groupBy("digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
+    return said.join(first, "digest").where("doc_id > low").groupBy("doc_id").agg(F.collect_list("digest").alias("copies"))
+
+
+def _is_copy() -> Column:
+    return F.coalesce(F.array_contains("copies", F.md5("text")), F.lit(False))
+
+
 def remove_repeats(
     df: DataFrame,
     length: int = LENGTH,
@@ -154,8 +168,9 @@ def remove_repeats(
     layout: str = "words",
     text_col: str = "text",
     id_col: str = "doc_id",
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(id_col, n_words, n_removed, kept, repeats): every document without the words that a window of
+    """(id_col, n_words, n_removed, kept, repeats, carried columns): every document without the words that a window of
     ``length`` words shared with a document of smaller id covers.
 
     ``repeats`` are the maximal removed spans in words. ``kept`` joins the words by one space, or with
@@ -165,24 +180,34 @@ def remove_repeats(
         raise ValueError("layout is words or text; a seed is no longer than a window")
     texts = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     named = texts.where("doc_id is not null and text is not null")
+    copied, copied_path = stored(whole_copies(named), "copies")
+
+    of_text = map_arrays(
+        named.select(F.xxhash64("text").alias("said"), "text"), functools.partial(_seed_rows, length, seed_words), "seed bigint, said bigint"
+    )
+    shared = of_text.groupBy("seed").agg(F.min("said").alias("low"), F.max("said").alias("high")).where("low < high")
     seeds = map_arrays(named, functools.partial(_seed_rows, length, seed_words), "seed bigint, doc_id bigint")
-    shared = seeds.groupBy("seed").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
     by_doc = seeds.join(shared.select("seed"), "seed").groupBy("doc_id").agg(F.collect_list("seed").alias("seeds"))
-    by_doc, _ = stored(by_doc, "seeds")
+    by_doc, by_doc_path = stored(by_doc.join(copied, "doc_id", "left"), "seeds")
 
+    first_said = named.join(by_doc, "doc_id").where(~_is_copy())
     windows = map_arrays(
-        named.join(by_doc, "doc_id"),
+        first_said.select("doc_id", "text", "seeds"),
         functools.partial(_window_rows, length, seed_words),
         "one bigint, two bigint, doc_id bigint",
     )
     owners = windows.groupBy("one", "two").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    repeated = windows.join(owners, ["one", "two"]).where("doc_id > low")
-    repeated, _ = stored(repeated.groupBy("doc_id").agg(F.collect_list("one").alias("found")), "repeats")
+    repeated = windows.join(owners, ["one", "two"]).where("doc_id > low").groupBy("doc_id").agg(F.collect_list("one").alias("found"))
+    repeated, _ = stored(repeated.join(copied, "doc_id", "full"), "repeats")
+    forget(df.sparkSession, copied_path, by_doc_path)
 
-    kind = df.schema[id_col].dataType
+    columns = (id_col, *[c for c in carry if c != id_col])
+    rows = df.select(F.struct(*columns).alias("carried"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    kind = rows.schema["carried"].dataType.simpleString()
     cut = map_rows_together(
-        texts.join(repeated, "doc_id", "left"),
+        rows.join(repeated, "doc_id", "left").select("carried", "text", "found", _is_copy().alias("whole")),
         functools.partial(_cut_rows, length, layout),
-        "doc_id bigint, n_words bigint, n_removed bigint, kept string, repeats array<struct<start: bigint, stop: bigint>>",
+        f"carried {kind}, n_words bigint, n_removed bigint, kept string, repeats array<struct<start: bigint, stop: bigint>>",
     )
-    return cut.withColumn("doc_id", F.col("doc_id").cast(kind)).withColumnRenamed("doc_id", id_col)
+    made = ("n_words", "n_removed", "kept", "repeats")
+    return cut.select(F.col(f"carried.{id_col}"), *made, *[F.col(f"carried.{c}") for c in columns[1:]])

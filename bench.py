@@ -1,5 +1,6 @@
-"""Times the headline queries and prints one JSON line.
+"""Times the headline queries twice in one session and prints one JSON line.
 
+``queries`` are the second times, ``first`` the first; what takes over 20 seconds runs once.
 ``BENCH_SF_DIR`` names the data, ``BENCH_CPUS`` the local threads, ``BENCH_QUERIES`` an optional
 comma-separated choice.
 """
@@ -25,6 +26,14 @@ HEADLINE = (
     "stream_recent_state", "stream_recommend",
 )
 
+AGAIN_BELOW = 20.0
+
+
+def timed(spark, name: str, sf_dir: str) -> float:
+    began = time.perf_counter()
+    REGISTRY[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    return round(time.perf_counter() - began, 3)
+
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -35,18 +44,19 @@ def main() -> None:
     ensure_shared_dir(spark, tempfile.mkdtemp(prefix="ratingloom-bench-"))
     for name in ("nation", "lineitem"):
         spark.read.parquet(f"{sf_dir}/{name}.parquet").write.format("noop").mode("overwrite").save()
-    seconds = {}
+    first, second = {}, {}
     for name in names:
-        began = time.perf_counter()
-        REGISTRY[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.perf_counter() - began, 3)
-        print(f"{name}: {seconds[name]}", file=sys.stderr, flush=True)
+        first[name] = timed(spark, name, sf_dir)
+        # What a session's first query, Python worker or stream costs to start is in the first time alone.
+        second[name] = timed(spark, name, sf_dir) if first[name] < AGAIN_BELOW else first[name]
+        print(f"{name}: {first[name]} {second[name]}", file=sys.stderr, flush=True)
     spark.stop()
     result = {
         "metric": "total_wall_time",
-        "value": round(sum(seconds.values()), 3),
+        "value": round(sum(second.values()), 3),
         "unit": "sec",
-        "queries": seconds,
+        "queries": second,
+        "first": first,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
     }
     print(json.dumps(result))

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -706,19 +705,24 @@ def _model(spark: SparkSession, sf: str):
 
 
 def _solved(rating: DataFrame, users: DataFrame, items: DataFrame, reg: float) -> DataFrame:
-    """(uid, solved): whether a user's factors solve the user's normal equations, lambda times the
-    number of ratings included. The rest of the equations is small beside their right side."""
-    joined = rating.join(users.select("uid", F.col("features").alias("u")), "uid").join(items.select("mid", F.col("features").alias("i")), "mid")
-    scaled = lambda weight: array_to_vector(F.transform("i", lambda x: x * weight))
-    sums = joined.groupBy("uid").agg(
-        Summarizer.sum(scaled(scalars.dot("u", "i") - F.col("score"))).alias("off"),
-        Summarizer.sum(scaled(F.col("score"))).alias("right"),
+    """(uid, solved): whether a user's factors u solve the user's normal equations, lambda times the
+    number of ratings included. For the sum of (i.u - score) i plus lambda n u, which has to vanish,
+    the products with u and with one other direction are taken, and held against their largest part."""
+    rank = items.select(F.size("features")).first()[0]
+    other = F.array(*[F.lit(math.cos(j * j)) for j in range(rank)])
+    items = items.select("mid", F.col("features").alias("i"), scalars.dot("features", other).alias("iw"))
+    users = users.select("uid", F.col("features").alias("u"), scalars.dot("features", "features").alias("uu"), scalars.dot("features", other).alias("uw"))
+    joined = rating.join(users, "uid").join(items, "mid").select("uid", "score", "uu", "uw", "iw", scalars.dot("u", "i").alias("iu"))
+    off = F.col("iu") - F.col("score")
+    sums = joined.groupBy("uid", "uu", "uw").agg(
         F.count("*").alias("n"),
-        F.first("u").alias("u"),
+        F.sum(off * F.col("iu")).alias("along_u"),
+        F.sum(off * F.col("iw")).alias("along_w"),
+        F.sum(F.abs(F.col("score") * F.col("iu"))).alias("size_u"),
+        F.sum(F.abs(F.col("score") * F.col("iw"))).alias("size_w"),
     )
-    rest = F.zip_with(vector_to_array("off"), F.transform("u", lambda x: x * F.col("n") * reg), lambda a, b: a + b)
-    norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x))
-    return sums.select("uid", (norm(rest) <= 1e-3 * norm(vector_to_array("right"))).alias("solved"))
+    vanishes = lambda side: F.abs(F.col(f"along_{side}") + reg * F.col("n") * F.col(f"u{side}")) <= 1e-3 * F.col(f"size_{side}")
+    return sums.select("uid", (vanishes("u") & vanishes("w")).alias("solved"))
 
 
 @register

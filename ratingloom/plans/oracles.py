@@ -146,8 +146,8 @@ ORACLES: dict[str, str] = {
         "rating",
     ),
     "factor_similarity": sql("select distinct mid, true ranked, true above, true others from rating", "rating"),
-    "tune_als": """select cast(rank as int) rank, lambda, true fitted from (select unnest([50, 100, 200, 300]) as rank),
-        (select unnest([0.01::double, 0.1::double, 1.0::double]) as lambda)""",
+    "tune_als": """select cast(rank as int) rank, "lambda", true fitted from (select unnest([50, 100, 200, 300]) as rank),
+        (select unnest([0.01::double, 0.1::double, 1.0::double]) as "lambda")""",
     "scan_items": sql("select mid, name, descri, issue, genres, '' directors from movie", "movie"),
     "scan_ratings": sql("select uid, mid, score, ts from rating", "rating"),
     "scan_tags": sql("select uid, mid, tag, ts from tag", "tag"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 import pytest
 
@@ -18,7 +19,11 @@ def oracle():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+# The text queries have tests of their own beside plain Python; the grid of models takes minutes.
+SLOW = {"pipeline", "tune_als"} | {n for n in contract.queries() if re.match(r"op\d+_", n) and n not in contract.oracle_sql()}
+
+
+@pytest.mark.parametrize("name", sorted(set(contract.queries()) - SLOW))
 def test_equals_oracle(spark, oracle, name):
     assert compare(spark, oracle, SF_DIR, name) == ""
 

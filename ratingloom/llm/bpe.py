@@ -12,14 +12,17 @@ from __future__ import annotations
 
 import base64
 import functools
+import json
 import re
 import sys
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import regex
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ratingloom.llm.common import map_carried, sha256
 
@@ -314,3 +317,46 @@ def _encoder(table, pattern: str, keep: Callable, finish: Callable) -> Callable[
 
 def byte_lengths(ranks: Ranks) -> np.ndarray:
     return np.array([len(p) for p in pieces_by_id(ranks)], np.int64)
+
+
+#: Buckets of the literal rank map of ``merge_expression``; a lookup scans one bucket.
+MAP_BUCKETS = 8192
+
+
+def merge_expression(word: Column, ranks: Ranks) -> Column:
+    """Ids of one word as a built-in expression: higher-order functions fold the merges over the array
+    of the word's bytes, with the rank map as a literal.
+
+    A literal map is searched from its start, so the ranks lie in buckets by checksum. Bytes are
+    written as hex text. For distinct words; see ``encode_texts`` for whole texts.
+    """
+    buckets: list[dict[str, int]] = [{} for _ in range(MAP_BUCKETS)]
+    for token, rank in ranks.items():
+        name = token.hex().upper()
+        buckets[zlib.crc32(name.encode()) % MAP_BUCKETS][name] = rank
+    literal = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")
+
+    def rank_of(part: Column) -> Column:
+        bucket = F.get(literal, F.pmod(F.crc32(part.cast("binary")), F.lit(MAP_BUCKETS)).cast("int"))
+        return F.try_element_at(bucket, part)
+
+    def step(parts: Column, _: Column) -> Column:
+        n = F.size(parts)
+        pairs = F.zip_with(F.slice(parts, F.lit(1), n - 1), F.slice(parts, F.lit(2), n - 1), lambda a, b: rank_of(F.concat(a, b)))
+        # A lambda variable holds the ranks of the pairs, so they are looked up once per step.
+        return F.transform(F.array(pairs), lambda found: _merge_lowest(parts, found))[0]
+
+    digits = F.hex(word.cast("binary"))
+    size = F.octet_length(word)
+    single = F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.substr(digits, 2 * i + 1, F.lit(2)))
+    whole = rank_of(digits)
+    folded = F.aggregate(F.sequence(F.lit(1), F.greatest(F.lit(1), size - 1)), single, step)
+    ids = F.when(whole.isNotNull(), F.array(whole)).otherwise(F.transform(folded, rank_of))
+    return F.when(size > 0, ids).otherwise(F.array().cast("array<int>"))
+
+
+def _merge_lowest(parts: Column, found: Column) -> Column:
+    at = F.array_position(found, F.array_min(found)).cast("int")
+    joined = F.array(F.concat(F.get(parts, at - 1), F.get(parts, at)))
+    merged = F.concat(F.slice(parts, F.lit(1), at - 1), joined, F.slice(parts, at + 2, F.size(parts)))
+    return F.when(F.array_min(found).isNull(), parts).otherwise(merged)

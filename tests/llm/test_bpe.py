@@ -10,6 +10,7 @@ import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ratingloom.llm import bpe, tokencounts
 from ratingloom.llm.queries import LLM_REGISTRY, RANKS
@@ -123,3 +124,10 @@ def test_section_query_covers_all_tokens(spark):
     whole = {r.doc_id: r.n_tokens for r in LLM_REGISTRY["op8_byte_bpe"](spark, SF_DIR).collect()}
     parts = LLM_REGISTRY["op5_section_tokens"](spark, SF_DIR).groupBy("doc_id").sum("n_tokens").collect()
     assert {r[0]: r[1] for r in parts} == {k: v for k, v in whole.items() if v}
+
+
+def test_merges_as_a_built_in_expression(spark, ranks):
+    words = ["", "a", " the", "thetionand", " Eauouon", "abcab" * 9, "é", "中文", " 123", "\n\n", "ndstonti"]
+    df = spark.createDataFrame([(w,) for w in words] + [(None,)], "word string").repartition(2)
+    got = {r.word: r.ids for r in df.select("word", bpe.merge_expression(F.col("word"), ranks).alias("ids")).collect()}
+    assert got == {None: []} | {w: bpe.merge_word(w.encode(), ranks) if w else [] for w in words}

@@ -1,6 +1,7 @@
 """Times the headline queries twice in one session and prints one JSON line.
 
 ``queries`` are the second times, ``first`` the first; what takes over 20 seconds runs once.
+``micro_batches`` are the seconds of each micro-batch of a stream.
 ``BENCH_SF_DIR`` names the data, ``BENCH_CPUS`` the local threads, ``BENCH_QUERIES`` an optional
 comma-separated choice.
 """
@@ -13,6 +14,8 @@ import sys
 import tempfile
 import time
 
+from pyspark.sql.streaming import StreamingQueryListener
+
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ratingloom.plans.catalog import REGISTRY  # noqa: E402
@@ -29,6 +32,26 @@ HEADLINE = (
 AGAIN_BELOW = 20.0
 
 
+class Batches(StreamingQueryListener):
+    """Seconds of every micro-batch, in the order they ended."""
+
+    def __init__(self) -> None:
+        self.seconds: list[float] = []
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        if event.progress.numInputRows:
+            self.seconds.append(event.progress.durationMs["triggerExecution"] / 1000)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def timed(spark, name: str, sf_dir: str) -> float:
     began = time.perf_counter()
     REGISTRY[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -44,11 +67,17 @@ def main() -> None:
     ensure_shared_dir(spark, tempfile.mkdtemp(prefix="ratingloom-bench-"))
     for name in ("nation", "lineitem"):
         spark.read.parquet(f"{sf_dir}/{name}.parquet").write.format("noop").mode("overwrite").save()
-    first, second = {}, {}
+    first, second, batches = {}, {}, {}
+    listener = Batches()
+    spark.streams.addListener(listener)
     for name in names:
+        listener.seconds.clear()
         first[name] = timed(spark, name, sf_dir)
         # What a session's first query, Python worker or stream costs to start is in the first time alone.
         second[name] = timed(spark, name, sf_dir) if first[name] < AGAIN_BELOW else first[name]
+        if name.startswith("stream_"):
+            time.sleep(1)  # the listener hears of a batch a little later
+            batches[name] = list(listener.seconds)
         print(f"{name}: {first[name]} {second[name]}", file=sys.stderr, flush=True)
     spark.stop()
     result = {
@@ -57,6 +86,7 @@ def main() -> None:
         "unit": "sec",
         "queries": second,
         "first": first,
+        "micro_batches": batches,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
     }
     print(json.dumps(result))

@@ -937,12 +937,12 @@ def stream_recent_state(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def stream_recommend(spark: SparkSession, sf: str) -> DataFrame:
     sim_path, target = scratch(spark, "sim"), scratch(spark, "stream-recs")
-    sinks.store_similarity(_ranked_sim(spark, sf), sim_path, 64)
-    store = live_stream.RatingStore(spark, scratch(spark, "rating-store"))
+    sinks.store_similarity(_ranked_sim(spark, sf), sim_path, 8)
+    store = live_stream.RatingStore(spark, scratch(spark, "rating-store"), buckets=16)
     store.load_history()
     checkpoint = scratch(spark, "stream-recs-checkpoint")
     query = live_stream.stream_recommend(
-        _event_stream(spark, sf), store, sim_path, target, checkpoint, gate=LIVE_GATE, available_now=True
+        _event_stream(spark, sf), store, sim_path, target, checkpoint, gate=LIVE_GATE, sim_buckets=8, available_now=True
     )
     query.awaitTermination()
     return rounded(lists.list_rows(sinks.current_user_recs(spark, target), "uid"), "score")

@@ -28,6 +28,8 @@ from ratingloom.streaming.logs import start
 # Executors get the task functions by value and need no installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Folders of a micro-batch's ratings; batches are small, so few.
+BATCH_PARTS = 8
 QUEUE_ENTRIES = "array<struct<mid:int,score:double,ts:long>>"
 QUEUE_OUTPUT = f"uid int, queue {QUEUE_ENTRIES}"
 QUEUE_STATE = "mid array<int>, score array<double>, ts array<long>"
@@ -91,7 +93,7 @@ class RatingStore:
     """The rating table of the live job, laid out so that a micro-batch reads only its users' share.
 
     A version holds one folder per hash bucket of the user id, sorted by user. Every micro-batch adds
-    one folder with the same buckets and may be replayed; ``compact`` folds those into a new version,
+    one folder of a few parts of these buckets and may be replayed; ``compact`` folds those into a new version,
     which a running stream uses from its next micro-batch on. Choose ``buckets`` by the table's size.
     """
 
@@ -114,30 +116,38 @@ class RatingStore:
         """Store the batch, unless a version holds it already (a replay after a compaction)."""
         version = versions.current_version(self.spark, self.path)
         if version is None or batch_id > version.through:
-            self._laid_out(batch).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/batch_id={batch_id}")
+            part = (F.col("bucket") % BATCH_PARTS).alias("part")
+            rows = self._laid_out(batch).select(*RATING.names, part).repartition(BATCH_PARTS, "part")
+            rows.write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/batch_id={batch_id}")
 
-    def _stored(self) -> tuple[list[DataFrame], int]:
-        """The current version and the batches after it, and the last batch number."""
-        schema = T.StructType([*RATING.fields, T.StructField("bucket", T.IntegerType())])
+    def _stored(self, buckets: list[int] | None = None) -> tuple[list[DataFrame], int]:
+        """The current version and the batches after it, of all users or of those in the given buckets,
+        and the last batch number."""
         version = versions.current_version(self.spark, self.path)
         after = version.through if version else -1
         folders = versions.batch_folders(self.spark, self.path, after)
-        read = self.spark.read.schema(schema)
-        parts = [read.parquet(version.folder)] if version else []
-        parts += [read.option("basePath", self.path).parquet(*folders)] if folders else []
-        return [p.select(*schema.names) for p in parts], int(folders[-1].rsplit("=", 1)[1]) if folders else after
+        parts = []
+        if version:
+            parts.append(self._folders("bucket", buckets, [version.folder]))
+        if folders:
+            parts.append(self._folders("part", buckets and sorted({b % BATCH_PARTS for b in buckets}), folders))
+        return parts, int(folders[-1].rsplit("=", 1)[1]) if folders else after
+
+    def _folders(self, column: str, numbers: list[int] | None, paths: list[str]) -> DataFrame:
+        schema = T.StructType([*RATING.fields, T.StructField(column, T.IntegerType())])
+        rows = self.spark.read.schema(schema).option("basePath", self.path).parquet(*paths)
+        return (rows if numbers is None else rows.where(F.col(column).isin(numbers))).select(*RATING.names)
 
     def ratings_of(self, users: DataFrame) -> DataFrame:
         """All ratings of the given users. The at most ``buckets`` folder numbers are looked up first,
         so the scans of history and batches are pruned to them."""
-        asked = asked_buckets(users, "uid", self.buckets)
-        parts = [p.where(F.col("bucket").isin(asked)).drop("bucket") for p in self._stored()[0]]
+        parts, _ = self._stored(asked_buckets(users, "uid", self.buckets))
         return reduce(DataFrame.unionByName, parts).join(users.select("uid").distinct(), "uid", "left_semi")
 
     def compact(self) -> None:
         """Publish everything stored as the next version."""
         parts, through = self._stored()
-        self.load_history(reduce(DataFrame.unionByName, parts).drop("bucket"), through)
+        self.load_history(reduce(DataFrame.unionByName, parts), through)
 
 
 def stream_recommend(

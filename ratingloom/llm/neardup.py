@@ -10,7 +10,8 @@ their weighted Jaccard similarity.
 compared with their bucket's smallest member; what signatures do not rule out is checked on whole
 texts. Components of these links leave few open cases: members of a bucket that are not in its
 smallest member's component. These are a query set, compared with the bucket's other components in
-blocks of bounded size, and what passes is checked on whole texts too. Links inside a component
+blocks of bounded size, each pair in the first band it shares; what signatures leave open, pairs
+close to the threshold, is checked on whole texts too. Links inside a component
 change nothing, so no pair that could join two classes is left out, and a group's pairs are never
 written out.
 
@@ -46,7 +47,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SHINGLE, SIMILARITY = 5, 0.8
 #: 25 bands of 5 coordinates: a pair of similarity 0.8 shares none with probability 5e-5.
 BANDS, BAND = 25, 5
-K = BANDS * BAND
+#: The bands' coordinates and more, which narrow what signatures leave open.
+K = 400
 #: Signatures rule a pair out below the similarity by this many standard deviations.
 DEVIATIONS = 3.0
 BLOCK = 1024
@@ -129,7 +131,7 @@ def _signature_rows(size: int, weights: str) -> Callable[[list[tuple]], Iterator
         signatures = dart_signatures(hashes, weight, owner, len(rows))
         filled = np.bincount(owner, minlength=len(rows)) > 0
         numbers = np.arange(BANDS, dtype=np.uint64)
-        banded = signatures.reshape(len(rows), BANDS, BAND)
+        banded = signatures[:, : BANDS * BAND].reshape(len(rows), BANDS, BAND)
         bands = np.broadcast_to(mixed(numbers + np.uint64(1)), (len(rows), BANDS))
         for i in range(BAND):
             bands = mixed(bands ^ banded[:, :, i])
@@ -240,23 +242,28 @@ def _block_rows(floor: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
     sorted by block, so a block is complete when the next begins."""
 
     def compare(rows: list[tuple]) -> list[tuple[int, int]]:
-        asked = [r for r in rows if r[3]]
-        there = [r for r in rows if not r[3]]
+        asked = [r for r in rows if r[4]]
+        there = [r for r in rows if not r[4]]
         if not asked or not there:
             return []
-        a = np.frombuffer(b"".join(r[6] for r in asked), np.uint8).reshape(-1, K)
-        b = np.frombuffer(b"".join(r[6] for r in there), np.uint8).reshape(-1, K)
-        a_class, b_class = np.array([r[5] for r in asked]), np.array([r[5] for r in there])
+        a = np.frombuffer(b"".join(r[8] for r in asked), np.uint8).reshape(-1, K)
+        b = np.frombuffer(b"".join(r[8] for r in there), np.uint8).reshape(-1, K)
+        b_id, b_class, b_asks = (np.array([r[c] for r in there]) for c in (6, 7, 5))
         out = []
         for i, row in enumerate(asked):
-            near = ((b == a[i]).mean(axis=1) >= floor) & (b_class != a_class[i])
-            out += [(min(row[4], there[j][4]), max(row[4], there[j][4])) for j in np.flatnonzero(near).tolist()]
+            nth, doc_id, of_class = row[1], row[6], row[7]
+            # Of two queries the one of smaller id asks.
+            open_ = np.flatnonzero((b_class != of_class) & ~(b_asks & (b_id < doc_id)))
+            equal = b[open_] == a[i]
+            near = equal.mean(axis=1) >= floor
+            before = equal[near][:, : nth * BAND].reshape(int(near.sum()), nth, BAND).all(axis=2).any(axis=1)
+            out += [(min(doc_id, other), max(doc_id, other)) for other in b_id[open_[near][~before]].tolist()]
         return out
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = ("band", "asks", "holds", "query", "doc_id", "class_id", "signature")
+        columns = ("band", "nth", "asks", "holds", "query", "asking", "doc_id", "class_id", "signature")
         rows = (row for batch in batches for row in zip(*[batch.column(c).to_pylist() for c in columns], strict=True))
-        for _, block in itertools.groupby(rows, key=lambda r: r[:3]):
+        for _, block in itertools.groupby(rows, key=lambda r: (r[0], r[2], r[3])):
             found = compare(list(block))
             if found:
                 a, b = zip(*found, strict=True)
@@ -281,7 +288,8 @@ def _open_cases(banded: DataFrame, buckets: DataFrame, labels: DataFrame, sketch
         }
     )
     spread = F.xxhash64("doc_id")
-    out = ("band", "asks", "holds", "query", "doc_id", "class_id", "signature")
+    out = ("band", "nth", "asks", "holds", "query", "asking", "doc_id", "class_id", "signature")
+    rows = rows.withColumn("asking", F.col("query"))
     asks = rows.where("query").withColumn("asks", F.pmod(spread, F.col("n_asks")).cast("int"))
     asks = asks.withColumn("holds", F.explode(F.sequence(F.lit(0), F.col("n_holds") - 1))).select(*out)
     holds = rows.withColumn("holds", F.pmod(spread, F.col("n_holds")).cast("int")).withColumn("query", F.lit(False))
@@ -317,7 +325,7 @@ def near_duplicate_classes(
         "representatives",
     )
     sketches = distinct.where("size(bands) > 0").select("doc_id", "signature").dropDuplicates(["doc_id"])
-    banded = distinct.select(F.explode("bands").alias("band"), "doc_id")
+    banded = distinct.select(F.posexplode("bands").alias("nth", "band"), "doc_id")
     buckets = banded.groupBy("band").agg(F.min("doc_id").alias("centre"), F.max("doc_id").alias("high"), F.count("*").alias("members"))
     buckets = buckets.where("centre < high").drop("high")
     stars = banded.join(buckets, "band").where("doc_id > centre").selectExpr("centre as a", "doc_id as b").distinct()

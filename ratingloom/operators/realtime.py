@@ -97,8 +97,9 @@ def batch_recommend(
     return score_candidates(sim_lookup(candidate_x_recent(cand, recents), sim), gate)
 
 
-def recommendation_lists(events: DataFrame, scored: DataFrame) -> DataFrame:
-    """(uid, recs) for every user with an event, best first; empty where nothing was scored."""
+def recommendation_lists(events: DataFrame, scored: DataFrame, k: int = CANDIDATES) -> DataFrame:
+    """(uid, recs) for every user with an event, the ``k`` best first; empty where nothing was scored."""
+    scored = top_k(scored, "uid", by_score(), k)
     entry = F.struct(F.negative(F.round("score", 12)).alias("o"), "mid", "score")
     recs = F.transform(
         F.sort_array(F.collect_list(entry)), lambda r: F.struct(r["mid"].alias("mid"), r["score"].alias("score"))

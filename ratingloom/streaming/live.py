@@ -182,7 +182,7 @@ def stream_recommend(
         cand = realtime.top_candidates(latest, similar_of(spark, sim_path, latest, sim_buckets), rated, k).persist()
         pairs = realtime.candidate_x_recent(cand, realtime.recent_ratings(rated, recent))
         scored = realtime.score_candidates(realtime.sim_lookup(pairs, similar_of(spark, sim_path, cand, sim_buckets)), gate)
-        upsert_user_recs(realtime.recommendation_lists(fresh, scored), target, batch_id)
+        upsert_user_recs(realtime.recommendation_lists(fresh, scored, k), target, batch_id)
         for part in (cand, latest, rated, batch):
             part.unpersist()
 

@@ -1,10 +1,11 @@
 """Quality of texts by weak supervision, in built-in functions only.
 
-Rules look at counts of a text and vote for it, against it, or abstain. Documents are grouped by
-their pattern of votes, at most three to the power of the number of rules whatever the data, and
-expectation-maximisation over the patterns estimates how often texts are good and how often each
-rule is right. The posterior probability that a text is good decides, instead of a demand that all
-rules pass.
+Rules look at counts of a text and vote for it, against it, or abstain: each looks for one fault and
+says nothing where it finds none, and one votes for texts that are plain in all respects. Documents
+are grouped by their pattern of votes, at most three to the power of the number of rules whatever
+the data, and expectation-maximisation over the patterns estimates how often each rule is right,
+given the share of good texts. The posterior probability that a text is good decides, instead of a
+demand that all rules pass.
 
 Counts are taken once, inside the task that reads the text, and stored; texts are never shuffled.
 
@@ -25,8 +26,8 @@ from ratingloom.llm.common import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
-#: EM: prior share of good texts, prior accuracy of a rule and its weight in votes, steps, and change at which it ends.
-GOOD, ACCURACY, PRIOR_VOTES, STEPS, SETTLED = 0.7, 0.8, 10.0, 40, 1e-5
+#: Share of good texts, prior accuracy of a rule and its weight in votes, steps of EM, and the change at which it ends.
+GOOD, ACCURACY, PRIOR_VOTES, STEPS, SETTLED = 0.6, 0.8, 10.0, 40, 1e-5
 LOWEST, HIGHEST = 0.55, 0.995
 
 
@@ -40,14 +41,21 @@ class Rule(NamedTuple):
 
 # Shares are written as products, so texts without words divide by nothing.
 RULES = (
-    Rule("length", "n_words >= 80", "n_words < 50"),
-    Rule("word_length", "word_chars between 3 * n_words and 10 * n_words", "word_chars < 2 * n_words or word_chars > 15 * n_words"),
-    Rule("symbols", "50 * n_symbols <= n_words", "10 * n_symbols > n_words"),
-    Rule("repeated_words", "10 * n_repeat_words <= n_words", "4 * n_repeat_words > n_words"),
-    Rule("repeated_lines", "n_lines > 1 and n_dup_lines = 0", "5 * n_dup_lines > n_lines"),
-    Rule("capitals", "n_letters > 0 and 10 * n_capitals <= n_letters", "3 * n_capitals > n_letters and n_letters > 0"),
-    Rule("letters", "n_letters >= 0.75 * word_chars and word_chars > 0", "n_letters < 0.5 * word_chars"),
-    Rule("digits", "50 * n_digits <= word_chars and word_chars > 0", "10 * n_digits > word_chars"),
+    Rule("length", "false", "n_words < 50"),
+    Rule("word_length", "false", "word_chars < 2 * n_words or word_chars > 15 * n_words"),
+    Rule("symbols", "false", "10 * n_symbols > n_words"),
+    Rule("symbol_share", "false", "40 * n_symbols > word_chars"),
+    Rule("repeated_words", "false", "4 * n_repeat_words > n_words"),
+    Rule("repeated_lines", "false", "3 * n_dup_lines > n_lines"),
+    Rule("capitals", "false", "3 * n_capitals > n_letters and n_letters > 0"),
+    Rule("letters", "false", "10 * n_letters < 8 * word_chars"),
+    Rule("digits", "false", "10 * n_digits > word_chars"),
+    Rule(
+        "plain",
+        "n_words >= 50 and 50 * n_symbols <= n_words and 10 * n_repeat_words <= n_words and 10 * n_dup_lines <= n_lines"
+        " and 10 * n_letters >= 9 * word_chars and 5 * n_capitals <= n_letters",
+        "false",
+    ),
 )
 
 
@@ -123,7 +131,7 @@ def votes(counts: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 
 class LabelModel(NamedTuple):
-    good: float
+    good: float  # given, not estimated
     accuracy: dict[str, float]
 
 
@@ -135,27 +143,28 @@ def posterior(model: LabelModel) -> Column:
     return 1 / (1 + F.exp(-odds))
 
 
-def fit(voted: DataFrame, rules: tuple[Rule, ...] = RULES, steps: int = STEPS) -> LabelModel:
-    """Expectation-maximisation over the patterns of votes; each step is one aggregation of them."""
+def fit(voted: DataFrame, rules: tuple[Rule, ...] = RULES, good: float = GOOD, steps: int = STEPS) -> LabelModel:
+    """Accuracies by expectation-maximisation over the patterns of votes, given the share of good
+    texts; each step is one aggregation of the patterns."""
     names = [r.name for r in rules]
     columns = [f"vote_{n}" for n in names]
     patterns, _ = stored(voted.groupBy(*columns).agg(F.count("*").alias("n")).coalesce(1), "patterns")
-    model = LabelModel(GOOD, {n: ACCURACY for n in names})
+    model = LabelModel(good, {n: ACCURACY for n in names})
     for _ in range(steps):
         q = posterior(model)
         right = [
             F.sum(F.col("n") * F.when(F.col(c) == 1, q).when(F.col(c) == -1, 1 - q).otherwise(0.0)).alias(f"right_{n}") for c, n in zip(columns, names, strict=True)
         ]
         cast = [F.sum(F.col("n") * F.abs(c)).alias(f"cast_{n}") for c, n in zip(columns, names, strict=True)]
-        sums = patterns.agg(F.sum("n").alias("n"), F.sum(F.col("n") * q).alias("good"), *right, *cast).first()
+        sums = patterns.agg(F.sum("n").alias("n"), *right, *cast).first()
         if not sums["n"]:
             break
         last = model
         accuracy = {
             n: min(HIGHEST, max(LOWEST, (sums[f"right_{n}"] + PRIOR_VOTES * ACCURACY) / (sums[f"cast_{n}"] + PRIOR_VOTES))) for n in names
         }
-        model = LabelModel(min(0.99, max(0.01, (sums["good"] + PRIOR_VOTES * GOOD) / (sums["n"] + PRIOR_VOTES))), accuracy)
-        if abs(model.good - last.good) + max(abs(model.accuracy[n] - last.accuracy[n]) for n in names) < SETTLED:
+        model = LabelModel(good, accuracy)
+        if max(abs(accuracy[n] - last.accuracy[n]) for n in names) < SETTLED:
             break
     return model
 

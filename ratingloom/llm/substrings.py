@@ -65,11 +65,7 @@ def _seed_rows(length: int, seed_words: int) -> Callable[[list[tuple]], Iterator
         if not whole.any():
             return
         owner = runs.owner[: len(seeds)]
-        new = np.ones(len(seeds), bool)
-        new[1:] = (seeds[1:] != seeds[:-1]) | (owner[1:] != owner[:-1])
-        # A window over two texts may hide the run before it, so the first whole one after it counts.
-        new[1:] |= ~whole[:-1]
-        keep = np.flatnonzero(whole & new)
+        keep = _each_once(seeds, owner, np.flatnonzero(whole))
         ids = np.array([key for key, _ in rows], np.int64)
         yield seeds[keep].view(np.int64), ids[owner[keep]]
 
@@ -89,11 +85,21 @@ def _window_rows(length: int, seed_words: int) -> Callable[[list[tuple]], Iterat
         at = np.flatnonzero(whole)
         at = at[_among(tagged(seeds[at], owner[at]), shared)]
         ids = np.array([key for key, _, _ in rows], np.int64)
-        yield runs.of(length)[at].view(np.int64), runs.of(length, 1)[at].view(np.int64), ids[owner[at]]
+        one = runs.of(length)
+        at = _each_once(one, owner, at)
+        yield one[at].view(np.int64), runs.of(length, 1)[at].view(np.int64), ids[owner[at]]
 
     return apply
 
 
+def _each_once(values: np.ndarray, owner: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The places ``at`` without those whose value their text has had, so a text that repeats a line
+    sends it once."""
+    # Most repeats of a seed are neighbours; what is left is sorted.
+    at = at[np.concatenate(([True], (values[at[1:]] != values[at[:-1]]) | (owner[at[1:]] != owner[at[:-1]])))] if len(at) else at
+    return at[np.unique(tagged(values[at], owner[at]), return_index=True)[1]]
+
+
 def _tagged_lists(lists: list[list[int] | None]) -> np.ndarray:
     counts = [len(found or ()) for found in lists]
     flat = np.fromiter(itertools.chain.from_iterable(found or () for found in lists), np.int64, sum(counts))

@@ -29,7 +29,7 @@ from ratingloom.llm.common import map_carried, sha256
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Distinct pieces a task remembers before it starts afresh; bounds memory, not results.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 #: Words folded at once, and the longest that is folded with others.
 FOLDED, WIDEST = 20_000, 48
 #: A space followed by a visible character always begins a new pretoken.
@@ -257,12 +257,14 @@ def encode_texts(
     return _encoded(df, ranks_path, pattern, text_col, id_col, "ids array<int>, decoded string", _keep_ids, _as_ids, carry)
 
 
-def _keep_ids(pieces: list[bytes], ids: list[int]) -> tuple[list[int], bytes]:
-    return ids, decode(ids, pieces)
+def _keep_ids(pieces: list[bytes], ids: list[int]) -> tuple[bytes, bytes]:
+    """Ids as packed integers, a small part of what a list of them takes."""
+    return np.array(ids, np.int32).tobytes(), decode(ids, pieces)
 
 
-def _as_ids(known: list[tuple[list[int], bytes]]) -> tuple:
-    return [i for ids, _ in known for i in ids], b"".join([data for _, data in known]).decode("utf-8", "replace")
+def _as_ids(known: list[tuple[bytes, bytes]]) -> tuple:
+    ids = np.frombuffer(b"".join([packed for packed, _ in known]), np.int32)
+    return ids, b"".join([data for _, data in known]).decode("utf-8", "replace")
 
 
 def encode_digests(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:

@@ -24,8 +24,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Rows of an output batch; text is processed one value at a time, so this bounds a task's memory.
 OUT_ROWS = 200_000
-OUT_CHARS = 16_000_000
-TAKEN_ROWS, TAKEN_BYTES = 2_000, 4_000_000
+OUT_CHARS = 8_000_000
+TAKEN_ROWS, TAKEN_BYTES = 1_000, 2_000_000
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 #: What an ASCII-lower-cased text keeps as word bytes: 0-9, a-z and every byte of a non-ASCII character.

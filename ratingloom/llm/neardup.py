@@ -237,6 +237,11 @@ def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
     return labels
 
 
+def _arrays(column: pa.ListArray) -> list[np.ndarray]:
+    ends = np.cumsum(column.value_lengths().to_numpy())
+    return np.split(column.flatten().to_numpy(), ends[:-1])
+
+
 def _block_rows(floor: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Compare the queries of each (band, query block, member block) with its members. Rows come
     sorted by block, so a block is complete when the next begins."""
@@ -248,21 +253,26 @@ def _block_rows(floor: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
             return []
         a = np.frombuffer(b"".join(r[8] for r in asked), np.uint8).reshape(-1, K)
         b = np.frombuffer(b"".join(r[8] for r in there), np.uint8).reshape(-1, K)
+        a_bands, b_bands = (np.array([r[9] for r in part], np.int64) for part in (asked, there))
         b_id, b_class, b_asks = (np.array([r[c] for r in there]) for c in (6, 7, 5))
         out = []
         for i, row in enumerate(asked):
-            nth, doc_id, of_class = row[1], row[6], row[7]
+            doc_id, of_class = row[6], row[7]
             # Of two queries the one of smaller id asks.
             open_ = np.flatnonzero((b_class != of_class) & ~(b_asks & (b_id < doc_id)))
-            equal = b[open_] == a[i]
-            near = equal.mean(axis=1) >= floor
-            before = equal[near][:, : nth * BAND].reshape(int(near.sum()), nth, BAND).all(axis=2).any(axis=1)
-            out += [(min(doc_id, other), max(doc_id, other)) for other in b_id[open_[near][~before]].tolist()]
+            open_ = open_[(b[open_] == a[i]).mean(axis=1) >= floor]
+            # Stubs of coordinates may agree by chance; buckets are made of whole band hashes.
+            before = (b_bands[open_] == a_bands[i]).any(axis=1)
+            out += [(min(doc_id, other), max(doc_id, other)) for other in b_id[open_[~before]].tolist()]
         return out
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = ("band", "nth", "asks", "holds", "query", "asking", "doc_id", "class_id", "signature")
-        rows = (row for batch in batches for row in zip(*[batch.column(c).to_pylist() for c in columns], strict=True))
+        rows = (
+            row
+            for batch in batches
+            for row in zip(*[batch.column(c).to_pylist() for c in columns], _arrays(batch.column("earlier")), strict=True)
+        )
         for _, block in itertools.groupby(rows, key=lambda r: (r[0], r[2], r[3])):
             found = compare(list(block))
             if found:
@@ -280,15 +290,16 @@ def _open_cases(banded: DataFrame, buckets: DataFrame, labels: DataFrame, sketch
     centres = labels.selectExpr("doc_id as centre", "class_id as centre_class")
     named = named.join(centres, "centre", "left").withColumn("query", F.col("class_id") != F.coalesce("centre_class", "centre"))
     asked = named.where("query").groupBy("band").agg(F.count("*").alias("n_asked"))
-    rows = named.join(asked, "band").join(sketches.select("doc_id", "signature"), "doc_id")
+    rows = named.join(asked, "band").join(sketches.select("doc_id", "signature", "bands"), "doc_id")
     rows = rows.withColumns(
         {
+            "earlier": F.slice("bands", F.lit(1), F.col("nth")),
             "n_asks": F.ceil(F.col("n_asked") / BLOCK).cast("int"),
             "n_holds": F.ceil(F.col("members") / BLOCK).cast("int"),
         }
     )
     spread = F.xxhash64("doc_id")
-    out = ("band", "nth", "asks", "holds", "query", "asking", "doc_id", "class_id", "signature")
+    out = ("band", "nth", "asks", "holds", "query", "asking", "doc_id", "class_id", "signature", "earlier")
     rows = rows.withColumn("asking", F.col("query"))
     asks = rows.where("query").withColumn("asks", F.pmod(spread, F.col("n_asks")).cast("int"))
     asks = asks.withColumn("holds", F.explode(F.sequence(F.lit(0), F.col("n_holds") - 1))).select(*out)
@@ -324,7 +335,7 @@ def near_duplicate_classes(
         .select("digest", "r.*"),
         "representatives",
     )
-    sketches = distinct.where("size(bands) > 0").select("doc_id", "signature").dropDuplicates(["doc_id"])
+    sketches = distinct.where("size(bands) > 0").select("doc_id", "signature", "bands").dropDuplicates(["doc_id"])
     banded = distinct.select(F.posexplode("bands").alias("nth", "band"), "doc_id")
     buckets = banded.groupBy("band").agg(F.min("doc_id").alias("centre"), F.max("doc_id").alias("high"), F.count("*").alias("members"))
     buckets = buckets.where("centre < high").drop("high")

@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ratingloom.llm import common, neardup
@@ -95,6 +96,16 @@ def test_large_blocks_keep_links(spark, monkeypatch):
     assert {r.doc_id: r.class_id for r in classes(spark, docs)} == brute_classes(docs)
 
 
+@pytest.mark.parametrize("shared_before, pairs", [(False, [(4, 9)]), (True, [])])
+def test_equal_stubs_in_an_earlier_band_lose_no_pair(shared_before, pairs):
+    row = {"band": 70, "nth": 1, "asks": 0, "holds": 0, "asking": True, "signature": bytes(neardup.K)}
+    asks = row | {"query": True, "doc_id": 4, "class_id": 4, "earlier": [50]}
+    held = row | {"query": False, "doc_id": 9, "class_id": 9, "earlier": [50 if shared_before else 60]}
+    task = neardup._block_rows(neardup._floor(0.8))
+    found = [tuple(r.values()) for batch in task(iter([pa.RecordBatch.from_pylist([asks, held])])) for r in batch.to_pylist()]
+    assert found == pairs
+
+
 def test_signatures_estimate_weighted_jaccard():
     rnd = np.random.default_rng(5)
     elements = rnd.integers(0, 2**63, 300).astype(np.uint64)

@@ -3,8 +3,11 @@
 A page becomes a row of text blocks, each with its root-to-leaf path of block tags. Per path, text
 length, punctuation and link text are summed over the page and divided by the path's number of
 blocks; both ratios are smoothed over neighbouring blocks, fused, and compared with a threshold
-taken from the page. Where a page marks its article, only blocks inside it are candidates, and a
-path there goes only if it is mostly links. Paths through menus, headers, footers, sidebars,
+taken from the page. The page's own article mark is one more signal of the fusion. It is believed
+where it holds most of the page's text: then blocks outside it count nothing, and the threshold falls
+for the blocks inside by the share of the text that their container has, to zero at half of it. A
+notice or teaser in a box of its own inside the mark so has to pass by its ratios, and a short list
+or heading beside the article's paragraphs has not. Paths through menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and reader comments, known by their tags or class names,
 are never candidates.
 
@@ -19,6 +22,7 @@ from __future__ import annotations
 
 import re
 import sys
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 from typing import NamedTuple
@@ -53,6 +57,8 @@ ENDS = {
 CONTAINERS = frozenset(
     "html body article main section div table ul ol dl nav aside header footer form blockquote figure fieldset".split()
 )
+#: What sets a part of a page apart.
+BOXES = frozenset("html body article main section div".split())
 #: Class and id words of what is no article text.
 HINTS = frozenset(
     "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments cookie cookies disqus footer"
@@ -71,6 +77,7 @@ class Block(NamedTuple):
     text: str
     linked: int
     in_article: bool
+    container: str
 
 
 class _Blocks(HTMLParser):
@@ -90,7 +97,9 @@ class _Blocks(HTMLParser):
         if said and not any(off for _, _, off in self.open):
             steps = [(tag, step) for tag, step, _ in self.open if tag not in INLINE]
             path = "/".join(step for _, step in steps)
-            self.blocks.append(Block(path, said, linked, any(tag in ARTICLE for tag, _ in steps)))
+            boxed = max((i + 1 for i, (tag, _) in enumerate(steps) if tag in BOXES), default=0)
+            container = "/".join(step for _, step in steps[:boxed])
+            self.blocks.append(Block(path, said, linked, any(tag in ARTICLE for tag, _ in steps), container))
 
     def _close(self, at: int) -> None:
         if any(tag not in INLINE for tag, _, _ in self.open[at:]):
@@ -160,6 +169,18 @@ def _smooth(values: np.ndarray) -> np.ndarray:
     return np.convolve(padded, SMOOTHING, "valid")
 
 
+def _shares(blocks: list[Block], paths: list[str], said: np.ndarray) -> np.ndarray:
+    """Per block the share of the page's text that its container has, given the text of the sorted paths."""
+    upto = np.concatenate(([0.0], np.cumsum(said)))
+    shares = {}
+    for box in {b.container for b in blocks}:
+        # All paths below a box lie together, and the box's own path apart from them.
+        below = upto[bisect_left(paths, f"{box}0")] - upto[bisect_left(paths, f"{box}/")] if box else upto[-1]
+        own = upto[bisect_right(paths, box)] - upto[bisect_left(paths, box)] if box else 0.0
+        shares[box] = (below + own) / upto[-1]
+    return np.array([shares[b.container] for b in blocks])
+
+
 def content_mask(blocks: list[Block], threshold: float = THRESHOLD, link_share: float = LINK_SHARE) -> np.ndarray:
     """Which blocks are content."""
     paths, which = np.unique([b.path for b in blocks], return_inverse=True)
@@ -169,15 +190,18 @@ def content_mask(blocks: list[Block], threshold: float = THRESHOLD, link_share:
     per_path = lambda values: np.bincount(which, values, len(paths))
     nodes = np.bincount(which, minlength=len(paths))
     mostly_links = (per_path(linked) > link_share * per_path(size))[which]
-    in_article = np.array([b.in_article for b in blocks])
-    if in_article.any():
-        return in_article & ~mostly_links
     text_ratio = _smooth(((per_path(size) - per_path(linked)) / nodes)[which])
     mark_ratio = _smooth((per_path(marks) / nodes)[which])
     fused = text_ratio * (1 + mark_ratio)
+    in_article = np.array([b.in_article for b in blocks])
+    signal = np.zeros(len(blocks))
+    if 2 * (size - linked)[in_article].sum() > (size - linked).sum():
+        fused = np.where(in_article, fused, 0.0)
+        signal = in_article * np.minimum(1.0, 2 * _shares(blocks, paths.tolist(), per_path(size - linked)))
     # A path is judged as a whole, so a short paragraph stays with the long ones beside it.
     of_path = (per_path(fused) / nodes)[which]
-    return (of_path >= min(threshold * float(np.std(fused)), float(of_path.max()))) & ~mostly_links
+    least = np.minimum(threshold * float(np.std(fused)), float(of_path.max())) * (1 - signal)
+    return (of_path >= least) & ~mostly_links
 
 
 def main_text(html: str | None) -> tuple[str, list[Block]]:

@@ -39,6 +39,19 @@ def test_ratios_choose_between_paths():
     assert {b.path.split("/")[-1] for b in kept} == {"p"}
 
 
+MARKED = {
+    f"<div class=body><p>{LONG}</p><p>{LONG}</p></div><article><h3>More</h3><p>Teaser</p></article>": f"{LONG}{LONG}".strip(),
+    f"<main><h1>Title</h1><p>{LONG}</p><ul><li>short</ul><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p><div class=note>We moved</div></main>": f"Title {LONG}short {LONG * 3}".strip(),
+    f"<main><div class=text><h2>Title</h2><p>{LONG}</p><p>{LONG}</p></div><div class=more><p>Teaser</p></div></main>": f"Title {LONG}{LONG}".strip(),
+    f"<article><p>{LONG}</p></article><div>Outside, but said.</div>": LONG.strip(),
+}
+
+
+@pytest.mark.parametrize("page", list(MARKED))
+def test_the_article_mark_is_one_signal_of_several(page):
+    assert html.main_text(page)[0] == MARKED[page]
+
+
 def test_query(spark):
     pages = {r.page_id: r for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()}
     got = LLM_REGISTRY["op6_main_text"](spark, SF_DIR).collect()

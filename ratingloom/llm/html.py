@@ -9,7 +9,8 @@ for the blocks inside by the share of the text that their container has, to zero
 notice or teaser in a box of its own inside the mark so has to pass by its ratios, and a short list
 or heading beside the article's paragraphs has not. Paths through menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and reader comments, known by their tags or class names,
-are never candidates.
+are never candidates. A class or id name counts whole, or as a compound that ends in what it names; a name drops nothing
+that surrounds the page's only marked article or, on a page without a mark, most of its text.
 
 Each page is one value of one task and pages never meet, so nothing is shuffled or collected.
 
@@ -57,6 +58,7 @@ ENDS = {
 CONTAINERS = frozenset(
     "html body article main section div table ul ol dl nav aside header footer form blockquote figure fieldset".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: What sets a part of a page apart.
 BOXES = frozenset("html body article main section div".split())
 #: Class and id words of what is no article text.
@@ -66,7 +68,23 @@ HINTS = frozenset(
     " sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
 
-_NAME_PARTS = re.compile(r"[A-Za-z]+")
+#: What a compound name may have beside a hint.
+COMPANIONS = frozenset(
+    "area articles bar block bottom box consent container content global left links list main menu page posts primary"
+    " right secondary section site sticky text top wrapper".split()
+)
+#: Hints that name the element wherever they end a compound, whatever is before them.
+NAMING = frozenset(
+    "ads advert adverts advertisement breadcrumb breadcrumbs comments cookie cookies disqus navigation newsletter pagination"
+    " popup sidebar sponsor sponsored".split()
+)
+ABOUT = frozenset("has is no with without".split())
+#: Reader comments may be most of a page.
+COMMENTS = frozenset("comment comments disqus".split())
+#: What may stand in a head; anything else ends it.
+IN_HEAD = frozenset("base link meta noscript script style template title".split())
+
+_NAME_PARTS = re.compile(r"[a-z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 SMOOTHING = np.array([0.25, 0.5, 0.25])
 THRESHOLD, LINK_SHARE = 0.8, 0.5
@@ -78,6 +96,22 @@ class Block(NamedTuple):
     linked: int
     in_article: bool
     container: str
+    leaf: str
+
+
+def hinted(name: str) -> bool:
+    """Whether a class or id name is one of what is no article text."""
+    parts = _NAME_PARTS.findall(name)
+    if not parts or HINTS.isdisjoint(parts) or parts[0] in ABOUT:
+        return False
+    return parts[-1] in NAMING or all(part in HINTS or part in COMPANIONS for part in parts)
+
+
+class _Hint:
+    """An element whose name says that it is no article text, and the text found in it."""
+
+    def __init__(self, comments: bool):
+        self.comments, self.said, self.around = comments, 0, 0
 
 
 class _Blocks(HTMLParser):
@@ -85,47 +119,71 @@ class _Blocks(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, str, bool]] = []  # tag, path step, boilerplate or hidden
+        self.open: list[tuple[str, str, bool, _Hint | None]] = []  # tag, path step, boilerplate or hidden, named so
         self.text: list[str] = []
         self.linked = 0
-        self.blocks: list[Block] = []
+        self.found: list[tuple[Block, list[_Hint]]] = []
+
+    @property
+    def blocks(self) -> list[Block]:
+        """The blocks under no hint, but for hints that surround the article or most of an unmarked page."""
+        marked = [(block, hints) for block, hints in self.found if block.in_article]
+        total = sum(len(block.text) for block, _ in marked or self.found)
+        if all(any(hint.around for hint in hints) for _, hints in marked):
+            spared = lambda hint: 2 * (hint.around if marked else hint.said) > total and not hint.comments
+        else:
+            spared = lambda hint: False
+        return [block for block, hints in self.found if all(map(spared, hints))]
 
     def _flush(self) -> None:
         said = " ".join("".join(self.text).split())
         self.text = []
         linked, self.linked = self.linked, 0
-        if said and not any(off for _, _, off in self.open):
-            steps = [(tag, step) for tag, step, _ in self.open if tag not in INLINE]
+        if said and not any(off for _, _, off, _ in self.open):
+            steps = [(tag, step) for tag, step, _, _ in self.open if tag not in INLINE]
             path = "/".join(step for _, step in steps)
             boxed = max((i + 1 for i, (tag, _) in enumerate(steps) if tag in BOXES), default=0)
             container = "/".join(step for _, step in steps[:boxed])
-            self.blocks.append(Block(path, said, linked, any(tag in ARTICLE for tag, _ in steps), container))
+            mark = next((i for i, (tag, _, _, _) in enumerate(self.open) if tag in ARTICLE), -1)
+            hints = [(i, hint) for i, (_, _, _, hint) in enumerate(self.open) if hint]
+            for i, hint in hints:
+                hint.said += len(said)
+                hint.around += len(said) if i < mark else 0
+            self.found.append((Block(path, said, linked, mark >= 0, container, steps[-1][0] if steps else ""), [hint for _, hint in hints]))
 
     def _close(self, at: int) -> None:
-        if any(tag not in INLINE for tag, _, _ in self.open[at:]):
+        if any(tag not in INLINE for tag, _, _, _ in self.open[at:]):
             self._flush()
         del self.open[at:]
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag not in IN_HEAD:
+            self._end_head()
         if tag in VOID:
             if tag in ("br", "hr"):
                 self.text.append(" ")
             return
         values = dict(attrs)
-        names = _NAME_PARTS.findall(f"{values.get('class') or ''} {values.get('id') or ''} {values.get('role') or ''}".lower())
+        names = f"{values.get('class') or ''} {values.get('id') or ''} {values.get('role') or ''}".lower().split()
         off = tag in HIDDEN or (tag in BOILERPLATE and not (tag == "header" and self._inside())) or "hidden" in values
-        off = off or (tag not in ("html", "body") and not HINTS.isdisjoint(names))
+        named = [name for name in names if hinted(name)] if tag not in ("html", "body") else []
+        hint = _Hint(any(not COMMENTS.isdisjoint(_NAME_PARTS.findall(name)) for name in named)) if named else None
         if tag not in INLINE:
             self._end_implied(tag)
             self._flush()
-        elif off:
+        elif off or hint:
             self._flush()
         step = tag if not values.get("class") else f"{tag}.{values['class']}"
         is_main = "main" if values.get("role") == "main" and tag not in ARTICLE else tag
-        self.open.append((is_main, step, off))
+        self.open.append((is_main, step, off, hint))
 
     def _inside(self) -> bool:
-        return any(tag in ARTICLE for tag, _, _ in self.open)
+        return any(tag in ARTICLE for tag, _, _, _ in self.open)
+
+    def _end_head(self) -> None:
+        """What cannot stand in a head ends one that is still open."""
+        if self.open and self.open[-1][0] == "head":
+            self._close(len(self.open) - 1)
 
     def _end_implied(self, tag: str) -> None:
         """Browsers end a paragraph where a block begins, and a list item where the next begins."""
@@ -142,14 +200,16 @@ class _Blocks(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at][0] == tag or self.open[at][1].split(".")[0] == tag:
-                if self.open[at][2] and tag in INLINE:
+                if (self.open[at][2] or self.open[at][3]) and tag in INLINE:
                     self._flush()
                 self._close(at)
                 return
 
     def handle_data(self, data: str) -> None:
+        if data.strip():
+            self._end_head()
         self.text.append(data)
-        if any(tag == "a" for tag, _, _ in self.open):
+        if any(tag == "a" for tag, _, _, _ in self.open):
             self.linked += len(data.strip())
 
     def close(self) -> None:
@@ -198,6 +258,10 @@ def content_mask(blocks: list[Block], threshold: float = THRESHOLD, link_share:
     if 2 * (size - linked)[in_article].sum() > (size - linked).sum():
         fused = np.where(in_article, fused, 0.0)
         signal = in_article * np.minimum(1.0, 2 * _shares(blocks, paths.tolist(), per_path(size - linked)))
+        # A title or heading in a box of its own goes with the text after it.
+        for i in range(len(blocks) - 1, -1, -1):
+            if blocks[i].in_article and blocks[i].leaf in HEADINGS:
+                signal[i] = 1.0 if blocks[i].leaf == "h1" else max(signal[i : i + 2])
     # A path is judged as a whole, so a short paragraph stays with the long ones beside it.
     of_path = (per_path(fused) / nodes)[which]
     least = np.minimum(threshold * float(np.std(fused)), float(of_path.max())) * (1 - signal)

@@ -52,6 +52,23 @@ def test_the_article_mark_is_one_signal_of_several(page):
     assert html.main_text(page)[0] == MARKED[page]
 
 
+NAMED = {
+    f"<div class='layout has-sidebar'><article><p>{LONG}</p></article></div>": LONG.strip(),
+    f"<div class=banner><article><p>{LONG}</p></article></div><div class=ad>Buy</div>": LONG.strip(),
+    f"<div class=widget><p>{LONG}</p></div>": LONG.strip(),
+    f"<article><div class=post-header><h1>Title</h1></div><p>{LONG}</p><div id=related-work><p>{LONG}</p></div></article>": f"Title {LONG}{LONG}".strip(),
+    f"<article><p>Text.</p><div class=post-comments><p>{LONG}</p></div></article><div id=comments><article><p>{LONG}</p></article></div>": "Text.",
+    f"<div><p>Text.</p></div><div class='comments-area comments'><p>{LONG}</p></div>": "Text.",
+    f"<html><head><title>T</title><meta charset=utf-8><body><p>{LONG}</p></body></html>": LONG.strip(),
+    f"<head><title>T</title><script>var p='<p>';</script><p>{LONG}</p>": LONG.strip(),
+}
+
+
+@pytest.mark.parametrize("page", list(NAMED))
+def test_names_that_only_resemble_boilerplate(page):
+    assert html.main_text(page)[0] == NAMED[page]
+
+
 def test_query(spark):
     pages = {r.page_id: r for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()}
     got = LLM_REGISTRY["op6_main_text"](spark, SF_DIR).collect()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections import Counter
 
@@ -106,6 +107,12 @@ def test_equal_stubs_in_an_earlier_band_lose_no_pair(shared_before, pairs):
     assert found == pairs
 
 
+def test_signatures_rule_out_fewer_pairs_than_the_bands_miss():
+    k, least = neardup.K, neardup._floor(neardup.SIMILARITY)
+    ruled_out = sum(math.comb(k, n) * 0.8**n * 0.2 ** (k - n) for n in range(k + 1) if n / k < least)
+    assert ruled_out < (1 - 0.8**neardup.BAND) ** neardup.BANDS
+
+
 def test_signatures_estimate_weighted_jaccard():
     rnd = np.random.default_rng(5)
     elements = rnd.integers(0, 2**63, 300).astype(np.uint64)

@@ -1,12 +1,15 @@
 """Near duplicates by DartMinHash signatures, banded joins, exact checks and components.
 
+Equal texts become one representative first, with a number of its own: signatures, bands, links and
+checks go by that number, and document ids come in at the end, so each text of an id is compared.
+
 **Signatures.** Every shingle of a document is a region: its weight wide and endless in rank. Darts,
 drawn from hashes alone, fall into all regions as a Poisson process; a document throws only as many
 as fill its ``K`` coordinates, about K log K whatever its length. Each dart belongs to a coordinate,
 and the one of lowest rank is kept. Two documents agree in a coordinate with the probability of
 their weighted Jaccard similarity.
 
-**Links.** Equal texts become one representative first. Representatives that agree in a band are
+**Links.** Representatives that agree in a band are
 compared with their bucket's smallest member; what signatures do not rule out is checked on whole
 texts. Components of these links leave few open cases: members of a bucket that are not in its
 smallest member's component. These are a query set, compared with the bucket's other components in
@@ -127,7 +130,7 @@ def _signature_rows(size: int, weights: str) -> Callable[[list[tuple]], Iterator
     known = WordHashes()
 
     def apply(rows: list[tuple]) -> Iterator[tuple]:
-        hashes, counts, owner = shingle_elements(known, [space_words(text) for _, text in rows], size)
+        hashes, counts, owner = shingle_elements(known, [space_words(text) for _, _, text in rows], size)
         weight = counts.astype(float) if weights == "counts" else np.ones(len(counts))
         signatures = dart_signatures(hashes, weight, owner, len(rows))
         filled = np.bincount(owner, minlength=len(rows)) > 0
@@ -138,20 +141,20 @@ def _signature_rows(size: int, weights: str) -> Callable[[list[tuple]], Iterator
             bands = mixed(bands ^ banded[:, :, i])
         bands = bands.view(np.int64)
         small = (signatures & np.uint64(255)).astype(np.uint8)
-        for i, (key, text) in enumerate(rows):
+        for i, (key, said, text) in enumerate(rows):
             digest = xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass")) if text is not None else None
             has = bool(filled[i])
-            yield key, digest, bands[i].tolist() if has else [], small[i].tobytes() if has else b""
+            yield key, said, digest, bands[i].tolist() if has else [], small[i].tobytes() if has else b""
 
     return apply
 
 
 def signatures(df: DataFrame, size: int = SHINGLE, weights: str = "set") -> DataFrame:
-    """(doc_id, digest, bands, signature) of (doc_id, text)."""
+    """(doc_id, said, digest, bands, signature) of (doc_id, said, text)."""
     return map_rows_together(
-        df.select("doc_id", "text"),
+        df.select("doc_id", "said", "text"),
         functools.partial(_signature_rows, size, weights),
-        "doc_id bigint, digest binary, bands array<bigint>, signature binary",
+        "doc_id bigint, said bigint, digest binary, bands array<bigint>, signature binary",
     )
 
 
@@ -208,9 +211,14 @@ def _checked_rows(size: int, weights: str, similarity: float) -> Callable[..., I
     return apply
 
 
-def checked(pairs: DataFrame, texts: DataFrame, size: int, weights: str, similarity: float) -> DataFrame:
-    """The pairs whose whole texts are similar enough."""
-    both = pairs.join(texts.selectExpr("doc_id as a", "text as left_"), "a").join(texts.selectExpr("doc_id as b", "text as right_"), "b")
+def checked(pairs: DataFrame, names: DataFrame, texts: DataFrame, size: int, weights: str, similarity: float) -> DataFrame:
+    """The pairs of numbers whose whole texts are similar enough; ``names`` has (number, doc_id, said)."""
+    both = pairs
+    for side in ("a", "b"):
+        both = both.join(names.selectExpr(f"number as {side}", f"doc_id as {side}_id", f"said as {side}_said"), side)
+    for side, text in (("a", "left_"), ("b", "right_")):
+        at = [f"{side}_id", f"{side}_said"]
+        both = both.join(texts.selectExpr(f"doc_id as {at[0]}", f"said as {at[1]}", f"text as {text}"), at)
     return map_rows(both.select("a", "left_", "b", "right_"), functools.partial(_checked_rows, size, weights, similarity), "a bigint, b bigint")
 
 
@@ -326,29 +334,32 @@ def near_duplicate_classes(
     if weights not in WEIGHTS:
         raise ValueError(f"weights must be one of {WEIGHTS}")
     spark, kind = df.sparkSession, df.schema[id_col].dataType
-    texts = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    texts = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("said"), F.col(text_col).alias("text"))
     sketched, sketched_path = stored(signatures(texts.where("doc_id is not null"), size, weights), "signatures")
     # Equal texts first: one representative each, and every document knows its own.
     distinct, distinct_path = stored(
         sketched.where("digest is not null")
         .groupBy("digest")
-        .agg(F.min(F.struct("doc_id", "bands", "signature")).alias("r"))
-        .select("digest", "r.*"),
+        .agg(F.min(F.struct("doc_id", "said", "bands", "signature")).alias("r"))
+        .select(F.monotonically_increasing_id().alias("number"), "digest", "r.*"),
         "representatives",
     )
-    sketches = distinct.where("size(bands) > 0").select("doc_id", "signature", "bands").dropDuplicates(["doc_id"])
-    banded = distinct.select(F.posexplode("bands").alias("nth", "band"), "doc_id")
+    names = distinct.select("number", "doc_id", "said")
+    sketches = distinct.where("size(bands) > 0").selectExpr("number as doc_id", "signature", "bands")
+    banded = distinct.select(F.posexplode("bands").alias("nth", "band"), F.col("number").alias("doc_id"))
     buckets = banded.groupBy("band").agg(F.min("doc_id").alias("centre"), F.max("doc_id").alias("high"), F.count("*").alias("members"))
     buckets = buckets.where("centre < high").drop("high")
     stars = banded.join(buckets, "band").where("doc_id > centre").selectExpr("centre as a", "doc_id as b").distinct()
     stars, stars_path = stored(likely(stars, sketches, similarity), "stars")
-    first, first_path = stored(checked(stars, texts, size, weights, similarity), "links")
+    first, first_path = stored(checked(stars, names, texts, size, weights, similarity), "links")
     labels = components(first)
 
     open_cases, open_path = stored(_open_cases(banded, buckets, labels, sketches, similarity), "open")
-    more, more_path = stored(checked(open_cases.join(stars, ["a", "b"], "left_anti"), texts, size, weights, similarity), "links")
+    more, more_path = stored(checked(open_cases.join(stars, ["a", "b"], "left_anti"), names, texts, size, weights, similarity), "links")
     copies = sketched.join(distinct.selectExpr("digest", "doc_id as low"), "digest").where("doc_id > low").selectExpr("low as a", "doc_id as b").distinct()
-    labels = components(first.union(more).union(copies))
+    low, high = names.selectExpr("number as a", "doc_id as low"), names.selectExpr("number as b", "doc_id as high")
+    links = first.union(more).join(low, "a").join(high, "b").where("low <> high").selectExpr("low as a", "high as b")
+    labels = components(links.union(copies))
     forget(spark, sketched_path, distinct_path, stars_path, first_path, open_path, more_path)
 
     ids = df.select(F.col(id_col).cast("long").alias("doc_id"))

@@ -86,6 +86,12 @@ def test_repeated_rows_and_missing_ids(spark):
     assert sorted((r.doc_id or -1, r.class_id or -1) for r in classes(spark, docs)) == [(-1, -1), (3, 3), (5, 3), (5, 3), (7, 7)]
 
 
+def test_every_text_of_an_id_is_compared(spark):
+    one, two = [f"a{i}" for i in range(120)], [f"b{i}" for i in range(120)]
+    docs = [(i, " ".join(w)) for i, w in [(1, one), (1, two), (2, [*one, "x"]), (3, [*two, "y"]), (4, one[:60] + two[:60])]]
+    assert {r.doc_id: r.class_id for r in classes(spark, docs)} == brute_classes(docs) == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert neardup.near_duplicate_classes(df).count() == 0

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -238,3 +238,27 @@ def mixed(values: np.ndarray) -> np.ndarray:
 def tagged(values: np.ndarray, owner: np.ndarray) -> np.ndarray:
     """Values made different for different owners."""
     return mixed(values + mixed(owner.astype(np.uint64) + np.uint64(1)))
+
+
+def placed(df: DataFrame, order: list[Column], purpose: str) -> tuple[DataFrame, str]:
+    """``df`` written in the order of all its rows, and its path: ``part`` numbers the ranges it was
+    dealt into, ``nth`` the rows of a range, both upwards. A range is a share of the rows however
+    often a key repeats, as long as ``order`` tells its rows apart."""
+    lined = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    split = lined.withColumns({"part": F.shiftright("_at", 33), "nth": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))})
+    return stored(split.drop("_at"), purpose)
+
+
+def before(rows: DataFrame, value: Column, name: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    """The rows of ``placed`` with ``name``: the sum of ``value`` over all earlier rows of their keys.
+
+    Running sums are taken inside a range; what precedes a range is one row for each range and key.
+    """
+    valued = rows.withColumn("_value", value)
+    here = Window.partitionBy("part", *keys).orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)
+    valued = valued.withColumn("_here", F.coalesce(F.sum("_value").over(here), F.lit(0)))
+    sums = rows.groupBy("part", *keys).agg(F.sum(value).alias("_sum"))
+    ahead = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("_ahead", F.coalesce(F.sum("_sum").over(ahead), F.lit(0))).drop("_sum")
+    both = valued.join(sums, ["part", *keys])
+    return both.withColumn(name, F.col("_here") + F.col("_ahead")).drop("_value", "_here", "_ahead")

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import bpe, decontam, html, langid, licenses, neardup, quotes, rules, substrings, tokencounts
+from ratingloom.llm import bpe, codes, decontam, html, langid, licenses, mixing, neardup, quotes, resampling, rules, substrings, tokencounts
 
 Query = Callable[[SparkSession, str], DataFrame]
 LLM_REGISTRY: dict[str, Query] = {}
@@ -186,6 +186,171 @@ left join threads using (conv_id, turn)
 """
 
 
+@register
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.labelled_codes(_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+def _lloyd_sql(rounds: int) -> str:
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""a{k} as materialized (
+  select row, p, arg_min(e, d * 256 + e) as e, min(d) as d from (
+    select row, p, e, list_dot_product(y, y) - 2 * list_dot_product(x, y) as d from parts join c{k} using (p)
+  ) group by row, p
+)""")
+        if k < rounds:
+            steps.append(f"""c{k + 1} as materialized (
+  select p, e, coalesce(z, y) as y from c{k} left join (
+    select p, e, list(cast((s - ((s % n) + n) % n) // n as double) order by i) as z from (
+      select p, e, i, cast(sum(x[i]) as bigint) as s, count(*) as n
+      from a{k} join parts using (row, p), lateral (select unnest(range(1, len(x) + 1)) as i) group by p, e, i
+    ) group by p, e
+  ) using (p, e)
+)""")
+    return ", ".join(steps)
+
+
+LLM_ORACLES["op11_vector_codes"] = f"""
+with kept as materialized (
+  select row_number() over () as row, vec_id, label, list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as v
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), parts as materialized (
+  select row, p, list_slice(v, p * (len(v) // 4) + 1, (p + 1) * (len(v) // 4)) as x from kept, range(4) as t(p)
+), c0 as materialized (
+  select p, e, x as y from parts join (
+    select row, row_number() over (order by vec_id nulls last, v) - 1 as e from kept
+  ) using (row) where e < 256
+), {_lloyd_sql(4)}, coded as materialized (
+  select row, string_agg(format('{{:02x}}', e), '' order by p) as code, cast(sum(d + list_dot_product(x, x)) as bigint) as error
+  from a4 join parts using (row, p) group by row
+), books as (
+  select sha256(string_agg(array_to_string(list_transform(y, lambda v: cast(v as bigint)), ','), ',' order by p, e)) as digest from c4
+)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, digest as codebooks_sha256
+from kept join coded using (row), books
+"""
+
+
+@register
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(_table(spark, sf_dir, "documents", "doc_id", "text"), _table(spark, sf_dir, "benchmark", "text"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+LLM_ORACLES["op12_importance_resampling"] = r"""
+with said as (
+  select row_number() over () as row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents
+), asked as (
+  select regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from benchmark
+), features as materialized (
+  select row, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) as f from said
+), wanted as materialized (
+  select unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) as f from asked
+), steps as (
+  select list(v order by i) as tab from (
+    select i, list_reduce(list_prepend(i, range(8)), lambda c, k: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end) as v
+    from range(256) as t(i)
+  )
+), distinct_features as (
+  select f, hex(encode(f)) as h from (select f from features union select f from wanted)
+), hashed as materialized (
+  select f, xor(list_reduce(list_prepend(cast(4294967295 as bigint), list_transform(range(len(h) // 2), lambda k: cast('0x' || substr(h, 2 * k + 1, 2) as bigint))),
+                            lambda c, b: xor(tab[xor(c, b) % 256 + 1], c // 256)), cast(4294967295 as bigint)) % 10000 as bucket
+  from distinct_features, steps
+), raw as (
+  select bucket, count(*) as s from features join hashed using (f) group by bucket
+), target as (
+  select bucket, count(*) as t from wanted join hashed using (f) group by bucket
+), totals as (
+  select (select count(*) from features) as ss, (select count(*) from wanted) as tt
+), gains as (
+  select b.bucket, cast(floor(1000 * ln(cast((coalesce(t, 0) + 1) * (ss + 10000) as double) / ((coalesce(s, 0) + 1) * (tt + 10000)))) as bigint) as gain
+  from range(10000) as b(bucket) left join raw using (bucket) left join target using (bucket), totals
+), weights as (
+  select row, count(*) as n_features, cast(sum(gain) as bigint) as total from features join hashed using (f) join gains using (bucket) group by row
+), scored as (
+  select row, doc_id, len(ws) as n_words, coalesce(n_features, 0) as n_features,
+         coalesce((total - ((total % n_features) + n_features) % n_features) // n_features, 0) as weight,
+         cast('0x' || substr(sha256('7:' || doc_id), 1, 8) as bigint) as h
+  from said left join weights using (row)
+), ranked as (
+  select *, weight + cast(floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296::double))) as bigint) as score from scored
+), eligible as (
+  select row, row_number() over (order by score desc, doc_id, n_features, weight) as place, count(*) over () as n
+  from ranked where n_words >= 20 and score is not null
+)
+select doc_id, n_features, weight, score, case when place <= 25 * n // 100 then place end as rank
+from ranked left join eligible using (row)
+"""
+
+
+@register
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents", "doc_id", "text", "source")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+LLM_ORACLES["op13_source_mix"] = r"""
+with recursive sized as (
+  select row_number() over () as row, doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size
+  from documents
+), sources as (
+  select source, sum(size) as source_size, row_number() over (order by source nulls last) - 1 as number from sized group by source
+), weighed as (
+  select *, 3 * source_size as cap, number % 3 + 1 as weight from sources
+), rounds as (
+  select 0 as step, cast(-1 as bigint) as over, cast(0 as bigint) as now, cast(sum(source_size) as bigint) as remaining, cast(sum(weight) as bigint) as parts from weighed
+  union all
+  select step + 1, now, n, total - used, rest from (
+    select step, now, count(*) filter (cap * parts < remaining * weight) as n, cast(sum(source_size) as bigint) as total,
+           cast(coalesce(sum(cap) filter (cap * parts < remaining * weight), 0) as bigint) as used,
+           greatest(1, cast(coalesce(sum(weight) filter (cap * parts >= remaining * weight), 0) as bigint)) as rest
+    from rounds, weighed where over <> now group by step, now
+  )
+), last as (
+  select remaining, parts from rounds qualify row_number() over (order by step desc) = 1
+), targets as (
+  select number, source, cast(source_size as bigint) as source_size,
+         case when cap < remaining * weight / parts then cast(cap as double) else cast(remaining * weight as double) / parts end as target
+  from weighed, last
+), owed as (
+  select *, source_size // 512 as whole, (source_size + 511) // 512 as n, least(cast(round(target) as bigint), 3 * source_size) as owed from targets
+), slotted as (
+  select *, owed // source_size as passes, owed % source_size as rest from owed where source_size > 0 and owed > 0
+), passed as (
+  select number, whole, p as pass, case when p < passes then source_size else rest end as here from slotted, lateral (select unnest(range(passes + 1)) as p)
+), keyed as (
+  select *, list_transform(range(1, 25), lambda r: md5('13:block:' || number || ':' || pass || ':' || r)) as hs from passed
+), keys as (
+  select number, whole, pass, here,
+         list_transform(hs, lambda h: cast('0x' || substr(h, 15, 14) as bigint) % greatest(whole, 1)) as k,
+         list_transform(hs, lambda h: cast('0x' || substr(h, 1, 7) as bigint) + 1) as a,
+         list_transform(hs, lambda h: cast('0x' || substr(h, 8, 7) as bigint)) as b
+  from keyed
+), slots as (
+  select *, s as nth from keys, lateral (select unnest(range((here + 511) // 512)) as s)
+), drawn as (
+  select number, least(512, here - nth * 512) as words, case when nth >= whole then nth else
+         list_reduce(list_prepend(nth, range(1, 25)), lambda x, r:
+           case when ((greatest(x, ((k[r] - x) % whole + whole) % whole) % 2147483647 * a[r] + b[r]) % 2147483647) // 32768 % 2 = 1
+                then ((k[r] - x) % whole + whole) % whole else x end) end as block
+  from slots
+), begun as (
+  select row, number, size, coalesce(sum(size) over (partition by number order by doc_id nulls last, size, row rows between unbounded preceding and 1 preceding), 0) as start
+  from sized join sources on sized.source is not distinct from sources.source
+), taken as (
+  select row, sum(least(start + size, block * 512 + words) - greatest(start, block * 512)) as n
+  from begun join drawn using (number) where block * 512 < start + size and block * 512 + words > start group by row
+)
+select doc_id, size, source_size, target, cast(coalesce(n, 0) as bigint) as taken
+from sized join targets on sized.source is not distinct from targets.source left join taken using (row)
+"""
+
+
 LLM_REGISTRY["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -16,9 +16,10 @@ from ratingloom.operators import factors, lists, realtime, search, stats, vector
 from ratingloom.plans import content, serving
 from ratingloom.plans import standins as t
 from ratingloom.session import materialised, scratch, shared_dir
-from ratingloom.sources import files, rejects, sinks, streams
+from ratingloom.sources import files, rejects, sinks, streams, tail, views
+from ratingloom.sources.keyed import KeyedTable
 from ratingloom.streaming import live as live_stream
-from ratingloom.streaming import logs
+from ratingloom.streaming import logs, queues
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -165,23 +166,26 @@ def sink_filtered_log(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.text(out)
 
 
-def _rewritten(table: DataFrame, change: Callable[[DataFrame], DataFrame], purpose: str) -> DataFrame:
-    """Store a table, read it, store its changed rows over it, and read what is stored then."""
-    spark, path = table.sparkSession, scratch(table.sparkSession, purpose)
-    sinks.rewrite_table(table, path)
-    sinks.rewrite_table(change(sinks.current_table(spark, path)), path)
-    return sinks.current_table(spark, path)
+def _changed(table: DataFrame, key: tuple[str, ...], change: Callable[[KeyedTable], None], by: tuple[str, ...] | None = None) -> DataFrame:
+    """Store a table by key, change it there, and read what is stored then: once as changes beside the
+    first rows, and the same again with one bucket in two folded."""
+    spark = table.sparkSession
+    stored = KeyedTable.create(table, scratch(spark, "keyed"), key, by, buckets=8)
+    change(stored)
+    stored.compact(range(0, 8, 2))
+    stored.drop_older()
+    return KeyedTable(spark, stored.path).rows()
 
 
 @register
 def delete_rating(spark: SparkSession, sf: str) -> DataFrame:
     rating = t.rating(spark, sf).select("uid", "mid", "score", "ts")
-    return _rewritten(rating, lambda stored: sinks.delete_rating(stored, t.live(spark, sf)), "ratings")
+    return _changed(rating, ("uid", "mid"), lambda stored: stored.delete(t.live(spark, sf)), ("uid",))
 
 
 @register
 def delete_items(spark: SparkSession, sf: str) -> DataFrame:
-    return _rewritten(t.movie(spark, sf).select("mid", "name"), lambda stored: sinks.delete_items(stored, t.tag(spark, sf)), "items")
+    return _changed(t.movie(spark, sf).select("mid", "name"), ("mid",), lambda stored: stored.delete(t.tag(spark, sf)))
 
 
 def _indebted(spark: SparkSession, sf: str) -> DataFrame:
@@ -190,7 +194,7 @@ def _indebted(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def delete_users(spark: SparkSession, sf: str) -> DataFrame:
-    left = _rewritten(t.user(spark, sf), lambda stored: sinks.delete_users(stored, _indebted(spark, sf)), "users")
+    left = _changed(t.user(spark, sf), ("username",), lambda stored: stored.delete(_indebted(spark, sf)))
     return left.select("uid", "username")
 
 
@@ -198,26 +202,25 @@ def delete_users(spark: SparkSession, sf: str) -> DataFrame:
 def register_users(spark: SparkSession, sf: str) -> DataFrame:
     names = t.read(spark, sf, "supplier").select(F.col("s_name").alias("username"))
 
-    def change(stored: DataFrame) -> DataFrame:
-        return sinks.register_users(stored, names.unionByName(stored.select("username")))
+    def change(stored: KeyedTable) -> None:
+        stored.insert_new(sinks.new_users(names.unionByName(stored.rows().select("username"))))
 
-    return _rewritten(t.user(spark, sf), change, "users").select("uid", "username", "first")
+    return _changed(t.user(spark, sf), ("username",), change).select("uid", "username", "first")
 
 
 @register
 def upsert_ratings(spark: SparkSession, sf: str) -> DataFrame:
     rating = t.rating(spark, sf).select("uid", "mid", "score", "ts")
     updates = t.live(spark, sf).select("uid", "mid", "score", "ts")
-    return _rewritten(rating, lambda stored: sinks.upsert_ratings(stored, updates, order=F.struct("ts", "score")), "ratings")
+    return _changed(rating, ("uid", "mid"), lambda stored: stored.upsert(updates, F.struct("ts", "score")), ("uid",))
 
 
 @register
 def upsert_users(spark: SparkSession, sf: str) -> DataFrame:
-    def change(stored: DataFrame) -> DataFrame:
-        changed = lists.find_by_key(stored, _indebted(spark, sf), "username").withColumn("first", F.lit(False))
-        return sinks.upsert_users(stored, changed)
+    def change(stored: KeyedTable) -> None:
+        stored.upsert(stored.rows(_indebted(spark, sf)).withColumn("first", F.lit(False)), "ts")
 
-    return _rewritten(t.user(spark, sf), change, "users").select("uid", "username", "first")
+    return _changed(t.user(spark, sf), ("username",), change).select("uid", "username", "first")
 
 
 # --- projections and lookups -----------------------------------------------------------------
@@ -758,22 +761,44 @@ def top_products(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def recommend_users(spark: SparkSession, sf: str) -> DataFrame:
-    recs = factors.recommend_users(_model(spark, sf))
-    before = F.lag("score").over(Window.partitionBy("uid").orderBy("rank"))
-    return recs.select("uid", "rank", F.coalesce(F.col("score") <= before, F.lit(True)).alias("falling"), (F.col("score") > 0).alias("positive"))
+    """Every row of the lists beside the list made from the stored factors, and beside the product of
+    the row's two stored vectors."""
+    model = _model(spark, sf)
+    users, items = (materialised(f, "factors") for f in factors.factor_tables(model))
+    recs = factors.recommend_users(model).select("uid", "rank", "mid", "score")
+    own = factors.top_products(users, items).select("uid", "rank", F.col("mid").alias("_mid"), F.col("score").alias("_score"))
+    both = recs.join(own, ["uid", "rank"], "full")
+    vectors_ = users.select("uid", F.col("features").alias("_u")), items.select("mid", F.col("features").alias("_i"))
+    both = both.join(vectors_[0], "uid", "left").join(vectors_[1], "mid", "left")
+    same = (F.col("mid") == F.col("_mid")) & (F.abs(F.col("score") - F.col("_score")) < 1e-5)
+    product = (F.abs(F.col("score") - scalars.dot("_u", "_i")) < 1e-4) & (F.col("score") > 0)
+    return both.select("uid", "rank", *[F.coalesce(c, F.lit(False)).alias(n) for n, c in (("same", same), ("product", product))])
 
 
 @register
 def factor_similarity(spark: SparkSession, sf: str) -> DataFrame:
-    lists_ = factors.factor_similarity(_model(spark, sf), k=20)
-    facts = lists_.groupBy("mid").agg(
-        ((F.max("rank") == F.count("*")) & (F.max("rank") <= 20) & (F.count_distinct("rank") == F.count("*"))).alias("ranked"),
-        (F.min("score") > schemas.MIN_SIMILARITY).alias("above"),
-        F.bool_and(F.col("mid") != F.col("sim_mid")).alias("others"),
+    """Per item whether its list is as long as it should be, counted over the uncut products of the
+    stored factors, and whether its scores are the cosines of the stored vectors, falling, over the cut."""
+    model = _model(spark, sf)
+    items = materialised(factors.factor_tables(model)[1], "factors")
+    lists_ = materialised(factors.factor_similarity(model, k=20), "similar")
+    passing = vectors.all_pairs_cosine(items, schemas.MIN_SIMILARITY).groupBy("mid").agg(F.count("*").alias("_n"))
+    one, other = items.select("mid", F.col("features").alias("_a")), items.select(F.col("mid").alias("sim_mid"), F.col("features").alias("_b"))
+    rows = lists_.join(one, "mid", "left").join(other, "sim_mid", "left")
+    right = (F.abs(F.col("score") - scalars.cosine("_a", "_b")) < 1e-6) & (F.col("score") > schemas.MIN_SIMILARITY) & (F.col("mid") != F.col("sim_mid"))
+    facts = rows.groupBy("mid").agg(
+        F.count("*").alias("_listed"),
+        F.bool_and(F.coalesce(right, F.lit(False))).alias("_right"),
+        (F.count_distinct("rank") == F.max("rank")).alias("_ranked"),
+    )
+    both = items.select("mid").join(facts, "mid", "left").join(passing, "mid", "left")
+    listed, expected = F.coalesce("_listed", F.lit(0)), F.least(F.lit(20), F.coalesce("_n", F.lit(0)))
+    return both.select(
+        "mid",
+        (listed == expected).alias("whole"),
+        # An item with nothing similar has no row that could be wrong.
+        F.coalesce(F.col("_right") & F.col("_ranked") & (listed > 0), expected == 0).alias("agrees"),
     )
-    # An item with no similar one has an empty list, for which all of this holds.
-    flags = [F.coalesce(c, F.lit(True)).alias(c) for c in ("ranked", "above", "others")]
-    return t.rating(spark, sf).select("mid").distinct().join(facts, "mid", "left").select("mid", *flags)
 
 
 @register
@@ -876,13 +901,53 @@ def view_my_tags(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def register_views(spark: SparkSession, sf: str) -> DataFrame:
-    files.register_views(spark, {"loom_ratings": t.rating(spark, sf), "loom_movies": t.movie(spark, sf)})
+    folder = scratch(spark, "tables")
+    t.rating(spark, sf).write.parquet(f"{folder}/ratings.parquet")
+    t.movie(spark, sf).write.parquet(f"{folder}/movies")
+    views.register_views(spark, folder, "loom_")
     return spark.sql(
         """select m.name, count(*) as n, round(avg(r.score), 6) as avg
            from loom_ratings r join loom_movies m on r.mid = m.mid group by m.name"""
     )
 
 
+def _sql_surface(spark: SparkSession, sf: str) -> None:
+    """The tables as views and the functions over them, under names of their own."""
+    views.register_views(spark, {"rating": t.rating(spark, sf), "movie": t.movie(spark, sf)}, "loom_")
+    views.register_functions(spark, "loom_")
+    views.register_table_functions(spark, "loom_")
+
+
+@register
+def sql_rate_more(spark: SparkSession, sf: str) -> DataFrame:
+    _sql_surface(spark, sf)
+    return spark.sql("select * from loom_rate_more()")
+
+
+@register
+def sql_rating_months(spark: SparkSession, sf: str) -> DataFrame:
+    _sql_surface(spark, sf)
+    return spark.sql("select mid, score, yearmonth from loom_rating_months()")
+
+
+@register
+def sql_rate_more_recently(spark: SparkSession, sf: str) -> DataFrame:
+    _sql_surface(spark, sf)
+    return spark.sql("select mid, num, yearmonth from loom_rate_more_recently() order by yearmonth desc, num desc, mid")
+
+
+@register
+def sql_average_score(spark: SparkSession, sf: str) -> DataFrame:
+    _sql_surface(spark, sf)
+    return spark.sql("select mid, round(avg, 6) as avg from loom_average_score()")
+
+
+@register
+def sql_items_of_genre(spark: SparkSession, sf: str) -> DataFrame:
+    _sql_surface(spark, sf)
+    return spark.sql("select mid, name, round(avg, 6) as avg from loom_items_of_genre('ReD')")
+
+
 # --- streaming -------------------------------------------------------------------------------
 
 
@@ -942,12 +1007,47 @@ def stream_recommend(spark: SparkSession, sf: str) -> DataFrame:
     store.load_history()
     checkpoint = scratch(spark, "stream-recs-checkpoint")
     query = live_stream.stream_recommend(
-        _event_stream(spark, sf), store, sim_path, target, checkpoint, gate=LIVE_GATE, sim_buckets=8, available_now=True
+        _event_stream(spark, sf), store, sim_path, target, checkpoint, gate=LIVE_GATE, available_now=True
     )
     query.awaitTermination()
     return rounded(lists.list_rows(sinks.current_user_recs(spark, target), "uid"), "score")
 
 
+@register
+def stream_log_tail(spark: SparkSession, sf: str) -> DataFrame:
+    """Rating texts of the lines that were written after the stream began, which a second run of the
+    same stream reads; it passes over the lines that were there."""
+    lines, path = t.log_line(spark, sf, "ts"), scratch(spark, "tail")
+    middle = lines.agg((F.min("ts") + F.max("ts")) / 2).scalar()
+    out, checkpoint = scratch(spark, "tail-out"), scratch(spark, "tail-checkpoint")
+    for half in (F.col("ts") < middle, F.col("ts") >= middle):
+        lines.where(half).select("value").repartition(2).write.mode("append").text(path)
+        texts = logs.stream_filter_log(tail.source_log_tail(spark, path, start=f"{checkpoint}-start", split_bytes=100_000))
+        logs.sink_filtered_log(texts, out, checkpoint, available_now=True).awaitTermination()
+    return spark.read.text(out)
+
+
+@register
+def stream_seeded_queue(spark: SparkSession, sf: str) -> DataFrame:
+    """The forty newest ratings of every user: those of the earlier half come as a dump, the later ones
+    as events. Users without a later event keep the queue of the dump."""
+    live = t.live(spark, sf)
+    middle = t.log_line(spark, sf, "ts").agg((F.min("ts") + F.max("ts")) / 2).scalar()
+    recents = realtime.recent_ratings(live.where(F.col("ts") < middle), schemas.QUEUE_LENGTH)
+    entry = F.struct("pos", F.concat("mid", F.lit(":"), "score").alias("text"))
+    keyed = recents.groupBy("uid").agg(F.sort_array(F.collect_list(entry)).alias("queue")).select(
+        F.concat(F.lit("uid:"), "uid").alias("key"), F.transform("queue", lambda e: e["text"]).alias("entries")
+    )
+    dump = materialised(rejects.good(import_queue(keyed)), "dump")
+    events = live.where(F.col("ts") >= middle).select(F.concat_ws("|", "uid", "mid", "score", "ts").alias("value"))
+    stream = rejects.good(logs.stream_parse(streams.source_rating_events(spark, _files(events, "events"), files_per_trigger=2)))
+    target, checkpoint = scratch(spark, "queues"), scratch(spark, "queues-checkpoint")
+    queues.start_seeded_queues(stream, target, checkpoint, dump, available_now=True).awaitTermination()
+    stored = live_stream.current_queues(spark, target).select("uid", "pos", "mid", "score")
+    rest = dump.join(stored.select("uid").distinct(), "uid", "left_anti").select("uid", "pos", "mid", "score")
+    return stored.unionByName(rest)
+
+
 @register
 def batch_recommend(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(_scored(spark, sf), "score")

@@ -141,11 +141,11 @@ ORACLES: dict[str, str] = {
     ),
     "predict_pairs": sql("select uid, mid, count(*) copies, true agrees from rating group by uid, mid", "rating"),
     "recommend_users": sql(
-        """select uid, cast(rank as int) rank, true falling, true positive from (select distinct uid from rating),
+        """select uid, cast(rank as int) rank, true same, true product from (select distinct uid from rating),
         (select unnest(range(1, 21)) as rank)""",
         "rating",
     ),
-    "factor_similarity": sql("select distinct mid, true ranked, true above, true others from rating", "rating"),
+    "factor_similarity": sql("select distinct mid, true whole, true agrees from rating", "rating"),
     "tune_als": """select cast(rank as int) rank, "lambda", true fitted from (select unnest([50, 100, 200, 300]) as rank),
         (select unnest([0.01::double, 0.1::double, 1.0::double]) as "lambda")""",
     "scan_items": sql("select mid, name, descri, issue, genres, '' directors from movie", "movie"),
@@ -435,6 +435,18 @@ ORACLES: dict[str, str] = {
         """select m.name, count(*) n, round(avg(r.score), 6) as avg from rating r join movie m on m.mid = r.mid group by m.name""",
         "rating", "movie",
     ),
+    "sql_rate_more": sql("select mid, count(*) as count from rating group by mid", "rating"),
+    "sql_rating_months": sql(
+        """select mid, score, cast(year(to_timestamp(ts) at time zone 'UTC') * 100 + month(to_timestamp(ts) at time zone 'UTC') as int)
+        as yearmonth from rating""",
+        "rating",
+    ),
+    "sql_rate_more_recently": sql("select mid, num, cast(yearmonth as int) as yearmonth from monthly", "rating", "monthly"),
+    "sql_average_score": sql("select mid, round(avg, 6) as avg from avg_score", "avg_score", "rating"),
+    "sql_items_of_genre": sql(
+        "select m.mid, m.name, round(a.avg, 6) as avg from movie m join avg_score a using (mid) where contains(lower(m.genres), 'red')",
+        "movie", "rating", "avg_score",
+    ),
     "stream_filter_log": sql(_FILTERED, "log_line"),
     "stream_parse": sql(_PARSED, "log_line"),
     "stream_recent_state": sql(
@@ -442,6 +454,16 @@ ORACLES: dict[str, str] = {
         (partition by uid order by ts desc, mid desc, score desc) pos from live) where pos <= 40""",
         "live",
     ),
+    "stream_seeded_queue": sql(
+        """select uid, pos, mid, score from (select *, row_number() over
+        (partition by uid order by ts desc, mid desc, score desc) pos from live) where pos <= 40""",
+        "live",
+    ),
+    "stream_log_tail": sql(
+        """select uid || '|' || mid || '|' || score || '|' || ts as value from live
+        where ts >= (select (min(ts) + max(ts)) / 2 from ev)""",
+        "live", "ev",
+    ),
     "stream_recommend": sql("select uid, rank, mid, round(score, 6) score from live_list", "live_list"),
     "batch_recommend": sql("select uid, mid, round(score, 6) score from scored", "scored"),
 }
@@ -453,7 +475,7 @@ _POSITIONS = {
         "top_candidates", "hybrid", "hybrid_sum", "with_fallback", "content_similarity", "top_products", "search", "search_index",
         "more_like_this", "fuzzy_genre", "view_similar", "view_wish", "view_guess", "view_stream", "view_genre_top", "stream_recommend",
     ),
-    "pos": ("candidate_x_recent", "sim_lookup", "recent_ratings", "head_of_list", "import_queue", "stream_recent_state"),
+    "pos": ("candidate_x_recent", "sim_lookup", "recent_ratings", "head_of_list", "import_queue", "stream_recent_state", "stream_seeded_queue"),
 }
 for _column, _names in _POSITIONS.items():
     for _name in _names:

@@ -82,10 +82,3 @@ def load_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     if schema is None:
         return table
     return table.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-
-
-def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> list[str]:
-    """Expose tables as temporary views for SQL; returns their names."""
-    for name, table in tables.items():
-        table.createOrReplaceTempView(name)
-    return sorted(tables)

@@ -51,15 +51,20 @@ def delete_users(user: DataFrame, usernames: DataFrame) -> DataFrame:
 
 def register_users(user: DataFrame, new: DataFrame, now: Column | None = None) -> DataFrame:
     """``user`` plus one fresh account per username in ``new`` that is not taken yet."""
+    fresh = new_users(_without(new, user, ["username"]), now)
+    return user.select(*fresh.columns).unionByName(fresh)
+
+
+def new_users(names: DataFrame, now: Column | None = None) -> DataFrame:
+    """A fresh account per username."""
     stamp = F.unix_timestamp() if now is None else now
-    fresh = _without(new.select("username").distinct(), user, ["username"]).select(
+    return names.select("username").distinct().select(
         user_id_of("username").alias("uid"),
         "username",
         F.lit(True).alias("first"),
         stamp.cast("long").alias("ts"),
         F.array().cast("array<string>").alias("prefGenres"),
     )
-    return user.select(*fresh.columns).unionByName(fresh)
 
 
 def _replace(table: DataFrame, updates: DataFrame, on: list[str], order: Column | str | None) -> DataFrame:
@@ -101,13 +106,18 @@ def store_batch(rows: DataFrame, target: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
 
-def newest_state(spark: SparkSession, target: str) -> DataFrame:
-    """The newest stored row of every user: the compacted version and the batches after it."""
+def newest_state(spark: SparkSession, target: str, schema: str | None = None) -> DataFrame:
+    """The newest stored row of every user: the compacted version and the batches after it. Before
+    anything is stored there are no rows, of the given ``schema``."""
     version = versions.current_version(spark, target)
     folders = versions.batch_folders(spark, target, version.through if version else -1)
     parts = [spark.read.parquet(*folders).withColumn("_batch", _batch_of())] if folders else []
     if version:
         parts.append(spark.read.parquet(version.folder).withColumn("_batch", F.lit(-1).cast("long")))
+    if not parts:
+        if schema is None:
+            raise FileNotFoundError(f"nothing is stored in {target}")
+        return spark.createDataFrame([], schema)
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     state = F.struct(*[c for c in rows.columns if c not in ("uid", "_batch")])
     newest = F.max_by(state, "_batch").alias("_state")
@@ -134,7 +144,7 @@ def upsert_user_recs(lists: DataFrame, target: str, batch_id: int) -> None:
 
 def current_user_recs(spark: SparkSession, target: str) -> DataFrame:
     """(uid, recs): the newest stored list of every user."""
-    return newest_state(spark, target)
+    return newest_state(spark, target, "uid int, recs array<struct<mid:int,score:double>>")
 
 
 def bucket_of(key: str, buckets: int) -> Column:
@@ -155,9 +165,13 @@ def store_similarity(ranked: DataFrame, path: str, buckets: int = 64) -> None:
     # A salt by segment of the list spreads an item that is similar to very many.
     spread = kept.repartition("bucket", F.floor(F.col("rank") / 100_000)).sortWithinPartitions("bucket", "mid", "rank")
     spread.write.mode("overwrite").partitionBy("bucket").parquet(path)
+    versions.keep_buckets(spread.sparkSession, path, buckets)
 
 
-def similar_of(spark: SparkSession, path: str, mids: DataFrame, buckets: int = 64) -> DataFrame:
+def similar_of(spark: SparkSession, path: str, mids: DataFrame) -> DataFrame:
     """The stored lists of the given items and of no others' folders."""
+    buckets = versions.kept_buckets(spark, path)
+    if buckets is None:
+        raise FileNotFoundError(f"no similarity table is stored in {path}")
     stored = spark.read.schema("mid int, rank int, sim_mid int, score double, bucket int").parquet(path)
     return stored.where(F.col("bucket").isin(asked_buckets(mids, "mid", buckets))).drop("bucket")

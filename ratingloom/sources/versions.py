@@ -22,19 +22,21 @@ class Version(NamedTuple):
     through: int
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The file system that a path is in, and the path as it takes it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
-    fs, target = _fs(spark, path)
+def names_below(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none where there is no folder."""
+    fs, target = file_system(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
 
 
 def current_version(spark: SparkSession, path: str) -> Version | None:
     """The newest version, from the names of the marker files."""
-    markers = [n.removeprefix("_version.").split(".") for n in _names(spark, path) if n.startswith("_version.")]
+    markers = [n.removeprefix("_version.").split(".") for n in names_below(spark, path) if n.startswith("_version.")]
     if not markers:
         return None
     number, through, folder = max(markers, key=lambda m: int(m[0]))
@@ -49,12 +51,12 @@ def publish(table: DataFrame, path: str, partition_by: tuple[str, ...] = (), thr
     name = f"v{number}-{uuid.uuid4().hex}"
     table.write.partitionBy(*partition_by).parquet(f"{path}/{name}")
     # One file per number, whoever writes it: a second writer of the same number fails here.
-    fs, lock = _fs(spark, f"{path}/_number.{number}")
+    fs, lock = file_system(spark, f"{path}/_number.{number}")
     try:
         fs.create(lock, False).close()
     except Py4JJavaError as error:
         raise RuntimeError(f"version {number} of {path} was published by another writer") from error
-    fs.create(_fs(spark, f"{path}/_version.{number}.{through}.{name}")[1], False).close()
+    fs.create(file_system(spark, f"{path}/_version.{number}.{through}.{name}")[1], False).close()
     return Version(number, f"{path}/{name}", through)
 
 
@@ -69,7 +71,7 @@ def read_current(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 def batch_folders(spark: SparkSession, path: str, after: int) -> list[str]:
     """Batch folders ``batch_id=n`` with n above ``after``."""
-    ids = [int(n.removeprefix("batch_id=")) for n in _names(spark, path) if n.startswith("batch_id=")]
+    ids = [int(n.removeprefix("batch_id=")) for n in names_below(spark, path) if n.startswith("batch_id=")]
     return [f"{path}/batch_id={i}" for i in sorted(ids) if i > after]
 
 
@@ -80,6 +82,19 @@ def drop_older(spark: SparkSession, path: str) -> None:
     if current is None:
         return
     keep = current.folder.rsplit("/", 1)[1]
-    old = [n for n in _names(spark, path) if n.startswith("v") and n != keep]
-    taken = [n for n in _names(spark, path) if n.startswith("batch_id=") and int(n.removeprefix("batch_id=")) <= current.through]
+    old = [n for n in names_below(spark, path) if n.startswith("v") and n != keep]
+    taken = [n for n in names_below(spark, path) if n.startswith("batch_id=") and int(n.removeprefix("batch_id=")) <= current.through]
     forget(spark, *[f"{path}/{n}" for n in old + taken])
+
+
+def keep_buckets(spark: SparkSession, path: str, buckets: int) -> None:
+    """Store the number of buckets that a table is laid out in, beside its rows."""
+    if kept_buckets(spark, path) != buckets:
+        fs, marker = file_system(spark, f"{path}/_buckets.{buckets}")
+        fs.create(marker, False).close()
+
+
+def kept_buckets(spark: SparkSession, path: str) -> int | None:
+    """The number of buckets that a table was laid out in."""
+    found = [int(n.removeprefix("_buckets.")) for n in names_below(spark, path) if n.startswith("_buckets.")]
+    return found[0] if found else None

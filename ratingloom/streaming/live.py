@@ -40,13 +40,8 @@ def _newest(rows: Iterable[tuple], k: int) -> list[tuple]:
     return heapq.nlargest(k, rows)
 
 
-def stream_recent_state(events: DataFrame, keep: int = QUEUE_LENGTH) -> DataFrame:
-    """(uid, queue): the ``keep`` newest ratings, newest first, of each user whose queue changed.
-
-    Every Arrow batch is cut to the newest ``keep`` per user before the shuffle, so a busy user sends
-    little to the one task that holds the queue, and the state is bounded. Queues are merged as plain
-    tuples; ``events`` are good events, their rejects go through ``sink_events``.
-    """
+def newest_of_batches(events: DataFrame, keep: int) -> DataFrame:
+    """(uid, mid, score, ts): of every Arrow batch the newest ``keep`` events of each user."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -57,6 +52,18 @@ def stream_recent_state(events: DataFrame, keep: int = QUEUE_LENGTH) -> DataFram
             nth = np.arange(len(uid)) - np.repeat(begins, sizes)
             yield from table.filter(pa.array(nth < keep)).to_batches()
 
+    columns = events.select("uid", "mid", "score", "ts")
+    return columns.mapInArrow(cut, columns.schema)
+
+
+def stream_recent_state(events: DataFrame, keep: int = QUEUE_LENGTH) -> DataFrame:
+    """(uid, queue): the ``keep`` newest ratings, newest first, of each user whose queue changed.
+
+    Every Arrow batch is cut to the newest ``keep`` per user before the shuffle, so a busy user sends
+    little to the one task that holds the queue, and the state is bounded. Queues are merged as plain
+    tuples; ``events`` are good events, their rejects go through ``sink_events``.
+    """
+
     def push(key: tuple[Any, ...], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         mid, score, ts = state.get if state.exists else ((), (), ())
         queue = list(zip(ts, mid, score))
@@ -66,9 +73,8 @@ def stream_recent_state(events: DataFrame, keep: int = QUEUE_LENGTH) -> DataFram
         state.update((mid, score, ts))
         yield pd.DataFrame({"uid": [key[0]], "queue": [[{"mid": m, "score": s, "ts": t} for t, m, s in queue]]})
 
-    columns = events.select("uid", "mid", "score", "ts")
     return (
-        columns.mapInArrow(cut, columns.schema)
+        newest_of_batches(events, keep)
         .groupBy("uid")
         .applyInPandasWithState(push, QUEUE_OUTPUT, QUEUE_STATE, "update", GroupStateTimeout.NoTimeout)
     )
@@ -85,7 +91,7 @@ def write_queues(queues: DataFrame, target: str, checkpoint: str, available_now:
 
 def current_queues(spark: SparkSession, target: str) -> DataFrame:
     """(uid, pos, mid, score, ts) of every user's newest stored queue."""
-    rows = newest_state(spark, target).select("uid", F.posexplode("queue").alias("pos", "entry"))
+    rows = newest_state(spark, target, QUEUE_OUTPUT).select("uid", F.posexplode("queue").alias("pos", "entry"))
     return rows.select("uid", (F.col("pos") + 1).alias("pos"), "entry.*")
 
 
@@ -94,11 +100,14 @@ class RatingStore:
 
     A version holds one folder per hash bucket of the user id, sorted by user. Every micro-batch adds
     one folder of a few parts of these buckets and may be replayed; ``compact`` folds those into a new version,
-    which a running stream uses from its next micro-batch on. Choose ``buckets`` by the table's size.
+    which a running stream uses from its next micro-batch on. Choose ``buckets`` by the table's size;
+    a stored table keeps the number it was made with.
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 256):
-        self.spark, self.path, self.buckets = spark, path, buckets
+        self.spark, self.path = spark, path
+        self.buckets = versions.kept_buckets(spark, path) or buckets
+        versions.keep_buckets(spark, path, self.buckets)
 
     def _laid_out(self, rating: DataFrame) -> DataFrame:
         return rating.select(*RATING.names, bucket_of("uid", self.buckets).alias("bucket"))
@@ -159,7 +168,6 @@ def stream_recommend(
     k: int = CANDIDATES,
     recent: int = RECENT_RATINGS,
     gate: float = SCORING_GATE,
-    sim_buckets: int = 64,
     available_now: bool = False,
 ) -> StreamingQuery:
     """Re-rank for every user with a new rating and store one list per user.
@@ -179,9 +187,9 @@ def stream_recommend(
         ratings.add(fresh, batch_id)
         rated = ratings.ratings_of(fresh).persist()
         latest = realtime.latest_event(fresh).persist()
-        cand = realtime.top_candidates(latest, similar_of(spark, sim_path, latest, sim_buckets), rated, k).persist()
+        cand = realtime.top_candidates(latest, similar_of(spark, sim_path, latest), rated, k).persist()
         pairs = realtime.candidate_x_recent(cand, realtime.recent_ratings(rated, recent))
-        scored = realtime.score_candidates(realtime.sim_lookup(pairs, similar_of(spark, sim_path, cand, sim_buckets)), gate)
+        scored = realtime.score_candidates(realtime.sim_lookup(pairs, similar_of(spark, sim_path, cand)), gate)
         upsert_user_recs(realtime.recommendation_lists(fresh, scored, k), target, batch_id)
         for part in (cand, latest, rated, batch):
             part.unpersist()

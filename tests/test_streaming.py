@@ -140,7 +140,7 @@ def test_scans_of_a_batch_are_pruned(spark):
     store.add(spark.createDataFrame(events(60), RATING), 0)
     sinks.store_similarity(similarity(spark), sim_path, 16)
     one = spark.createDataFrame([(3, 4, 1.0, 5)], RATING)
-    for frame, scans in ((store.ratings_of(one), 2), (sinks.similar_of(spark, sim_path, one, 16), 1)):
+    for frame, scans in ((store.ratings_of(one), 2), (sinks.similar_of(spark, sim_path, one), 1)):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert len(re.findall(r"PartitionFilters: \[[^\]]*(?:bucket|part)#", plan)) == scans, plan
 

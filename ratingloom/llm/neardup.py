@@ -9,21 +9,22 @@ as fill its ``K`` coordinates, about K log K whatever its length. Each dart belo
 and the one of lowest rank is kept. Two documents agree in a coordinate with the probability of
 their weighted Jaccard similarity.
 
-**Links.** Representatives that agree in a band are
-compared with their bucket's smallest member; what signatures do not rule out is checked on whole
-texts. Components of these links leave few open cases: members of a bucket that are not in its
-smallest member's component. These are a query set, compared with the bucket's other components in
-blocks of bounded size, each pair in the first band it shares; what signatures leave open, pairs
-close to the threshold, is checked on whole texts too. Links inside a component
-change nothing, so no pair that could join two classes is left out, and a group's pairs are never
-written out.
+**Links.** Representatives that agree in a band are compared with their bucket's smallest member;
+what signatures do not rule out is checked on whole texts. Components of these links leave few open
+cases: members of a bucket that are not in its smallest member's component. They are compared by
+signature with the bucket's other components in blocks of bounded size, and a block names no pairs:
+each row with an open case points to the smallest row it hangs together with. Rows that hang together
+over all buckets form a group, and every open case lies in one group. The texts of a group meet in
+blocks of bounded rows and bytes, where cases are decided on whole texts and links that join two
+components leave, fewer than the block has rows. Links inside a component change nothing, so no pair
+that could join two classes is left out, and a group's pairs are never written out.
 
 **Skew.** Buckets are aggregated in the map tasks; a large bucket is joined back by rows that
 adaptive execution can split, and compared in blocks. All intermediate rows are written below the
 shared folder.
 
 Defined cases: texts without words are near duplicates only of equal texts; a null text is in a class of its own; texts of fewer
-words than a shingle are one shingle; rows with one id are one document; a row without an id has no
+words than a shingle are one shingle; the length of a text is not bounded; rows with one id are one document; a row without an id has no
 class.
 """
 
@@ -55,7 +56,8 @@ K = 400
 #: Signatures rule a pair out below the similarity by this many standard deviations: at 0.8 one pair
 #: of it in 90,000, fewer than share no band.
 DEVIATIONS = 4.5
-BLOCK = 1024
+#: Rows of one side of a block, and the bytes of their texts.
+BLOCK, BLOCK_BYTES = 1024, 32 << 20
 WEIGHTS = ("set", "counts")
 
 _STEP = 0x9E3779B97F4A7C15
@@ -246,44 +248,17 @@ def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
     return labels
 
 
-def _arrays(column: pa.ListArray) -> list[np.ndarray]:
-    ends = np.cumsum(column.value_lengths().to_numpy())
-    return np.split(column.flatten().to_numpy(), ends[:-1])
-
-
-def _block_rows(floor: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Compare the queries of each (band, query block, member block) with its members. Rows come
-    sorted by block, so a block is complete when the next begins."""
-
-    def compare(rows: list[tuple]) -> list[tuple[int, int]]:
-        asked = [r for r in rows if r[4]]
-        there = [r for r in rows if not r[4]]
-        if not asked or not there:
-            return []
-        a = np.frombuffer(b"".join(r[8] for r in asked), np.uint8).reshape(-1, K)
-        b = np.frombuffer(b"".join(r[8] for r in there), np.uint8).reshape(-1, K)
-        a_bands, b_bands = (np.array([r[9] for r in part], np.int64) for part in (asked, there))
-        b_id, b_class, b_asks = (np.array([r[c] for r in there]) for c in (6, 7, 5))
-        out = []
-        for i, row in enumerate(asked):
-            doc_id, of_class = row[6], row[7]
-            # Of two queries the one of smaller id asks.
-            open_ = np.flatnonzero((b_class != of_class) & ~(b_asks & (b_id < doc_id)))
-            open_ = open_[(b[open_] == a[i]).mean(axis=1) >= floor]
-            # Stubs of coordinates may agree by chance; buckets are made of whole band hashes.
-            before = (b_bands[open_] == a_bands[i]).any(axis=1)
-            out += [(min(doc_id, other), max(doc_id, other)) for other in b_id[open_[~before]].tolist()]
-        return out
+def _blocks_of(columns: tuple[str, ...], key: slice, decide: Callable[[list[tuple], list[tuple]], list[tuple[int, int]]]) -> Callable:
+    """A task that hands the queries and the members of each block to ``decide``. Rows come sorted by
+    the ``key`` columns, so a block is complete when the next begins; the last column marks queries."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = ("band", "nth", "asks", "holds", "query", "asking", "doc_id", "class_id", "signature")
-        rows = (
-            row
-            for batch in batches
-            for row in zip(*[batch.column(c).to_pylist() for c in columns], _arrays(batch.column("earlier")), strict=True)
-        )
-        for _, block in itertools.groupby(rows, key=lambda r: (r[0], r[2], r[3])):
-            found = compare(list(block))
+        rows = (row for batch in batches for row in zip(*[batch.column(c).to_pylist() for c in columns], strict=True))
+        for _, block in itertools.groupby(rows, key=lambda r: r[key]):
+            asked, there = [], []
+            for row in block:
+                (asked if row[-1] else there).append(row)
+            found = decide(asked, there) if asked and there else []
             if found:
                 a, b = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -291,31 +266,136 @@ def _block_rows(floor: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return task
 
 
-def _open_cases(banded: DataFrame, buckets: DataFrame, labels: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of one bucket in different components that signatures do not rule out, where a or b
-    is not in the component of the bucket's smallest member."""
+def _matrix(rows: list[tuple], at: int) -> np.ndarray:
+    return np.frombuffer(b"".join(r[at] for r in rows), np.uint8).reshape(-1, K)
+
+
+def _lowest_reachable(count: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Per node the smallest node that edges connect it with."""
+    low = np.arange(count)
+    while True:
+        new = low.copy()
+        np.minimum.at(new, left, low[right])
+        np.minimum.at(new, right, low[left])
+        new = new[new]
+        if (new == low).all():
+            return low
+        low = new
+
+
+OPEN = ("band", "asks", "holds", "doc_id", "class_id", "signature", "query")
+
+
+def _hanging_rows(floor: float) -> Callable[[list[tuple], list[tuple]], list[tuple[int, int]]]:
+    """Rows of open cases with the smallest row they hang together with: a row per row of the block at
+    most, however many cases there are."""
+
+    def decide(asked: list[tuple], there: list[tuple]) -> list[tuple[int, int]]:
+        a, b = _matrix(asked, 5), _matrix(there, 5)
+        b_class = np.array([r[4] for r in there])
+        names = np.array([r[3] for r in asked + there])
+        ids, number = np.unique(names, return_inverse=True)
+        left, right = [], []
+        for i, row in enumerate(asked):
+            open_ = np.flatnonzero(b_class != row[4])
+            open_ = open_[(b[open_] == a[i]).mean(axis=1) >= floor]
+            left.append(np.full(len(open_), number[i]))
+            right.append(number[len(asked) + open_])
+        left, right = np.concatenate(left), np.concatenate(right)
+        low = _lowest_reachable(len(ids), left, right)
+        used = np.unique(np.concatenate((left, right)))
+        return list(zip(ids[low[used]].tolist(), ids[used].tolist(), strict=True))
+
+    return decide
+
+
+def _dealt(rows: DataFrame, key: tuple[str, ...], out: tuple[str, ...]) -> DataFrame:
+    """Queries and members of every key, dealt into blocks of the ``n_asks`` and ``n_holds`` parts of the
+    two sides; queries are members too."""
+    spread = F.xxhash64("doc_id")
+    asks = rows.where("query").withColumn("asks", F.pmod(spread, F.col("n_asks")).cast("int"))
+    asks = asks.withColumn("holds", F.explode(F.sequence(F.lit(0), F.col("n_holds") - 1))).select(*out)
+    holds = rows.withColumn("holds", F.pmod(spread, F.col("n_holds")).cast("int")).withColumn("query", F.lit(False))
+    holds = holds.withColumn("asks", F.explode(F.sequence(F.lit(0), F.col("n_asks") - 1))).select(*out)
+    return asks.unionByName(holds).repartition(*key, "asks", "holds").sortWithinPartitions(*key, "asks", "holds")
+
+
+def _hanging(banded: DataFrame, buckets: DataFrame, labels: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): rows of a bucket with open cases, and the smallest row each hangs together with. A case
+    is a pair in different components that signatures do not rule out, where one end is not in the
+    component of the bucket's smallest member."""
     crowded = buckets.where("members > 2")
     named = banded.join(crowded, "band").join(labels, "doc_id", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
     centres = labels.selectExpr("doc_id as centre", "class_id as centre_class")
     named = named.join(centres, "centre", "left").withColumn("query", F.col("class_id") != F.coalesce("centre_class", "centre"))
     asked = named.where("query").groupBy("band").agg(F.count("*").alias("n_asked"))
-    rows = named.join(asked, "band").join(sketches.select("doc_id", "signature", "bands"), "doc_id")
-    rows = rows.withColumns(
-        {
-            "earlier": F.slice("bands", F.lit(1), F.col("nth")),
-            "n_asks": F.ceil(F.col("n_asked") / BLOCK).cast("int"),
-            "n_holds": F.ceil(F.col("members") / BLOCK).cast("int"),
-        }
+    rows = named.join(asked, "band").join(sketches.select("doc_id", "signature"), "doc_id")
+    rows = rows.withColumns({"n_asks": F.ceil(F.col("n_asked") / BLOCK).cast("int"), "n_holds": F.ceil(F.col("members") / BLOCK).cast("int")})
+    blocks = _dealt(rows, ("band",), OPEN)
+    return blocks.mapInArrow(_blocks_of(OPEN, slice(0, 3), _hanging_rows(_floor(similarity))), "a bigint, b bigint").distinct()
+
+
+GROUPED = ("group", "asks", "holds", "doc_id", "class_id", "signature", "text", "asking", "query")
+
+
+def _joining_rows(size: int, weights: str, similarity: float) -> Callable[[list[tuple], list[tuple]], list[tuple[int, int]]]:
+    """The links of a block that join two components, found on whole texts."""
+    known = WordHashes()
+    least = _floor(similarity)
+
+    def shingled(rows: list[tuple]) -> list[tuple[np.ndarray, np.ndarray]]:
+        hashes, counts, owner = shingle_elements(known, [space_words(r[6]) for r in rows], size)
+        cuts = np.searchsorted(owner, np.arange(1, len(rows)))
+        counts = counts if weights == "counts" else np.ones(len(counts))
+        return list(zip(np.split(hashes, cuts), np.split(counts, cuts), strict=True))
+
+    def decide(asked: list[tuple], there: list[tuple]) -> list[tuple[int, int]]:
+        rows = asked + there
+        matrix, elements = _matrix(rows, 5), shingled(rows)
+        # Components of the block: as they were, and joined as links are found.
+        component = np.unique([r[4] for r in rows], return_inverse=True)[1]
+        b_id, b_asks = np.array([r[3] for r in there]), np.array([r[7] for r in there])
+        found = []
+        for i, row in enumerate(asked):
+            # Of two queries the one of smaller number asks.
+            near = len(asked) + np.flatnonzero((component[len(asked) :] != component[i]) & ~(b_asks & (b_id < row[3])))
+            near = near[(matrix[near] == matrix[i]).mean(axis=1) >= least]
+            while len(near):
+                j, near = near[0], near[1:]
+                if weighted_jaccard(elements[i], elements[j]) >= similarity:
+                    found.append((min(row[3], rows[j][3]), max(row[3], rows[j][3])))
+                    component[component == component[j]] = component[i]
+                    near = near[component[near] != component[i]]
+        return found
+
+    return decide
+
+
+def _joining(groups: DataFrame, labels: DataFrame, sketches: DataFrame, names: DataFrame, texts: DataFrame, size: int, weights: str, similarity: float) -> tuple[DataFrame, str]:
+    """Links (a, b) inside the groups of rows that hang together, and their path; ``groups`` has
+    (doc_id, class_id)."""
+    members = groups.withColumnRenamed("class_id", "group").join(labels, "doc_id", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
+    members = members.join(names.selectExpr("number as doc_id", "doc_id as id_", "said"), "doc_id")
+    members = members.join(texts.selectExpr("doc_id as id_", "said", "text"), ["id_", "said"]).dropDuplicates(["doc_id"])
+    members = members.join(sketches.select("doc_id", "signature"), "doc_id").select("group", "doc_id", "class_id", "signature", "text")
+    members, path = stored(members, "groups")
+    # Rows of a group's largest component ask nothing: each case has an end outside.
+    sized = members.groupBy("group", "class_id").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    sized = sized.groupBy("group").agg(
+        F.sum("n").alias("rows"), F.sum("bytes").alias("bytes"), F.max(F.struct("n", "class_id", "bytes")).alias("largest")
     )
-    spread = F.xxhash64("doc_id")
-    out = ("band", "nth", "asks", "holds", "query", "asking", "doc_id", "class_id", "signature", "earlier")
-    rows = rows.withColumn("asking", F.col("query"))
-    asks = rows.where("query").withColumn("asks", F.pmod(spread, F.col("n_asks")).cast("int"))
-    asks = asks.withColumn("holds", F.explode(F.sequence(F.lit(0), F.col("n_holds") - 1))).select(*out)
-    holds = rows.withColumn("holds", F.pmod(spread, F.col("n_holds")).cast("int")).withColumn("query", F.lit(False))
-    holds = holds.withColumn("asks", F.explode(F.sequence(F.lit(0), F.col("n_asks") - 1))).select(*out)
-    blocks = asks.unionByName(holds).repartition("band", "asks", "holds").sortWithinPartitions("band", "asks", "holds")
-    return blocks.mapInArrow(_block_rows(_floor(similarity)), "a bigint, b bigint").distinct()
+    parts = lambda n, size_: F.greatest(F.lit(1), F.ceil(n / BLOCK), F.ceil(size_ / BLOCK_BYTES)).cast("int")
+    sized = sized.where("rows > largest.n").select(
+        "group",
+        F.col("largest.class_id").alias("largest"),
+        parts(F.col("rows") - F.col("largest.n"), F.col("bytes") - F.col("largest.bytes")).alias("n_asks"),
+        parts(F.col("rows"), F.col("bytes")).alias("n_holds"),
+    )
+    rows = members.join(sized, "group").withColumn("query", F.col("class_id") != F.col("largest")).withColumn("asking", F.col("query"))
+    blocks = _dealt(rows, ("group",), GROUPED)
+    links, links_path = stored(blocks.mapInArrow(_blocks_of(GROUPED, slice(0, 3), _joining_rows(size, weights, similarity)), "a bigint, b bigint"), "links")
+    forget(members.sparkSession, path)
+    return links, links_path
 
 
 def near_duplicate_classes(
@@ -345,8 +425,8 @@ def near_duplicate_classes(
         "representatives",
     )
     names = distinct.select("number", "doc_id", "said")
-    sketches = distinct.where("size(bands) > 0").selectExpr("number as doc_id", "signature", "bands")
-    banded = distinct.select(F.posexplode("bands").alias("nth", "band"), F.col("number").alias("doc_id"))
+    sketches = distinct.where("size(bands) > 0").selectExpr("number as doc_id", "signature")
+    banded = distinct.select(F.explode("bands").alias("band"), F.col("number").alias("doc_id"))
     buckets = banded.groupBy("band").agg(F.min("doc_id").alias("centre"), F.max("doc_id").alias("high"), F.count("*").alias("members"))
     buckets = buckets.where("centre < high").drop("high")
     stars = banded.join(buckets, "band").where("doc_id > centre").selectExpr("centre as a", "doc_id as b").distinct()
@@ -354,13 +434,13 @@ def near_duplicate_classes(
     first, first_path = stored(checked(stars, names, texts, size, weights, similarity), "links")
     labels = components(first)
 
-    open_cases, open_path = stored(_open_cases(banded, buckets, labels, sketches, similarity), "open")
-    more, more_path = stored(checked(open_cases.join(stars, ["a", "b"], "left_anti"), names, texts, size, weights, similarity), "links")
+    hanging, hanging_path = stored(_hanging(banded, buckets, labels, sketches, similarity), "open")
+    more, more_path = _joining(components(hanging), labels, sketches, names, texts, size, weights, similarity)
     copies = sketched.join(distinct.selectExpr("digest", "doc_id as low"), "digest").where("doc_id > low").selectExpr("low as a", "doc_id as b").distinct()
     low, high = names.selectExpr("number as a", "doc_id as low"), names.selectExpr("number as b", "doc_id as high")
     links = first.union(more).join(low, "a").join(high, "b").where("low <> high").selectExpr("low as a", "high as b")
     labels = components(links.union(copies))
-    forget(spark, sketched_path, distinct_path, stars_path, first_path, open_path, more_path)
+    forget(spark, sketched_path, distinct_path, stars_path, first_path, hanging_path, more_path)
 
     ids = df.select(F.col(id_col).cast("long").alias("doc_id"))
     classed = ids.join(labels, "doc_id", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))

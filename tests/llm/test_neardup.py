@@ -103,14 +103,57 @@ def test_large_blocks_keep_links(spark, monkeypatch):
     assert {r.doc_id: r.class_id for r in classes(spark, docs)} == brute_classes(docs)
 
 
-@pytest.mark.parametrize("shared_before, pairs", [(False, [(4, 9)]), (True, [])])
-def test_equal_stubs_in_an_earlier_band_lose_no_pair(shared_before, pairs):
-    row = {"band": 70, "nth": 1, "asks": 0, "holds": 0, "asking": True, "signature": bytes(neardup.K)}
-    asks = row | {"query": True, "doc_id": 4, "class_id": 4, "earlier": [50]}
-    held = row | {"query": False, "doc_id": 9, "class_id": 9, "earlier": [50 if shared_before else 60]}
-    task = neardup._block_rows(neardup._floor(0.8))
-    found = [tuple(r.values()) for batch in task(iter([pa.RecordBatch.from_pylist([asks, held])])) for r in batch.to_pylist()]
-    assert found == pairs
+def batch(columns, rows):
+    return pa.RecordBatch.from_pylist([dict(zip(columns, r, strict=True)) for r in rows])
+
+
+def links_of(task, columns, rows):
+    return [tuple(r.values()) for b in task(iter([batch(columns, rows)])) for r in b.to_pylist()]
+
+
+def test_a_block_names_its_rows_once():
+    sign = lambda *at: bytes(1 if i in at else 0 for i in range(neardup.K))
+    queries = [(7, 0, 0, i, i, sign(i), True) for i in range(10, 40)]
+    members = [(7, 0, 0, i, i, sign(i), False) for i in range(40)] + [(7, 0, 0, 99, 99, bytes([2] * neardup.K), False)]
+    task = neardup._blocks_of(neardup.OPEN, slice(0, 3), neardup._hanging_rows(0.8))
+    assert sorted(links_of(task, neardup.OPEN, queries + members)) == [(0, i) for i in range(40)]
+
+
+def test_a_block_joins_components_on_whole_texts():
+    base = [f"t{i}" for i in range(100)]
+    text = lambda n: " ".join([*base[:-n], *[f"c{n}x{i}" for i in range(n)]])
+    texts = {1: text(1), 2: text(2), 3: text(3), 4: text(60), 5: text(2) + " end"}
+    row = lambda i, query: (7, 0, 0, i, {5: 2}.get(i, i), bytes(neardup.K), texts[i], i != 1, query)
+    task = neardup._blocks_of(neardup.GROUPED, slice(0, 3), neardup._joining_rows(5, "set", 0.8))
+    found = links_of(task, neardup.GROUPED, [row(i, True) for i in (2, 3, 4, 5)] + [row(i, False) for i in texts])
+    joined = {frozenset(p) for p in found}
+    assert len(found) == 2 and not any(4 in p for p in joined) and all(len(p) == 2 for p in joined)
+
+
+@pytest.mark.parametrize("rate", [0.016, 0.03])
+def test_written_rows_grow_with_the_group(spark, monkeypatch, rate):
+    """Near copies of one text: what every step writes is bounded by bands times rows, and far from 16
+    times as much for four times the rows."""
+    written = {}
+    real = neardup.stored
+
+    def counting(df, purpose):
+        rows, path = real(df, purpose)
+        written.setdefault(purpose, []).append(rows.count())
+        return rows, path
+
+    monkeypatch.setattr(neardup, "stored", counting)
+    sums = []
+    rnd = random.Random(8)
+    base = [rnd.choice(VOCAB) + str(i) for i in range(120)]
+    docs = [(i, " ".join(mutated(rnd, base, rate))) for i in range(400)]
+    for size in (100, 400):
+        written.clear()
+        got = {r.doc_id: r.class_id for r in classes(spark, docs[:size])}
+        sums.append({k: max(v) for k, v in written.items()})
+    assert len(set(got.values())) > 1
+    assert all(sums[1].get(k, 0) <= 8 * max(20, n) for k, n in sums[0].items()), sums
+    assert all(n <= neardup.BANDS * 400 for n in sums[1].values()) and sums[1]["groups"] <= 400
 
 
 def test_signatures_rule_out_fewer_pairs_than_the_bands_miss():

@@ -16,7 +16,7 @@ from ratingloom.operators import factors, lists, realtime, search, stats, vector
 from ratingloom.plans import content, serving
 from ratingloom.plans import standins as t
 from ratingloom.session import materialised, scratch, shared_dir
-from ratingloom.sources import files, rejects, sinks, streams, tail, views
+from ratingloom.sources import files, layout, rejects, sinks, streams, tail, views
 from ratingloom.sources.keyed import KeyedTable
 from ratingloom.streaming import live as live_stream
 from ratingloom.streaming import logs, queues
@@ -265,9 +265,16 @@ def filter_similar(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(lists.filter_similar(pairs, LIST_CUT), "score")
 
 
+def _laid_out(table: DataFrame, key: str) -> str:
+    """A table stored in the layout for lookups by ``key``, as the batch jobs leave it for the service."""
+    path = scratch(table.sparkSession, "layout")
+    layout.store(table, path, key, 8)
+    return path
+
+
 @register
 def find_by_key(spark: SparkSession, sf: str) -> DataFrame:
-    return lists.find_by_key(t.rating(spark, sf), t.live(spark, sf), "uid").select("uid", "mid", "score", "ts")
+    return layout.lookup(spark, _laid_out(t.rating(spark, sf), "uid"), t.live(spark, sf)).select("uid", "mid", "score", "ts")
 
 
 @register
@@ -875,7 +882,8 @@ def view_guess(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def view_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(serving.view_stream(_live_list(spark, sf), t.user_pref(spark, sf), 10), "score")
+    heads = layout.lookup(spark, _laid_out(_live_list(spark, sf), "uid"), t.user_pref(spark, sf))
+    return rounded(serving.view_stream(heads, t.user_pref(spark, sf), 10), "score")
 
 
 @register
@@ -886,12 +894,12 @@ def view_genre_top(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def view_item(spark: SparkSession, sf: str) -> DataFrame:
-    return serving.view_item(t.movie(spark, sf), stats.hot_items(_monthly(spark, sf)))
+    return layout.lookup(spark, _laid_out(t.movie(spark, sf), "mid"), stats.hot_items(_monthly(spark, sf)))
 
 
 @register
 def view_tags(spark: SparkSession, sf: str) -> DataFrame:
-    return serving.view_tags(t.tag(spark, sf), t.movie(spark, sf))
+    return layout.lookup(spark, _laid_out(t.tag(spark, sf), "mid"), t.movie(spark, sf))
 
 
 @register

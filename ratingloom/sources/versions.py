@@ -98,3 +98,22 @@ def kept_buckets(spark: SparkSession, path: str) -> int | None:
     """The number of buckets that a table was laid out in."""
     found = [int(n.removeprefix("_buckets.")) for n in names_below(spark, path) if n.startswith("_buckets.")]
     return found[0] if found else None
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A new file; Spark's readers pass over those whose name begins with an underscore."""
+    fs, target = file_system(spark, path)
+    out = fs.create(target, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, target = file_system(spark, path)
+    if not fs.exists(target):
+        raise FileNotFoundError(path)
+    opened = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(opened, "UTF-8")
+    finally:
+        opened.close()

@@ -5,16 +5,20 @@ a task is split by the pattern and merged once. The rank map is the vocabulary f
 the driver (its size is the vocabulary's, whatever the data) and sent to every task.
 
 Defined cases: a null or empty text has no tokens and decodes to nothing; repeated rows and rows
-without an id give one output row each; the length of a text is not bounded.
+without an id give one output row each; the length of a text is not bounded; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
 
 import base64
 import functools
+import hashlib
+import itertools
 import json
 import re
 import sys
+import types
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -28,8 +32,10 @@ from ratingloom.llm.common import map_carried, sha256
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Distinct pieces a task remembers before it starts afresh; bounds memory, not results.
-REMEMBERED = 250_000
+#: Bytes that a Python worker remembers pieces and words in; bounds memory, not results.
+REMEMBERED = 256 << 20
+#: What an entry takes beside its characters: keys, values and the slot of the dictionary.
+_ENTRY, _PER_CHAR = 260, 4
 #: Words folded at once, and the longest that is folded with others.
 FOLDED, WIDEST = 20_000, 48
 #: A space followed by a visible character always begins a new pretoken.
@@ -117,6 +123,7 @@ class RankTable:
 
     def __init__(self, ranks: Ranks):
         self.ranks = ranks
+        self.digest = hashlib.sha256(repr(sorted(ranks.items(), key=lambda r: r[1])).encode()).hexdigest()
         self.bytes_ids = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
         if (self.bytes_ids < 0).any():
             raise ValueError("a byte-level vocabulary holds every single byte")
@@ -199,13 +206,34 @@ class RankTable:
             pairs[inner, left - 1] = self.find(ids[inner, left - 1], lowest[at > 0])
 
 
-class Pieces(dict):
-    """What a task knows of each distinct piece of text. ``learn`` splits the new pieces of many texts
-    into words and merges the words together; ``keep`` turns ids into what is remembered."""
+class Memory(dict):
+    """A dictionary by text that forgets its older half when its estimated bytes pass ``budget``."""
 
-    def __init__(self, pattern: str, table: RankTable, keep: Callable[[list[int]], object]):
+    def __init__(self, budget: int):
         super().__init__()
+        self.budget, self.taken = budget, 0
+
+    def room(self, keys: list[str]) -> bool:
+        """Make room for new keys; true if something was forgotten."""
+        needed = len(keys) * _ENTRY + _PER_CHAR * sum(map(len, keys))
+        forgotten = self.taken + needed > self.budget and len(self) > 0
+        while self and self.taken + needed > self.budget:
+            for key in list(itertools.islice(self, (len(self) + 1) // 2)):
+                self.taken -= _ENTRY + _PER_CHAR * len(key)
+                del self[key]
+        self.taken += needed
+        return forgotten
+
+
+class Pieces(Memory):
+    """What is known of each distinct piece of text. ``learn`` splits the new pieces of many texts into
+    words and merges the new words together; ``keep`` turns ids into what is remembered. Words are
+    remembered apart, so a piece that differs in its punctuation merges nothing again."""
+
+    def __init__(self, pattern: str, table: RankTable, keep: Callable[[list[int]], object], budget: int = REMEMBERED):
+        super().__init__(budget * 2 // 3)
         self.find, self.table, self.keep = regex.compile(pattern).findall, table, keep
+        self.words = Memory(budget // 3)
 
     def _words(self, piece: str) -> list[str]:
         if piece.isalpha() or (piece[:1] == " " and piece[1:].isalpha()):
@@ -216,15 +244,32 @@ class Pieces(dict):
 
     def learn(self, pieces: set[str]) -> None:
         new = [p for p in pieces if p not in self]
-        if len(self) + len(new) > REMEMBERED:
-            self.clear()
-            new = list(pieces)
+        if self.room(new):
+            # What was forgotten may be asked for again.
+            again = [p for p in pieces if p not in self]
+            self.taken += sum(_ENTRY + _PER_CHAR * len(p) for p in again) - sum(_ENTRY + _PER_CHAR * len(p) for p in new)
+            new = again
         split = [self._words(p[len(FIRST) :] if p.startswith(FIRST) else " " + p) for p in new]
-        words = list({w for ws in split for w in ws})
-        merged = dict(zip(words, self.table.merge_words([w.encode("utf-8", "surrogatepass") for w in words]), strict=True))
+        asked = {w for ws in split for w in ws}
+        merged = {w: self.words[w] for w in asked if w in self.words}
+        words = [w for w in asked if w not in merged]
+        self.words.room(words)
+        made = self.table.merge_words([w.encode("utf-8", "surrogatepass") for w in words])
+        fresh = {w: np.array(ids, np.int32).tobytes() for w, ids in zip(words, made, strict=True)}
+        self.words.update(fresh)
+        merged |= fresh
         keep = self.keep
         for piece, ws in zip(new, split, strict=True):
-            self[piece] = keep(merged[ws[0]] if len(ws) == 1 else [i for w in ws for i in merged[w]])
+            self[piece] = keep(np.frombuffer(merged[ws[0]] if len(ws) == 1 else b"".join([merged[w] for w in ws]), np.int32).tolist())
+
+
+def worker_pieces(name: tuple, make: Callable[[], Pieces]) -> Pieces:
+    """The pieces that this Python worker knows under ``name``; tasks of one worker share them. Only one
+    name is remembered, so the budget holds for the worker."""
+    held = sys.modules.setdefault("_ratingloom_pieces", types.ModuleType("_ratingloom_pieces"))
+    if getattr(held, "name", None) != name:
+        held.name, held.pieces = name, make()
+    return held.pieces
 
 
 def cut_text(text: str | None) -> list[str]:
@@ -250,11 +295,17 @@ def pieces_by_id(ranks: Ranks) -> list[bytes]:
 
 
 def encode_texts(
-    df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", id_col: str = "doc_id", carry: tuple[str, ...] = ()
+    df: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    text_col: str = "text",
+    id_col: str = "doc_id",
+    carry: tuple[str, ...] = (),
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """(id_col, ids array<int>, decoded, carried columns): the token ids of every whole text, and the
-    text that they decode to."""
-    return _encoded(df, ranks_path, pattern, text_col, id_col, "ids array<int>, decoded string", _keep_ids, _as_ids, carry)
+    text that they decode to. ``remembered`` bounds the bytes of a worker's memory of pieces."""
+    return _encoded(df, ranks_path, pattern, text_col, id_col, "ids array<int>, decoded string", _keep_ids, _as_ids, carry, remembered)
 
 
 def _keep_ids(pieces: list[bytes], ids: list[int]) -> tuple[bytes, bytes]:
@@ -295,9 +346,10 @@ def _encoded(
     keep: Callable[[list[bytes], list[int]], object],
     finish: Callable[[list], tuple],
     carry: tuple[str, ...] = (),
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     table = shared_table(df, ranks_path)
-    return map_carried(df, id_col, text_col, carry, functools.partial(_encoder, table, pattern, keep, finish), schema)
+    return map_carried(df, id_col, text_col, carry, functools.partial(_encoder, table, pattern, keep, finish, remembered), schema)
 
 
 def shared_table(df: DataFrame, ranks_path: str):
@@ -305,9 +357,12 @@ def shared_table(df: DataFrame, ranks_path: str):
     return df.sparkSession.sparkContext.broadcast(RankTable(read_ranks(ranks_path)))
 
 
-def _encoder(table, pattern: str, keep: Callable, finish: Callable) -> Callable[[list[str | None]], Iterator[tuple]]:
-    pieces = pieces_by_id(table.value.ranks)
-    known = Pieces(pattern, table.value, functools.partial(keep, pieces))
+def _encoder(table, pattern: str, keep: Callable, finish: Callable, remembered: int) -> Callable[[list[str | None]], Iterator[tuple]]:
+    def made() -> Pieces:
+        pieces = pieces_by_id(table.value.ranks)
+        return Pieces(pattern, table.value, functools.partial(keep, pieces), remembered)
+
+    known = worker_pieces((table.value.digest, pattern, keep.__name__, remembered), made)
 
     def apply(texts: list[str | None]) -> Iterator[tuple]:
         cuts = [cut_text(text) for text in texts]

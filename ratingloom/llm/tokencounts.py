@@ -24,7 +24,7 @@ import numpy as np
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
-from ratingloom.llm.bpe import Pieces, byte_lengths, cut_text, shared_table
+from ratingloom.llm.bpe import Pieces, byte_lengths, cut_text, shared_table, worker_pieces
 from ratingloom.llm.common import map_rows_together
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -74,7 +74,7 @@ def section_token_counts(
 
 def _counter(table, pattern: str, rule: str) -> Callable[[list[tuple]], Iterator[tuple]]:
     lengths = byte_lengths(table.value.ranks)
-    known = Pieces(pattern, table.value, lambda ids: lengths[ids])
+    known = worker_pieces((table.value.digest, pattern, "lengths"), lambda: Pieces(pattern, table.value, lambda ids: lengths[ids]))
 
     def apply(rows: list[tuple]) -> Iterator[tuple]:
         cuts = [cut_text(text) for _, text in rows]

@@ -10,8 +10,9 @@
    words long, and are cut from it.
 
 No pair of documents is ever made, so a passage that a third of all documents share costs one row
-per document and window. Texts are shuffled twice, windows only where a seed is shared; every step
-starts from rows written below the shared folder.
+per document and window. Texts are read as words three times and shuffled twice, windows are made
+only where a seed is shared; seeds and windows are written once and every step starts from rows
+written below the shared folder.
 
 Defined cases: a null or empty text has no words and keeps nothing; texts shorter than a window are
 kept whole; rows with one id count as one document and are each judged against smaller ids; a row
@@ -60,14 +61,14 @@ def _seed_rows(length: int, seed_words: int) -> Callable[[list[tuple]], Iterator
     known = WordHashes()
 
     def apply(rows: list[tuple]) -> Iterator[tuple]:
-        runs = Runs(known, [space_words(text) for _, text in rows])
+        runs = Runs(known, [space_words(text) for _, _, text in rows])
         seeds, whole = _seeds(runs, length, seed_words), runs.whole(length)
         if not whole.any():
             return
         owner = runs.owner[: len(seeds)]
         keep = _each_once(seeds, owner, np.flatnonzero(whole))
-        ids = np.array([key for key, _ in rows], np.int64)
-        yield seeds[keep].view(np.int64), ids[owner[keep]]
+        ids, said = (np.array([row[i] for row in rows], np.int64) for i in (0, 1))
+        yield seeds[keep].view(np.int64), said[owner[keep]], ids[owner[keep]]
 
     return apply
 
@@ -188,24 +189,29 @@ def remove_repeats(
     named = texts.where("doc_id is not null and text is not null")
     copied, copied_path = stored(whole_copies(named), "copies")
 
-    of_text = map_arrays(
-        named.select(F.xxhash64("text").alias("said"), "text"), functools.partial(_seed_rows, length, seed_words), "seed bigint, said bigint"
+    made = map_arrays(
+        named.select("doc_id", F.xxhash64("text").alias("said"), "text"),
+        functools.partial(_seed_rows, length, seed_words),
+        "seed bigint, said bigint, doc_id bigint",
     )
-    shared = of_text.groupBy("seed").agg(F.min("said").alias("low"), F.max("said").alias("high")).where("low < high")
-    seeds = map_arrays(named, functools.partial(_seed_rows, length, seed_words), "seed bigint, doc_id bigint")
-    by_doc = seeds.join(shared.select("seed"), "seed").groupBy("doc_id").agg(F.collect_list("seed").alias("seeds"))
-    by_doc, by_doc_path = stored(by_doc.join(copied, "doc_id", "left"), "seeds")
+    seeds, seeds_path = stored(made, "seeds")
+    shared = seeds.groupBy("seed").agg(F.min("said").alias("low"), F.max("said").alias("high")).where("low < high")
+    by_doc = seeds.select("seed", "doc_id").join(shared.select("seed"), "seed").groupBy("doc_id").agg(F.collect_list("seed").alias("seeds"))
+    by_doc, by_doc_path = stored(by_doc.join(copied, "doc_id", "left"), "shared-seeds")
+    forget(df.sparkSession, seeds_path)
 
     first_said = named.join(by_doc, "doc_id").where(~_is_copy())
-    windows = map_arrays(
+    made = map_arrays(
         first_said.select("doc_id", "text", "seeds"),
         functools.partial(_window_rows, length, seed_words),
         "one bigint, two bigint, doc_id bigint",
     )
+    windows, windows_path = stored(made, "windows")
+    forget(df.sparkSession, by_doc_path)
     owners = windows.groupBy("one", "two").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
     repeated = windows.join(owners, ["one", "two"]).where("doc_id > low").groupBy("doc_id").agg(F.collect_list("one").alias("found"))
     repeated, _ = stored(repeated.join(copied, "doc_id", "full"), "repeats")
-    forget(df.sparkSession, copied_path, by_doc_path)
+    forget(df.sparkSession, copied_path, windows_path)
 
     columns = (id_col, *[c for c in carry if c != id_col])
     rows = df.select(F.struct(*columns).alias("carried"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +31,8 @@ STRIPE_TERMS = 4_000_000
 BLOCK_BYTES = 16_000_000
 SLACK = 10.0 ** (1 - SCORE_DIGITS)
 SMALLEST_BLOCK = 250
+# Rows of a block of items by norm: small, so that a stop saves much.
+NORM_BLOCK = 4096
 PACKED = "block int, payload binary"
 
 
@@ -246,6 +248,94 @@ def _best(
     return behind.mapInArrow(_best_kernel(floor, k, unit, sparse, right is None), "id long, other long, score double")
 
 
+def _pack_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All rows of a partition as one payload, with the partition's number and its greatest norm."""
+    parts = [b for b in batches if b.num_rows]
+    if not parts:
+        return
+    table = pa.Table.from_batches(parts).combine_chunks()
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    top = float(np.sqrt((_dense(table) ** 2).sum(axis=1)).max())
+    columns = [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.array([top])]
+    yield pa.RecordBatch.from_arrays(columns, names=["block", "payload", "top"])
+
+
+def _blocks_by_norm(vectors: DataFrame, block_rows: int | None) -> DataFrame:
+    """Blocks (block, payload, top) of equal size, long vectors first; equal norms are dealt by id."""
+    rows, width = vectors.agg(F.count("*"), F.max(F.size("features"))).first()
+    block_rows = block_rows or max(1, min(BLOCK_BYTES // (8 * max(1, width or 1)), NORM_BLOCK))
+    norm = F.aggregate("features", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
+    ranged = vectors.withColumn("_norm", norm).repartitionByRange(max(1, math.ceil(rows / block_rows)), F.desc("_norm"), "id")
+    return ranged.select("id", "features").mapInArrow(_pack_part, "block int, payload binary, top double")
+
+
+def _norm_kernel(k: int, counted: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The ``k`` best positive products of every row of a block (side 0) over blocks of falling norm
+    behind it (side 1). By Cauchy and Schwarz no product with a block is above the row's norm times
+    the block's greatest: once that is under what every row keeps, the blocks left are passed over.
+
+    With ``counted`` it yields how many blocks were met instead.
+    """
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[np.ndarray, _Dense, np.ndarray] | None = None
+        best, over, met, seen = None, False, 0, 0
+
+        def finished() -> Iterator[pa.RecordBatch]:
+            if counted and held is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([met], pa.int64()), pa.array([seen], pa.int64())], names=["met", "blocks"])
+            elif best is not None and len(best[0]):
+                yield _out(*best)
+
+        for batch in batches:
+            for side, payload, top in zip(*[batch.column(c).to_pylist() for c in ("side", "payload", "top")]):
+                if side == 0:
+                    yield from finished()
+                    ids, users = _block(payload, False, False)
+                    held, over, met, seen = (ids, users, np.sqrt((users.matrix**2).sum(axis=1))), False, 0, 0
+                    best = tuple(np.empty(0, t) for t in (np.int64, np.int64, np.float64))
+                    continue
+                seen += 1
+                over = over or bool((held[2] * top < _kept_least(held[0], best, k) - SLACK).all())
+                if over:
+                    continue
+                met += 1
+                others, items = _block(payload, False, False)
+                for start, rows in held[1].products(items):
+                    best = _merged(best, _found(rows, held[0], others, start, 0.0, k, False), k)
+        yield from finished()
+
+    return multiply
+
+
+def _kept_least(ids: np.ndarray, best: tuple[np.ndarray, ...], k: int) -> np.ndarray:
+    """The worst kept product of every row; what is not positive is never kept, so 0 while there is room."""
+    order = np.argsort(ids)
+    at = order[np.searchsorted(ids[order], best[0])]
+    count = np.bincount(at, minlength=len(ids))
+    least = np.full(len(ids), np.inf)
+    np.minimum.at(least, at, best[2])
+    return np.where(count >= k, least, 0.0)
+
+
+def _best_by_norm(users: DataFrame, items: DataFrame, k: int, block_rows: int | None, max_tasks: int, counted: bool = False) -> DataFrame:
+    left, count = _blocks(users, block_rows, False)
+    right = _blocks_by_norm(items, block_rows)
+    rows = left.select(F.col("block").alias("i"), F.lit(0).alias("side"), "block", "payload", F.lit(0.0).alias("top"))
+    others = right.select(F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias("i"), F.lit(1).alias("side"), "block", "payload", "top")
+    behind = rows.unionByName(others).repartition(max(1, min(count, max_tasks)), "i").sortWithinPartitions("i", "side", "block")
+    return behind.mapInArrow(_norm_kernel(k, counted), "met long, blocks long" if counted else "id long, other long, score double")
+
+
+def blocks_met(user_factor: DataFrame, item_factor: DataFrame, k: int, block_rows: int | None = None) -> DataFrame:
+    """(met, blocks) per block of users: the item blocks that ``best_products`` multiplies, and all."""
+    users = user_factor.select(F.col("uid").cast("long").alias("id"), "features")
+    items = item_factor.select(F.col("mid").cast("long").alias("id"), "features")
+    return _best_by_norm(users, items, k, block_rows, 10_000, counted=True)
+
+
 def all_pairs_cosine(
     vectors: DataFrame,
     min_sim: float = MIN_SIMILARITY,
@@ -276,10 +366,11 @@ def best_products(
     smaller item.
 
     A block of users meets the item blocks one after the other in one task and holds the running
-    best, so neither the product matrix nor a cut per pair of blocks is ever written out.
+    best, so neither the product matrix nor a cut per pair of blocks is ever written out. Item blocks
+    come by falling norm, and those that can add nothing are passed over.
     """
     users = user_factor.select(F.col("uid").cast("long").alias("id"), "features")
     items = item_factor.select(F.col("mid").cast("long").alias("id"), "features")
-    found = _best(users, items, 0.0, k, False, False, block_rows, max_tasks)
+    found = _best_by_norm(users, items, k, block_rows, max_tasks)
     uid, mid = user_factor.schema["uid"].dataType, item_factor.schema["mid"].dataType
     return found.select(F.col("id").cast(uid).alias("uid"), F.col("other").cast(mid).alias("mid"), "score")

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from ratingloom import schemas
 from ratingloom.functions import scalars
 from ratingloom.functions.queues import import_queue
-from ratingloom.operators import factors, lists, realtime, search, stats, vectors
+from ratingloom.operators import blockmax, factors, lists, realtime, search, stats, vectors
 from ratingloom.plans import content, serving
 from ratingloom.plans import standins as t
 from ratingloom.session import materialised, scratch, shared_dir
@@ -700,6 +700,12 @@ def profile_similarity(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(content.profile_similarity(profiles, buckets=None), "score")
 
 
+@register
+def profile_similarity_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    profiles = content.content_profiles(t.movie(spark, sf))
+    return rounded(content.profile_similarity(profiles, buckets=None, indexed=True), "score")
+
+
 @register
 def similar_to(spark: SparkSession, sf: str) -> DataFrame:
     movie = t.movie(spark, sf)
@@ -830,6 +836,12 @@ def query_search(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(search.search(_corpus(spark, sf), names), "score")
 
 
+@register
+def search_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    names = t.movie(spark, sf).groupBy(F.col("name").alias("text")).agg(F.min("mid").alias("qid"))
+    return rounded(blockmax.search_blocks(blockmax.index_blocks(_corpus(spark, sf)), names), "score")
+
+
 @register
 def search_index(spark: SparkSession, sf: str) -> DataFrame:
     corpus, fields = _corpus(spark, sf), ("name", "descri")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ratingloom.functions.scalars import stable
 from ratingloom.operators.lists import by_score, filter_similar, top_k
+from ratingloom.operators.sparse import sparse_cosine
 from ratingloom.operators.vectors import all_pairs_cosine
 from ratingloom.schemas import HASH_BUCKETS, MIN_SIMILARITY
 from ratingloom.session import materialised
@@ -85,15 +86,21 @@ def _profile_vectors(profiles: DataFrame, buckets: int | None) -> DataFrame:
 
 
 def profile_similarity(
-    profiles: DataFrame, min_sim: float = MIN_SIMILARITY, buckets: int | None = HASH_BUCKETS, k: int | None = None
+    profiles: DataFrame,
+    min_sim: float = MIN_SIMILARITY,
+    buckets: int | None = HASH_BUCKETS,
+    k: int | None = None,
+    indexed: bool = False,
 ) -> DataFrame:
     """(gid, sim_gid, score): similar profiles, both directions, whole lists or the ``k`` best.
+    ``indexed`` makes whole lists by an index of prefixes instead of products of blocks: for many
+    terms, of which a profile has few.
 
     A profile with weight on some word is similar to itself with score 1, which stands for the pairs
     among its members.
     """
     vectors = materialised(_profile_vectors(profiles, buckets), "profile-vectors")
-    pairs = all_pairs_cosine(vectors, min_sim, k, sparse=True)
+    pairs = sparse_cosine(vectors, min_sim) if indexed and k is None else all_pairs_cosine(vectors, min_sim, k, sparse=True)
     pairs = pairs.select(F.col("mid").alias("gid"), F.col("sim_mid").alias("sim_gid"), "score")
     weighted = F.exists("features", lambda f: f["weight"] != 0)
     alone = vectors.where(weighted).select(F.col("mid").alias("gid"), F.col("mid").alias("sim_gid"), F.lit(1.0).alias("score"))

@@ -468,11 +468,14 @@ ORACLES: dict[str, str] = {
     "batch_recommend": sql("select uid, mid, round(score, 6) score from scored", "scored"),
 }
 
+ORACLES["search_blocks"] = ORACLES["search"]
+ORACLES["profile_similarity_indexed"] = ORACLES["profile_similarity"]
+
 # Positions are ints in the results; DuckDB numbers rows with bigints.
 _POSITIONS = {
     "rank": (
         "upsert_user_recs", "match_pref_genre", "rank_lists", "genre_top", "user_top", "similar_items", "similar_items_top",
-        "top_candidates", "hybrid", "hybrid_sum", "with_fallback", "content_similarity", "top_products", "search", "search_index",
+        "top_candidates", "hybrid", "hybrid_sum", "with_fallback", "content_similarity", "top_products", "search", "search_blocks", "search_index",
         "more_like_this", "fuzzy_genre", "view_similar", "view_wish", "view_guess", "view_stream", "view_genre_top", "stream_recommend",
     ),
     "pos": ("candidate_x_recent", "sim_lookup", "recent_ratings", "head_of_list", "import_queue", "stream_recent_state", "stream_seeded_queue"),

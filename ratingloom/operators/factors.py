@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -154,20 +157,61 @@ def tune_als(
     lambdas: Sequence[float] = TUNING_LAMBDAS,
     iterations: int = ALS_ITERATIONS,
     seed: int = 7,
+    at_once: int = 3,
 ) -> DataFrame:
-    """(rank, lambda, rmse), one row per grid cell; both parts are read once for the whole grid."""
+    """(rank, lambda, rmse), one row per grid cell; both parts are read once for the whole grid.
+
+    ``at_once`` cells are fitted side by side, each in a job group and a scheduler pool of its own, so
+    one cell's last tasks do not leave the cluster idle; pools share it where the session runs with
+    ``spark.scheduler.mode=FAIR``. If a cell fails the jobs of the others are cancelled.
+    """
+    spark = train.sparkSession
+    context, run = spark.sparkContext, uuid.uuid4().hex
     train = project_triples(train).persist(StorageLevel.MEMORY_AND_DISK)
     test = project_triples(test).persist(StorageLevel.MEMORY_AND_DISK)
-    cells = []
-    for rank in ranks:
-        for reg in lambdas:
+
+    def cell(rank: int, reg: float) -> tuple[int, float, float]:
+        name = f"tune-{run}-{rank}-{reg}"
+        context.setJobGroup(name, f"ALS of rank {rank}, lambda {reg}", True)
+        context.setLocalProperty("spark.scheduler.pool", name)
+        try:
             model = train_als(train, rank, iterations, reg, seed)
             error = rmse(test, predict_pairs(model, test)).first()["rmse"]
-            cells.append((rank, float(reg), error))
-            free_factors(train.sparkSession)
-    train.unpersist()
-    test.unpersist()
-    return train.sparkSession.createDataFrame(cells, "rank int, lambda double, rmse double")
+            free_model(model)
+            return rank, float(reg), error
+        finally:
+            context.setLocalProperty("spark.scheduler.pool", None)
+
+    grid = [(rank, reg) for rank in ranks for reg in lambdas]
+    try:
+        # The first cell reads both parts; the others find them held.
+        cells = [cell(*grid[0])] if grid else []
+        with ThreadPoolExecutor(max(1, at_once)) as pool:
+            running = [pool.submit(inheritable_thread_target(spark)(cell), *g) for g in grid[1:]]
+            try:
+                cells += [r.result() for r in running]
+            except BaseException:
+                for r in running:
+                    r.cancel()
+                for rank, reg in grid:
+                    context.cancelJobGroup(f"tune-{run}-{rank}-{reg}")
+                raise
+    finally:
+        train.unpersist()
+        test.unpersist()
+    return spark.createDataFrame(cells, "rank int, lambda double, rmse double")
+
+
+def free_model(model: ALSModel) -> None:
+    """Drop the cached factors of one model; those of others stay."""
+    todo = [f._jdf.queryExecution().toRdd() for f in (model.userFactors, model.itemFactors)]
+    while todo:
+        rdd = todo.pop()
+        if rdd.name() in ("userFactors", "itemFactors"):
+            rdd.unpersist(False)
+            continue
+        needed = rdd.dependencies()
+        todo += [needed.apply(i).rdd() for i in range(needed.size())]
 
 
 def free_factors(spark: SparkSession) -> None:

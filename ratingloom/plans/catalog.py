@@ -19,7 +19,7 @@ from ratingloom.session import materialised, scratch, shared_dir
 from ratingloom.sources import files, layout, rejects, sinks, streams, tail, views
 from ratingloom.sources.keyed import KeyedTable
 from ratingloom.streaming import live as live_stream
-from ratingloom.streaming import logs, queues
+from ratingloom.streaming import counts, logs, queues
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -1033,6 +1033,24 @@ def stream_recommend(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(lists.list_rows(sinks.current_user_recs(spark, target), "uid"), "score")
 
 
+@register
+def stream_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts by month and mean scores from parts that micro-batches added, with a compaction and a
+    replayed batch in between."""
+    store = counts.StatsStore(spark, scratch(spark, "stats"))
+    store.add(t.rating(spark, sf), 0)
+    store.compact()
+    store.add(t.rating(spark, sf), 0)
+    events = rejects.good(_event_stream(spark, sf))
+    checkpoint = scratch(spark, "stats-checkpoint")
+    later = counts.StatsStore(spark, scratch(spark, "stats"))
+    counts.stream_statistics(events, later, checkpoint, available_now=True).awaitTermination()
+    later.compact()
+    first, second = (s.parts().select("mid", "yearmonth", "n", "total") for s in (store, later))
+    both = first.unionByName(second).groupBy("mid", "yearmonth").agg(F.sum("n").alias("num"), F.sum("total").alias("_total"))
+    return rounded(both.select("mid", "yearmonth", "num", (F.col("_total") / F.col("num")).alias("avg")), "avg")
+
+
 @register
 def stream_log_tail(spark: SparkSession, sf: str) -> DataFrame:
     """Rating texts of the lines that were written after the stream began, which a second run of the

@@ -459,6 +459,12 @@ ORACLES: dict[str, str] = {
         (partition by uid order by ts desc, mid desc, score desc) pos from live) where pos <= 40""",
         "live",
     ),
+    "stream_statistics": sql(
+        """select mid, cast(year(to_timestamp(ts) at time zone 'UTC') * 100 + month(to_timestamp(ts) at time zone 'UTC') as int) as yearmonth,
+        count(*) as num, round(avg(score), 6) as avg from (select mid, ts, score from rating union all select mid, ts, score from live)
+        group by 1, 2""",
+        "rating", "live",
+    ),
     "stream_log_tail": sql(
         """select uid || '|' || mid || '|' || score || '|' || ts as value from live
         where ts >= (select (min(ts) + max(ts)) / 2 from ev)""",

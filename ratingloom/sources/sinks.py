@@ -168,10 +168,17 @@ def store_similarity(ranked: DataFrame, path: str, buckets: int = 64) -> None:
     versions.keep_buckets(spread.sparkSession, path, buckets)
 
 
-def similar_of(spark: SparkSession, path: str, mids: DataFrame) -> DataFrame:
-    """The stored lists of the given items and of no others' folders."""
+def kept_sim_buckets(spark: SparkSession, path: str) -> int:
+    """The buckets that a stored similarity table was laid out in."""
     buckets = versions.kept_buckets(spark, path)
     if buckets is None:
         raise FileNotFoundError(f"no similarity table is stored in {path}")
+    return buckets
+
+
+def similar_of(spark: SparkSession, path: str, mids: DataFrame, folders: list[int] | None = None) -> DataFrame:
+    """The stored lists of the given items and of no others' folders; ``folders`` are those of the items
+    where the caller knows them."""
+    asked = asked_buckets(mids, "mid", kept_sim_buckets(spark, path)) if folders is None else folders
     stored = spark.read.schema("mid int, rank int, sim_mid int, score double, bucket int").parquet(path)
-    return stored.where(F.col("bucket").isin(asked_buckets(mids, "mid", buckets))).drop("bucket")
+    return stored.where(F.col("bucket").isin(asked)).drop("bucket")

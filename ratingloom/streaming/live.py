@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import sys
+import uuid
 from collections.abc import Iterable, Iterator
 from functools import reduce
 from typing import Any
@@ -22,7 +23,7 @@ from ratingloom.operators import realtime
 from ratingloom.schemas import CANDIDATES, QUEUE_LENGTH, RATING, RECENT_RATINGS, SCORING_GATE
 from ratingloom.sources import versions
 from ratingloom.sources.rejects import MARK, good, rejected
-from ratingloom.sources.sinks import asked_buckets, bucket_of, newest_state, similar_of, store_batch, upsert_user_recs
+from ratingloom.sources.sinks import asked_buckets, bucket_of, kept_sim_buckets, newest_state, similar_of, store_batch, upsert_user_recs
 from ratingloom.streaming.logs import start
 
 # Executors get the task functions by value and need no installed copy of this package.
@@ -129,34 +130,57 @@ class RatingStore:
             rows = self._laid_out(batch).select(*RATING.names, part).repartition(BATCH_PARTS, "part")
             rows.write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/batch_id={batch_id}")
 
-    def _stored(self, buckets: list[int] | None = None) -> tuple[list[DataFrame], int]:
+    def remove(self, keys: DataFrame) -> None:
+        """Take the stored ratings of the given (uid, mid) pairs out; those of later batches count again.
+        The keys are stored beside the rows until ``compact`` applies them; neither runs while the
+        other does."""
+        version = versions.current_version(self.spark, self.path)
+        folders = versions.batch_folders(self.spark, self.path, version.through if version else -1)
+        after = int(folders[-1].rsplit("=", 1)[1]) if folders else (version.through if version else -1)
+        name = f"{version.number if version else -1}.{after}.{uuid.uuid4().hex}"
+        gone = keys.select(F.col("uid").cast("int").alias("uid"), F.col("mid").cast("int").alias("mid")).distinct()
+        gone.withColumn("after", F.lit(after).cast("long")).write.parquet(f"{self.path}/gone/{name}")
+
+    def _gone(self, version: versions.Version | None) -> DataFrame | None:
+        """(uid, mid, after): pairs taken out since the current version, and the last batch they hide."""
+        number = version.number if version else -1
+        names = [n for n in versions.names_below(self.spark, f"{self.path}/gone") if n.split(".")[0] == str(number)]
+        if not names:
+            return None
+        rows = self.spark.read.schema("uid int, mid int, after long").parquet(*[f"{self.path}/gone/{n}" for n in names])
+        return rows.groupBy("uid", "mid").agg(F.max("after").alias("_after"))
+
+    def _stored(self, buckets: list[int] | None = None) -> tuple[DataFrame, int]:
         """The current version and the batches after it, of all users or of those in the given buckets,
-        and the last batch number."""
+        without what was taken out, and the last batch number."""
         version = versions.current_version(self.spark, self.path)
         after = version.through if version else -1
         folders = versions.batch_folders(self.spark, self.path, after)
         parts = []
         if version:
-            parts.append(self._folders("bucket", buckets, [version.folder]))
+            parts.append(self._folders("bucket", buckets, [version.folder]).withColumn("_at", F.lit(after).cast("long")))
         if folders:
-            parts.append(self._folders("part", buckets and sorted({b % BATCH_PARTS for b in buckets}), folders))
-        return parts, int(folders[-1].rsplit("=", 1)[1]) if folders else after
-
-    def _folders(self, column: str, numbers: list[int] | None, paths: list[str]) -> DataFrame:
-        schema = T.StructType([*RATING.fields, T.StructField(column, T.IntegerType())])
+            chosen = buckets and sorted({b % BATCH_PARTS for b in buckets})
+            parts.append(self._folders("part", chosen, folders, "batch_id").withColumnRenamed("batch_id", "_at"))
+        rows, gone = reduce(DataFrame.unionByName, parts), self._gone(version)
+        if gone is not None:
+            rows = rows.join(gone, ["uid", "mid"], "left").where("_after is null or _at > _after")
+        return rows.select(*RATING.names), int(folders[-1].rsplit("=", 1)[1]) if folders else after
+
+    def _folders(self, column: str, numbers: list[int] | None, paths: list[str], *more: str) -> DataFrame:
+        schema = T.StructType([*RATING.fields, T.StructField(column, T.IntegerType()), *[T.StructField(m, T.LongType()) for m in more]])
         rows = self.spark.read.schema(schema).option("basePath", self.path).parquet(*paths)
-        return (rows if numbers is None else rows.where(F.col(column).isin(numbers))).select(*RATING.names)
+        return (rows if numbers is None else rows.where(F.col(column).isin(numbers))).select(*RATING.names, *more)
 
-    def ratings_of(self, users: DataFrame) -> DataFrame:
-        """All ratings of the given users. The at most ``buckets`` folder numbers are looked up first,
-        so the scans of history and batches are pruned to them."""
-        parts, _ = self._stored(asked_buckets(users, "uid", self.buckets))
-        return reduce(DataFrame.unionByName, parts).join(users.select("uid").distinct(), "uid", "left_semi")
+    def ratings_of(self, users: DataFrame, buckets: list[int] | None = None) -> DataFrame:
+        """All ratings of the given users. Their at most ``buckets`` folder numbers are looked up first,
+        unless given, so the scans of history and batches are pruned to them."""
+        rows, _ = self._stored(asked_buckets(users, "uid", self.buckets) if buckets is None else buckets)
+        return rows.join(users.select("uid").distinct(), "uid", "left_semi")
 
     def compact(self) -> None:
         """Publish everything stored as the next version."""
-        parts, through = self._stored()
-        self.load_history(reduce(DataFrame.unionByName, parts), through)
+        self.load_history(*self._stored())
 
 
 def stream_recommend(
@@ -181,13 +205,21 @@ def stream_recommend(
     def rerank(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
-        if MARK in batch.columns:
+        marked = MARK in batch.columns
+        fresh = good(batch) if marked else batch
+        # One pass: whether anything is malformed, and the folders of the batch's users and items.
+        bad = F.count_if(F.col(MARK).isNotNull()) if marked else F.lit(0)
+        folders = batch.agg(
+            bad.alias("bad"),
+            F.collect_set(bucket_of("uid", ratings.buckets)).alias("users"),
+            F.collect_set(bucket_of("mid", kept_sim_buckets(spark, sim_path))).alias("items"),
+        ).first()
+        if folders["bad"]:
             rejected(batch).write.mode("overwrite").text(f"{ratings.path}/rejected/batch_id={batch_id}")
-        fresh = good(batch) if MARK in batch.columns else batch
         ratings.add(fresh, batch_id)
-        rated = ratings.ratings_of(fresh).persist()
+        rated = ratings.ratings_of(fresh, sorted(folders["users"])).persist()
         latest = realtime.latest_event(fresh).persist()
-        cand = realtime.top_candidates(latest, similar_of(spark, sim_path, latest), rated, k).persist()
+        cand = realtime.top_candidates(latest, similar_of(spark, sim_path, latest, sorted(folders["items"])), rated, k).persist()
         pairs = realtime.candidate_x_recent(cand, realtime.recent_ratings(rated, recent))
         scored = realtime.score_candidates(realtime.sim_lookup(pairs, similar_of(spark, sim_path, cand)), gate)
         upsert_user_recs(realtime.recommendation_lists(fresh, scored, k), target, batch_id)

@@ -134,6 +134,26 @@ def test_running_stream_goes_on_after_a_compaction(spark):
     assert sorted(map(key, found.collect())) == sorted(map(key, expected.collect()))
 
 
+def test_a_removed_rating_is_gone_until_it_is_given_again(spark):
+    store = live.RatingStore(spark, scratch(spark, "store"), buckets=4)
+    frame = lambda rows: spark.createDataFrame(rows, RATING)
+    rated = lambda: sorted(map(tuple, store.ratings_of(frame([(1, 0, 0.0, 0), (2, 0, 0.0, 0)])).collect()))
+    store.load_history(frame([(1, 2, 3.0, 4), (1, 3, 3.0, 4), (2, 2, 1.0, 1)]))
+    store.add(frame([(1, 2, 2.0, 9), (1, 5, 2.0, 9)]), 0)
+    store.remove(frame([(1, 2, 0.0, 0), (7, 7, 0.0, 0)]))
+    left = [(1, 3, 3.0, 4), (1, 5, 2.0, 9), (2, 2, 1.0, 1)]
+    assert rated() == left
+    store.add(frame([(1, 2, 2.0, 9), (1, 5, 2.0, 9)]), 0)
+    assert rated() == left
+    store.compact()
+    assert rated() == left
+    store.add(frame([(1, 2, 4.0, 20)]), 1)
+    assert rated() == sorted([*left, (1, 2, 4.0, 20)])
+    store.remove(frame([(1, 2, 0.0, 0)]))
+    store.add(frame([(1, 2, 5.0, 21)]), 2)
+    assert rated() == sorted([*left, (1, 2, 5.0, 21)])
+
+
 def test_scans_of_a_batch_are_pruned(spark):
     store, sim_path = live.RatingStore(spark, scratch(spark, "store"), buckets=16), scratch(spark, "sim")
     store.load_history(spark.createDataFrame(events(), RATING))

@@ -178,12 +178,15 @@ def _query_forms(word: Column, edits: int) -> Column:
     return F.when(size <= SHORT_WORD, _shortened(F.when(size <= SHORT_WORD, word).otherwise(""), edits)).otherwise(_pieces(word, size, edits, 0))
 
 
-def _word_forms(word: Column, edits: int) -> Column:
-    """What a vocabulary word can be met by: as a short word, as a long one, or near the limit as both."""
+def _word_forms(word: Column, edits: int, long_too: bool = True) -> Column:
+    """What a vocabulary word can be met by: as a short word, as a long one, or near the limit as both.
+    Where no query is long, ``long_too`` leaves the forms out that only long ones meet."""
     size = F.length(word)
     none = F.array().cast("array<string>")
     short = size <= SHORT_WORD + edits
     as_short = F.when(short, _shortened(F.when(short, word).otherwise(""), edits)).otherwise(none)
+    if not long_too:
+        return as_short
     cuts = F.flatten(F.array(*[_pieces(word, size + d, edits, edits) for d in range(-edits, edits + 1)]))
     return F.concat(as_short, F.when(size > SHORT_WORD - edits, cuts).otherwise(none))
 
@@ -202,8 +205,9 @@ def fuzzy_genre(corpus: DataFrame, queries: DataFrame, n: int = 10, max_edits: s
     tokens = corpus.select("mid", F.explode(F.array_distinct(words("genres"))).alias("token"))
     near_lengths = wanted.select(F.explode(F.sequence(F.length("q") - depth, F.length("q") + depth)).alias("_len")).distinct()
     vocabulary = tokens.select("token").distinct().withColumn("_len", F.length("token")).join(near_lengths, "_len", "left_semi")
+    long_too = (wanted.agg(F.max(F.length("q"))).first()[0] or 0) > SHORT_WORD
     left = wanted.withColumn("d", allowed.cast("int")).withColumn("form", F.explode(_query_forms(F.col("q"), depth)))
-    right = vocabulary.select("token", F.explode(_word_forms(F.col("token"), depth)).alias("form"))
+    right = vocabulary.select("token", F.explode(_word_forms(F.col("token"), depth, long_too)).alias("form"))
     distance = F.levenshtein("q", "token", depth)
     shorter = F.least(F.length("q"), F.length("token"))
     near = (

@@ -128,7 +128,7 @@ def upsert_user_recs(spark: SparkSession, sf: str) -> DataFrame:
     target = scratch(spark, "user-recs")
     first = lists.rank_lists(_top_products(spark, sf), "uid", 20)
     events = t.live(spark, sf)
-    second = realtime.recommendation_lists(events, _scored(spark, sf)).persist()
+    second = materialised(realtime.recommendation_lists(events, _scored(spark, sf)), "lists")
     sinks.upsert_user_recs(first, target, 0)
     for _ in range(2):
         sinks.upsert_user_recs(second, target, 1)

@@ -42,10 +42,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 def ensure_shared_dir(spark: SparkSession, path: str | None = None) -> None:
     """Name a shared folder where the session has none: ``path``, or a folder beside the tables of
-    the session's warehouse, which every executor reaches."""
+    the session's warehouse. A warehouse on a machine's own disk will do for a local session only."""
     if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
         return
     warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    own = warehouse.startswith(("/", "file:"))
+    local = spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")
+    if path is None and own and not local:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share; the warehouse is a local one")
     spark.sparkContext.setCheckpointDir(path or f"{warehouse}/_ratingloom")
 
 

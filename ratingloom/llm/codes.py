@@ -43,6 +43,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 #: Rows of a block, and parts of a tree's leaf.
 BLOCK, LEAF = 4096, 16
+#: Levels that every node of parts is cut to before bounds that drop little stop it.
+COARSE = 3
 LARGEST = 1 << 26
 
 
@@ -90,10 +92,9 @@ def _reach(q_low: np.ndarray, q_high: np.ndarray, r_low: np.ndarray, r_high: np.
 
 def _descend(parts: Tree, book: Tree) -> tuple[np.ndarray, np.ndarray]:
     """(node of parts, entry): the entries that may be nearest to some part of the node. A node is a
-    leaf, or has one entry left; every part lies in one node."""
+    leaf, has one entry left, or keeps most entries; every part lies in one node."""
     q, r = np.zeros(1, np.int64), np.zeros(1, np.int64)
-    low, high = book.low, book.high
-    first = book.first_leaf
+    low, high, first, level, there = book.low, book.high, book.first_leaf, 0, 1
     done: list[tuple[np.ndarray, np.ndarray]] = []
     while True:
         least, most = _reach(parts.low[q], parts.high[q], low[r], high[r])
@@ -101,26 +102,26 @@ def _descend(parts: Tree, book: Tree) -> tuple[np.ndarray, np.ndarray]:
         np.minimum.at(bound, q, most)
         near = least <= bound[q]
         q, r = q[near], r[near]
-        at_entries, at_leaves = first < 0, q >= parts.first_leaf
-        if at_entries:
-            finished = at_leaves | (np.bincount(q, minlength=len(parts.low))[q] == 1)
+        left = np.bincount(q, minlength=len(parts.low))[q]
+        # A node that keeps most of what is there is not cut finer: that would cost more than it drops.
+        stays = (q >= parts.first_leaf) | ((left > there // 2) & (level >= COARSE))
+        if first < 0:
+            finished = stays | (left == 1)
             done.append((q[finished], r[finished]))
-            q, r, at_leaves = q[~finished], r[~finished], at_leaves[~finished]
+            q, r = q[~finished], r[~finished]
             if not len(q):
                 return tuple(np.concatenate(x) for x in zip(*done, strict=True))
-        if not at_entries and (r >= first).all():
+            q, r = np.concatenate((2 * q + 1, 2 * q + 2)), np.concatenate((r, r))
+        elif (r >= first).all():
             # Below its leaves the tree of entries has the entries themselves.
             count = book.stop[r] - book.start[r]
             at = np.repeat(book.start[r], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
             q, r = np.repeat(q, count), book.order[at]
-            low = high = book.points
-            first = -1
-            continue
-        if not at_entries:
-            q, r = np.repeat(q, 2), np.stack((2 * r + 1, 2 * r + 2), 1).ravel()
-            at_leaves = q >= parts.first_leaf
-        down = ~at_leaves
-        q, r = np.concatenate((q[at_leaves], 2 * q[down] + 1, 2 * q[down] + 2)), np.concatenate((r[at_leaves], r[down], r[down]))
+            low, high, first, there = book.points, book.points, -1, len(book.points)
+        else:
+            q, r, stays = np.repeat(q, 2), np.stack((2 * r + 1, 2 * r + 2), 1).ravel(), np.repeat(stays, 2)
+            level, there, down = level + 1, 2 * there, ~stays
+            q, r = np.concatenate((q[stays], 2 * q[down] + 1, 2 * q[down] + 2)), np.concatenate((r[stays], r[down], r[down]))
 
 
 def _exact(points: np.ndarray, entries: np.ndarray) -> np.ndarray:

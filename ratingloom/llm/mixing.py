@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 from ratingloom.llm.common import before, placed, stored
 from ratingloom.session import forget
 
-BLOCK, SHARD, CHUNK = 512, 1024, 65_536
+BLOCK, SHARD = 512, 1024
+#: Slots made from one row, and by one task while there are tasks left.
+CHUNK, TASK_SLOTS, TASKS = 8_192, 32_768, 20_000
 WEIGHTS, MOST, SEED, ROUNDS = (1, 2, 3), 3, 13, 24
 WORD = r"[^\x20\x09-\x0D]+"
 _PRIME = (1 << 31) - 1
@@ -112,7 +114,8 @@ def drawn_blocks(sources: DataFrame, block: int = BLOCK, shard: int = SHARD, see
     started = started.withColumn("here", F.when(F.col("pass") < F.col("passes"), F.col("size")).otherwise(F.col("rest")))
     started = started.withColumn("count", F.ceil(F.col("here") / block)).where("count > 0")
     chunked = started.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(count - 1) div {CHUNK}"))))
-    chunked = chunked.repartition("number", "pass", "chunk").withColumns(
+    tasks = min(TASKS, total // TASK_SLOTS + 1)
+    chunked = chunked.repartition(tasks, "number", "pass", "chunk").withColumns(
         {
             "keys": permutation_keys(F.col("whole"), str(seed), "block", F.col("number"), F.col("pass")),
             "deal": permutation_keys(F.lit(total).cast("long"), str(seed), "slot"),

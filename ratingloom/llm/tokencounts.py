@@ -11,13 +11,15 @@ that crosses a boundary is allocated by a named rule:
 Tokens outside all sections are not counted in any.
 
 Defined cases: a null or empty text has no sections and no row; an empty line is a section with the
-tokens of its line break; repeated rows give their sections once each; a null id stays null.
+tokens of its line break; repeated rows give their sections once each; a null id stays null; the
+length of a text is not bounded; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import functools
 import sys
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -73,15 +75,20 @@ def section_token_counts(
 
 
 def _counter(table, pattern: str, rule: str) -> Callable[[list[tuple]], Iterator[tuple]]:
-    lengths = byte_lengths(table.value.ranks)
-    known = worker_pieces((table.value.digest, pattern, "lengths"), lambda: Pieces(pattern, table.value, lambda ids: lengths[ids]))
+    lengths = byte_lengths(table.value.ranks).tolist()
+
+    def packed(ids: list[int]) -> bytes:
+        return array("i", [lengths[i] for i in ids]).tobytes()
+
+    known = worker_pieces((table.value.digest, pattern, "lengths"), lambda: Pieces(pattern, table.value, packed))
 
     def apply(rows: list[tuple]) -> Iterator[tuple]:
         cuts = [cut_text(text) for _, text in rows]
         known.learn(set().union(*cuts))
         for (key, text), cut in zip(rows, cuts, strict=True):
             if text:
-                yield from count_lines(key, text, np.concatenate([known[piece] for piece in cut]), rule)
+                sizes = np.frombuffer(b"".join([known[piece] for piece in cut]), np.intc).astype(np.int64)
+                yield from count_lines(key, text, sizes, rule)
 
     return apply
 

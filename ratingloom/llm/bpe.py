@@ -302,10 +302,12 @@ def encode_texts(
     id_col: str = "doc_id",
     carry: tuple[str, ...] = (),
     remembered: int = REMEMBERED,
+    shared: bool = True,
 ) -> DataFrame:
     """(id_col, ids array<int>, decoded, carried columns): the token ids of every whole text, and the
-    text that they decode to. ``remembered`` bounds the bytes of a worker's memory of pieces."""
-    return _encoded(df, ranks_path, pattern, text_col, id_col, "ids array<int>, decoded string", _keep_ids, _as_ids, carry, remembered)
+    text that they decode to. ``remembered`` bounds the bytes of a worker's memory of pieces; without
+    ``shared`` it ends with the task, so that what a worker runs next has its room."""
+    return _encoded(df, ranks_path, pattern, text_col, id_col, "ids array<int>, decoded string", _keep_ids, _as_ids, carry, remembered, shared)
 
 
 def _keep_ids(pieces: list[bytes], ids: list[int]) -> tuple[bytes, bytes]:
@@ -347,9 +349,10 @@ def _encoded(
     finish: Callable[[list], tuple],
     carry: tuple[str, ...] = (),
     remembered: int = REMEMBERED,
+    shared: bool = True,
 ) -> DataFrame:
     table = shared_table(df, ranks_path)
-    return map_carried(df, id_col, text_col, carry, functools.partial(_encoder, table, pattern, keep, finish, remembered), schema)
+    return map_carried(df, id_col, text_col, carry, functools.partial(_encoder, table, pattern, keep, finish, remembered, shared), schema)
 
 
 def shared_table(df: DataFrame, ranks_path: str):
@@ -357,12 +360,12 @@ def shared_table(df: DataFrame, ranks_path: str):
     return df.sparkSession.sparkContext.broadcast(RankTable(read_ranks(ranks_path)))
 
 
-def _encoder(table, pattern: str, keep: Callable, finish: Callable, remembered: int) -> Callable[[list[str | None]], Iterator[tuple]]:
+def _encoder(table, pattern: str, keep: Callable, finish: Callable, remembered: int, shared: bool = True) -> Callable[[list[str | None]], Iterator[tuple]]:
     def made() -> Pieces:
         pieces = pieces_by_id(table.value.ranks)
         return Pieces(pattern, table.value, functools.partial(keep, pieces), remembered)
 
-    known = worker_pieces((table.value.digest, pattern, keep.__name__, remembered), made)
+    known = worker_pieces((table.value.digest, pattern, keep.__name__, remembered), made) if shared else made()
 
     def apply(texts: list[str | None]) -> Iterator[tuple]:
         cuts = [cut_text(text) for text in texts]

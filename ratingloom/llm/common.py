@@ -26,6 +26,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 OUT_ROWS = 200_000
 OUT_CHARS = 8_000_000
 TAKEN_ROWS, TAKEN_BYTES = 1_000, 2_000_000
+#: Words whose hashes a task remembers; some 150 bytes each.
+KNOWN_WORDS = 300_000
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 #: What an ASCII-lower-cased text keeps as word bytes: 0-9, a-z and every byte of a non-ASCII character.
@@ -182,7 +184,7 @@ class WordHashes(dict):
     """64-bit hashes of words, each computed once per task while memory lasts."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1_000_000:
+        if len(self) >= KNOWN_WORDS:
             self.clear()
         made = self[word] = xxhash.xxh3_64_intdigest(word)
         return made

@@ -52,7 +52,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, n_tokens, ids, decoded): token ids of every text and what they decode to."""
-    ids = bpe.encode_texts(docs, RANKS, public_tokenizers.PATTERN, carry=("lang", "source"), remembered=128 << 20)
+    ids = bpe.encode_texts(docs, RANKS, public_tokenizers.PATTERN, carry=("lang", "source"), remembered=96 << 20, shared=False)
     return ids.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +38,22 @@ def exclude_rated(cand: DataFrame, rating: DataFrame) -> DataFrame:
     return cand.join(rating.select("uid", "mid").distinct(), ["uid", "mid"], "left_anti")
 
 
+def _reach(events: DataFrame, seen: DataFrame, k: int) -> DataFrame:
+    """(uid, mid, _last): the last segment of the event item's list that can hold one of the ``k`` candidates."""
+    depth = seen.groupBy("uid").agg(F.count("*").alias("_seen"))
+    last = F.floor((F.coalesce("_seen", F.lit(0)) + (k - 1)) / LIST_SEGMENT).cast("int").alias("_last")
+    return events.select("uid", "mid").join(depth, "uid", "left").select("uid", "mid", last)
+
+
+def list_depths(events: DataFrame, rating: DataFrame, k: int = CANDIDATES) -> DataFrame:
+    """(mid, depth): how many entries of each event item's list ``top_candidates`` reads at most.
+
+    Similarity lists of these items to this depth give the candidates of whole lists.
+    """
+    reached = _reach(events, rating.select("uid", "mid").distinct(), k)
+    return reached.groupBy("mid").agg(((F.max("_last") + 1) * LIST_SEGMENT).alias("depth"))
+
+
 def top_candidates(events: DataFrame, sim: DataFrame, rating: DataFrame, k: int = CANDIDATES) -> DataFrame:
     """(uid, rank, mid, score): for each user's event item the ``k`` most similar unrated items.
 
@@ -46,13 +62,7 @@ def top_candidates(events: DataFrame, sim: DataFrame, rating: DataFrame, k: int
     segments that cover them are joined: exact, whatever the length of a list.
     """
     seen = rating.select("uid", "mid").distinct()
-    depth = seen.groupBy("uid").agg(F.count("*").alias("_seen"))
-    last = F.floor((F.coalesce("_seen", F.lit(0)) + (k - 1)) / LIST_SEGMENT).cast("int")
-    asked = (
-        events.select("uid", "mid")
-        .join(depth, "uid", "left")
-        .select("uid", "mid", F.explode(F.sequence(F.lit(0), last)).alias("_segment"))
-    )
+    asked = _reach(events, seen, k).select("uid", "mid", F.explode(F.sequence(F.lit(0), F.col("_last"))).alias("_segment"))
     segments = sim.withColumn("_segment", F.floor((F.col("rank") - 1) / LIST_SEGMENT).cast("int"))
     found = asked.join(segments, ["mid", "_segment"]).select("uid", F.col("sim_mid").alias("mid"), "score")
     return top_k(exclude_rated(found, seen), "uid", by_score(), k).select("uid", "rank", "mid", "score")
@@ -73,6 +83,11 @@ def sim_lookup(pairs: DataFrame, sim: DataFrame) -> DataFrame:
     return pairs.join(known, ["mid", "recent_mid"], "left").withColumn("sim", F.coalesce("sim", F.lit(0.0)))
 
 
+def looked_up_pairs(pairs: DataFrame) -> DataFrame:
+    """(mid, sim_mid): the rows of a similarity table that ``sim_lookup`` asks for."""
+    return pairs.select("mid", F.col("recent_mid").alias("sim_mid")).distinct()
+
+
 def score_candidates(pairs: DataFrame, gate: float = SCORING_GATE, like: float = LIKED_ABOVE) -> DataFrame:
     """Mean of similarity times rating over the recents above the gate, plus the logarithm of the
     liked count, minus that of the others. A candidate with no recent above the gate drops out."""
@@ -90,11 +105,16 @@ def batch_recommend(
     recent: int = RECENT_RATINGS,
     gate: float = SCORING_GATE,
     order: Sequence[str] = ("ts", "mid", "score"),
+    similar: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """(uid, mid, score) after each user's newest event. ``rating`` already holds the events."""
+    """(uid, mid, score) after each user's newest event. ``rating`` already holds the events.
+
+    ``sim`` may be cut to the lists that ``list_depths`` names if ``similar`` makes the rows of the whole
+    table for given (mid, sim_mid) pairs.
+    """
     cand = top_candidates(latest_event(events, order), sim, rating, k)
-    recents = recent_ratings(rating, recent, order)
-    return score_candidates(sim_lookup(candidate_x_recent(cand, recents), sim), gate)
+    pairs = candidate_x_recent(cand, recent_ratings(rating, recent, order))
+    return score_candidates(sim_lookup(pairs, sim if similar is None else similar(looked_up_pairs(pairs))), gate)
 
 
 def recommendation_lists(events: DataFrame, scored: DataFrame, k: int = CANDIDATES) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import heapq
 import sys
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 from typing import Any
 
@@ -193,13 +193,15 @@ def stream_recommend(
     recent: int = RECENT_RATINGS,
     gate: float = SCORING_GATE,
     available_now: bool = False,
+    similar: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Re-rank for every user with a new rating and store one list per user.
 
     The micro-batch enters the rating table before recents and exclusions are read, so the current
     rating counts. ``sim_path`` holds the similarity table as ``store_similarity`` lays it out; a
-    batch reads the folders of its event items and of its candidates. Malformed events (``_corrupt``)
-    are stored below the rating table's ``rejected`` folder.
+    batch reads the folders of its event items and of its candidates. It may hold lists to the depth of
+    ``list_depths`` if ``similar`` makes the rows of the whole table for given (mid, sim_mid) pairs.
+    Malformed events (``_corrupt``) are stored below the rating table's ``rejected`` folder.
     """
 
     def rerank(batch: DataFrame, batch_id: int) -> None:
@@ -221,7 +223,8 @@ def stream_recommend(
         latest = realtime.latest_event(fresh).persist()
         cand = realtime.top_candidates(latest, similar_of(spark, sim_path, latest, sorted(folders["items"])), rated, k).persist()
         pairs = realtime.candidate_x_recent(cand, realtime.recent_ratings(rated, recent))
-        scored = realtime.score_candidates(realtime.sim_lookup(pairs, similar_of(spark, sim_path, cand)), gate)
+        sim = similar_of(spark, sim_path, cand) if similar is None else similar(realtime.looked_up_pairs(pairs))
+        scored = realtime.score_candidates(realtime.sim_lookup(pairs, sim), gate)
         upsert_user_recs(realtime.recommendation_lists(fresh, scored, k), target, batch_id)
         for part in (cand, latest, rated, batch):
             part.unpersist()

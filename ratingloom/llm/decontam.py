@@ -29,14 +29,20 @@ from ratingloom.llm.common import stored
 LENGTH, RAREST = 13, 2
 #: A word is at most some hundred bytes, so this many rows stay within a broadcast's means.
 BROADCAST_ROWS = 500_000
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: What stands between words.
+GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+ANY_CASE_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
     """The words of a text after lower-casing A-Z."""
-    lowered = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
-    return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
+    return _cut(F.translate(text, string.ascii_uppercase, string.ascii_lowercase), GAP)
+
+
+def _cut(text: Column, gap: str) -> Column:
+    """What lies between gaps, as ``regexp_extract_all`` of all else would give it; that makes an object
+    for every match and takes some twenty times as long."""
+    return F.array_remove(F.split(text, gap), "")
 
 
 def phrases_of(items: DataFrame, length: int = LENGTH, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -151,7 +157,7 @@ def document_hits(
 
 
 def word_count(text_col: str) -> Column:
-    return F.coalesce(F.regexp_count(F.col(text_col), F.lit(ANY_CASE_WORD)), F.lit(0)).cast("long")
+    return F.coalesce(F.array_size(_cut(F.col(text_col), ANY_CASE_GAP)), F.lit(0)).cast("long")
 
 
 def is_contaminated(n_hit: Column, n_words: Column) -> Column:

@@ -13,14 +13,18 @@ from __future__ import annotations
 
 import base64
 import functools
+import gc
 import hashlib
 import itertools
 import json
+import operator
 import re
 import sys
 import types
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import regex
@@ -206,6 +210,19 @@ class RankTable:
             pairs[inner, left - 1] = self.find(ids[inner, left - 1], lowest[at > 0])
 
 
+@contextmanager
+def no_collection() -> Iterator[None]:
+    """Without Python's search for cycles, which would walk through all that is remembered every time some
+    thousand entries are new. What is made inside has no cycles."""
+    before = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if before:
+            gc.enable()
+
+
 class Memory(dict):
     """A dictionary by text that forgets its older half when its estimated bytes pass ``budget``."""
 
@@ -227,12 +244,20 @@ class Memory(dict):
 
 class Pieces(Memory):
     """What is known of each distinct piece of text. ``learn`` splits the new pieces of many texts into
-    words and merges the new words together; ``keep`` turns ids into what is remembered. Words are
-    remembered apart, so a piece that differs in its punctuation merges nothing again."""
-
-    def __init__(self, pattern: str, table: RankTable, keep: Callable[[list[int]], object], budget: int = REMEMBERED):
+    words and merges the new words together; ``keep`` turns the ids of a word into what is remembered, and
+    ``joined`` makes a piece's of those of its words. Words are remembered apart, so a piece that differs
+    in its punctuation merges nothing again, and a piece of one word is remembered as that word is."""
+
+    def __init__(
+        self,
+        pattern: str,
+        table: RankTable,
+        keep: Callable[[list[int]], object],
+        budget: int = REMEMBERED,
+        joined: Callable[[list], object] = functools.partial(functools.reduce, operator.add),
+    ):
         super().__init__(budget * 2 // 3)
-        self.find, self.table, self.keep = regex.compile(pattern).findall, table, keep
+        self.find, self.table, self.keep, self.joined = regex.compile(pattern).findall, table, keep, joined
         self.words = Memory(budget // 3)
 
     def _words(self, piece: str) -> list[str]:
@@ -243,6 +268,10 @@ class Pieces(Memory):
         return self.find(piece)
 
     def learn(self, pieces: set[str]) -> None:
+        with no_collection():
+            self._learn(pieces)
+
+    def _learn(self, pieces: set[str]) -> None:
         new = [p for p in pieces if p not in self]
         if self.room(new):
             # What was forgotten may be asked for again.
@@ -250,17 +279,17 @@ class Pieces(Memory):
             self.taken += sum(_ENTRY + _PER_CHAR * len(p) for p in again) - sum(_ENTRY + _PER_CHAR * len(p) for p in new)
             new = again
         split = [self._words(p[len(FIRST) :] if p.startswith(FIRST) else " " + p) for p in new]
-        asked = {w for ws in split for w in ws}
+        asked = set(itertools.chain.from_iterable(split))
         merged = {w: self.words[w] for w in asked if w in self.words}
         words = [w for w in asked if w not in merged]
         self.words.room(words)
         made = self.table.merge_words([w.encode("utf-8", "surrogatepass") for w in words])
-        fresh = {w: np.array(ids, np.int32).tobytes() for w, ids in zip(words, made, strict=True)}
+        fresh = dict(zip(words, map(self.keep, made), strict=True))
         self.words.update(fresh)
         merged |= fresh
-        keep = self.keep
+        joined = self.joined
         for piece, ws in zip(new, split, strict=True):
-            self[piece] = keep(np.frombuffer(merged[ws[0]] if len(ws) == 1 else b"".join([merged[w] for w in ws]), np.int32).tolist())
+            self[piece] = merged[ws[0]] if len(ws) == 1 else joined([merged[w] for w in ws]) if ws else self.keep([])
 
 
 def worker_pieces(name: tuple, make: Callable[[], Pieces]) -> Pieces:
@@ -307,35 +336,43 @@ def encode_texts(
     """(id_col, ids array<int>, decoded, carried columns): the token ids of every whole text, and the
     text that they decode to. ``remembered`` bounds the bytes of a worker's memory of pieces; without
     ``shared`` it ends with the task, so that what a worker runs next has its room."""
-    return _encoded(df, ranks_path, pattern, text_col, id_col, "ids array<int>, decoded string", _keep_ids, _as_ids, carry, remembered, shared)
+    return _encoded(df, ranks_path, pattern, text_col, id_col, "ids array<int>, decoded string", _keep_ids, _join_ids, _as_ids, carry, remembered, shared)
 
 
 def _keep_ids(pieces: list[bytes], ids: list[int]) -> tuple[bytes, bytes]:
     """Ids as packed integers, a small part of what a list of them takes."""
-    return np.array(ids, np.int32).tobytes(), decode(ids, pieces)
+    return array("i", ids).tobytes(), decode(ids, pieces)
+
+
+def _join_ids(known: list[tuple[bytes, bytes]]) -> tuple[bytes, bytes]:
+    return b"".join([packed for packed, _ in known]), b"".join([data for _, data in known])
 
 
 def _as_ids(known: list[tuple[bytes, bytes]]) -> tuple:
-    ids = np.frombuffer(b"".join([packed for packed, _ in known]), np.int32)
-    return ids, b"".join([data for _, data in known]).decode("utf-8", "replace")
+    packed, data = _join_ids(known)
+    return np.frombuffer(packed, np.intc), data.decode("utf-8", "replace")
 
 
 def encode_digests(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(id_col, n_tokens, ids_sha256, decoded_sha256): ids are made, hashed and decoded in the task
     that read the text, so neither text nor ids are shuffled."""
     schema = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return _encoded(df, ranks_path, pattern, text_col, id_col, schema, _keep_digest, _as_digest)
+    return _encoded(df, ranks_path, pattern, text_col, id_col, schema, _keep_digest, _join_digests, _as_digest)
 
 
 def _keep_digest(pieces: list[bytes], ids: list[int]) -> tuple[int, str, bytes]:
     return len(ids), ",".join(map(str, ids)), decode(ids, pieces)
 
 
-def _as_digest(known: list[tuple[int, str, bytes]]) -> tuple:
-    if not known:
-        return 0, sha256(b""), sha256(b"")
+def _join_digests(known: list[tuple[int, str, bytes]]) -> tuple[int, str, bytes]:
     counts, ids, data = zip(*known, strict=True)
-    return sum(counts), sha256(",".join(ids).encode()), sha256(b"".join(data))
+    # The first piece of a text that begins with a space has no words.
+    return sum(counts), ",".join(filter(None, ids)), b"".join(data)
+
+
+def _as_digest(known: list[tuple[int, str, bytes]]) -> tuple:
+    count, ids, data = _join_digests(known) if known else (0, "", b"")
+    return count, sha256(ids.encode()), sha256(data)
 
 
 def _encoded(
@@ -346,13 +383,14 @@ def _encoded(
     id_col: str,
     schema: str,
     keep: Callable[[list[bytes], list[int]], object],
+    joined: Callable[[list], object],
     finish: Callable[[list], tuple],
     carry: tuple[str, ...] = (),
     remembered: int = REMEMBERED,
     shared: bool = True,
 ) -> DataFrame:
     table = shared_table(df, ranks_path)
-    return map_carried(df, id_col, text_col, carry, functools.partial(_encoder, table, pattern, keep, finish, remembered, shared), schema)
+    return map_carried(df, id_col, text_col, carry, functools.partial(_encoder, table, pattern, keep, joined, finish, remembered, shared), schema)
 
 
 def shared_table(df: DataFrame, ranks_path: str):
@@ -360,17 +398,17 @@ def shared_table(df: DataFrame, ranks_path: str):
     return df.sparkSession.sparkContext.broadcast(RankTable(read_ranks(ranks_path)))
 
 
-def _encoder(table, pattern: str, keep: Callable, finish: Callable, remembered: int, shared: bool = True) -> Callable[[list[str | None]], Iterator[tuple]]:
+def _encoder(table, pattern: str, keep: Callable, joined: Callable, finish: Callable, remembered: int, shared: bool = True) -> Callable[[list[str | None]], Iterator[tuple]]:
     def made() -> Pieces:
         pieces = pieces_by_id(table.value.ranks)
-        return Pieces(pattern, table.value, functools.partial(keep, pieces), remembered)
+        return Pieces(pattern, table.value, functools.partial(keep, pieces), remembered, joined)
 
     known = worker_pieces((table.value.digest, pattern, keep.__name__, remembered), made) if shared else made()
 
     def apply(texts: list[str | None]) -> Iterator[tuple]:
         cuts = [cut_text(text) for text in texts]
         known.learn(set().union(*cuts))
-        yield from (finish([known[piece] for piece in cut]) for cut in cuts)
+        yield from (finish(list(map(known.__getitem__, cut))) for cut in cuts)
 
     return apply
 

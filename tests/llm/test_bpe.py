@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 
 import numpy as np
@@ -53,6 +54,27 @@ def test_long_words(table, reference, ranks):
         assert bpe._merge_long(word.encode(), ranks) == reference.encode_ordinary(word)
 
 
+def test_learning_walks_through_no_memory(table, reference):
+    known = bpe.Pieces(public_tokenizers.PATTERN, table, lambda ids: ids)
+    pieces, seen = {f"w{i:x}q,{i}" for i in range(20_000)}, []
+    gc.collect()
+    gc.callbacks.append(lambda phase, info: seen.append(phase))
+    try:
+        known.learn(pieces)
+        collected = seen.count("start")
+    finally:
+        gc.callbacks.pop()
+    assert collected <= 1 and gc.isenabled()  # one may follow at the end
+    assert all(known[p] == reference.encode_ordinary(" " + p) for p in pieces)
+
+
+def test_pieces_of_one_word_are_kept_once(table):
+    known = bpe.Pieces(public_tokenizers.PATTERN, table, lambda ids: (len(ids), ids), joined=lambda parts: (sum(n for n, _ in parts), None))
+    known.learn({"eauouon", "eauouon,"})
+    assert known["eauouon"] is known.words[" eauouon"]
+    assert known["eauouon,"][0] == known["eauouon"][0] + 1
+
+
 def test_query(spark, reference):
     got = {r.doc_id: r for r in LLM_REGISTRY["op8_byte_bpe"](spark, SF_DIR).collect()}
     texts = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
@@ -65,6 +87,14 @@ def test_query(spark, reference):
         assert row.decoded_sha256 == hashlib.sha256(doc.text.encode()).hexdigest()
 
 
+def test_digests_of_texts_that_begin_with_a_space(spark, reference):
+    texts = [" 1", "  two", " a b", "\n c", " "]
+    df = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.ids_sha256 for r in bpe.encode_digests(df, RANKS, public_tokenizers.PATTERN).collect()}
+    ids = [",".join(map(str, reference.encode_ordinary(t))) for t in texts]
+    assert got == {i: hashlib.sha256(x.encode()).hexdigest() for i, x in enumerate(ids)}
+
+
 EDGES = [(1, None), (2, ""), (None, "a b"), (3, "x" * 50_000 + " y"), (4, "one two"), (4, "one two"), (5, " \n ")]
 
 

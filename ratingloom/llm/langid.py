@@ -27,13 +27,15 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratingloom.llm.common import map_carried, rows_of
+from ratingloom.llm.common import lean, map_carried, rows_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BUCKETS = 1 << 16
 STEPS, PENALTY, SMOOTHING = 12, 6.0, 0.1
 UNKNOWN = "und"
+#: Bytes of text whose trigrams are held at once; some hundred bytes each.
+TAKEN_BYTES = 500_000
 
 
 @functools.cache
@@ -84,9 +86,10 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
     return Model(languages, matrix / matrix.sum(axis=0) if languages else matrix)
 
 
+@lean
 def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals: dict[str, np.ndarray] = {}
-    for rows in rows_of(batches, "lang", "text"):
+    for rows in rows_of(batches, "lang", "text", taken=TAKEN_BYTES):
         owner, bucket, _ = trigrams([text for _, text in rows])
         names = np.array([lang for lang, _ in rows], dtype=object)
         for lang in set(names):
@@ -157,7 +160,7 @@ def identify(df: DataFrame, model: Model, text_col: str = "text", id_col: str =
     proportion, and all chosen languages with theirs."""
     shared = df.sparkSession.sparkContext.broadcast(model)
     schema = "lang_pred string, score double, languages array<struct<lang: string, share: double>>"
-    return map_carried(df, id_col, text_col, carry, functools.partial(_identifier, shared), schema)
+    return map_carried(df, id_col, text_col, carry, functools.partial(_identifier, shared), schema, TAKEN_BYTES)
 
 
 def _identifier(shared) -> Callable[[list[str | None]], Iterator[tuple]]:

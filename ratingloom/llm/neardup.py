@@ -43,7 +43,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratingloom.llm.common import Runs, WordHashes, map_rows, map_rows_together, mixed, space_words, stored
+from ratingloom.llm.common import Runs, WordHashes, lean, map_rows, map_rows_together, mixed, space_words, stored
 from ratingloom.session import forget
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -252,6 +252,7 @@ def _blocks_of(columns: tuple[str, ...], key: slice, decide: Callable[[list[tupl
     """A task that hands the queries and the members of each block to ``decide``. Rows come sorted by
     the ``key`` columns, so a block is complete when the next begins; the last column marks queries."""
 
+    @lean
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (row for batch in batches for row in zip(*[batch.column(c).to_pylist() for c in columns], strict=True))
         for _, block in itertools.groupby(rows, key=lambda r: r[key]):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ratingloom.llm import langid
@@ -71,3 +72,29 @@ def test_prediction_uses_the_text_only(spark, documents, model):
     plain = {r.doc_id: r.lang_pred for r in langid.identify(sample, model).collect()}
     other = sample.selectExpr("doc_id", "text", "'zz' as lang", "'s' as source")
     assert {r.doc_id: r.lang_pred for r in langid.identify(other, model).collect()} == plain
+
+
+def own_mb():
+    with open("/proc/self/smaps_rollup") as said:
+        return sum(int(line.split()[1]) for line in said if line.startswith("Pss_Anon:")) / 1024
+
+
+def test_tasks_give_their_memory_back():
+    rnd = np.random.default_rng(5)
+    words = ["".join(map(chr, rnd.integers(97, 123, 6))) for _ in range(3_000)]
+    texts = [" ".join(rnd.choice(words, 1_000)) for _ in range(300)]
+    batch = pa.RecordBatch.from_pydict({"lang": ["a"] * len(texts), "text": texts})
+    before = own_mb()
+    made = list(langid._count_trigrams(iter([batch] * 3)))
+    assert own_mb() - before < 30
+    assert {row["lang"] for b in made for row in b.to_pylist()} == {"a"}
+
+
+def test_how_many_bytes_are_taken_at_once_decides_nothing(spark, documents, model, monkeypatch):
+    def found():
+        return sorted((r.doc_id, r.lang_pred, round(r.score, 9)) for r in langid.identify(documents, model).collect())
+
+    few = found()
+    monkeypatch.setattr(langid, "TAKEN_BYTES", 20_000_000)
+    assert few == found()
+    assert (langid.fit(documents).likelihood == model.likelihood).all()

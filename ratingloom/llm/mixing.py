@@ -80,8 +80,9 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     row = kept.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("total"), F.coalesce(F.sum(weight), F.lit(0)).alias("parts")).first()
     total, left, parts, over = row.total, row.total, max(1, row.parts), 0
     while True:
-        # A round's share per weight only grows, so sources at their cap stay there.
-        share = F.lit(left) * weight / F.lit(parts)
+        # A round's share per weight only grows, so sources at their cap stay there. A small number of
+        # words would be an int literal, and its product with a weight may pass the ints.
+        share = F.lit(left).cast("long") * weight / F.lit(parts)
         row = kept.agg(
             F.count_if(cap < share).alias("over"),
             F.coalesce(F.sum(F.when(cap < share, cap)), F.lit(0)).alias("used"),

@@ -54,6 +54,14 @@ def test_targets_are_met(spark, block):
     assert all(abs(taken[s] - targets[s]) <= 0.5 for s in sizes)
 
 
+@pytest.mark.parametrize("unit", [1_000, 250_000_000, 2_000_000_000])
+def test_targets_of_many_words(spark, unit):
+    """Words whose number an int holds, but not three times that; and more."""
+    sizes = {"a": 3 * unit, "b": unit, "c": unit // 10, "d": 2 * unit}
+    targets = {r.source: r.target for r in mixing.source_targets(spark.createDataFrame(list(sizes.items()), "source string, size long"))[0].collect()}
+    assert targets == pytest.approx(brute_targets(sizes), rel=1e-12)
+
+
 def test_reruns_and_partitions_agree(spark):
     df = frame(spark, documents(3))
     one = sorted(map(tuple, mixing.mix(df, block=16).collect()), key=str)
